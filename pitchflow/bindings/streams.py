@@ -1 +1,200 @@
-"""."""
+"""Structured Streaming over logs and polls written from the events table; every query drains and ends."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pitchflow import functions as P
+from pitchflow import plans
+from pitchflow import sources as S
+from pitchflow import streaming
+from pitchflow.bindings import derived
+from pitchflow.bindings.models import FACT
+from pitchflow.bindings.registry import query
+from pitchflow.session import scratch_path
+
+LOADED_AT = "TIMESTAMP '2025-02-01 00:00:00'"
+
+LANDED = f"""
+    SELECT {LOADED_AT} AS ingested_at, 'fixture.live.events' AS topic, CAST(user_id % 4 AS INTEGER) AS "partition",
+           event_id AS "offset", CAST(user_id AS VARCHAR) AS message_key,
+           make_timestamp(epoch_us(ts) // 1000 * 1000) AS kafka_timestamp,
+           CASE WHEN event_type <> 'view' THEN user_id END AS fixture_id,
+           CASE WHEN event_type = 'view' THEN '<' || props END AS raw
+    FROM events
+"""
+
+
+def _loaded_at():
+    return F.lit("2025-02-01 00:00:00").cast("timestamp")
+
+
+def _landed(spark, path):
+    value = F.col("message_value")
+    return spark.read.parquet(path).select(
+        "ingested_at",
+        "topic",
+        "partition",
+        "offset",
+        "message_key",
+        "kafka_timestamp",
+        P.number(value, "$.fixture_id").alias("fixture_id"),
+        P.jget(value, "$._raw", "string").alias("raw"),
+    )
+
+
+@query("stream_to_raw", LANDED)
+def stream_to_raw(t):
+    """A log of JSON files into the RAW table."""
+    root = scratch_path(t.spark, "stream")
+    derived.live_log(t.events).write.json(f"{root}/log")
+    stream = S.read_log(t.spark, "json", {}, f"{root}/log")
+    streaming.stream_to_raw(stream, f"{root}/raw", f"{root}/checkpoint", loaded_at=_loaded_at()).awaitTermination()
+    return _landed(t.spark, f"{root}/raw")
+
+
+@query("stream_replay_idempotent", LANDED)
+def stream_replay_idempotent(t):
+    """The whole log delivered a second time, after a restart: nothing is stored twice."""
+    root = scratch_path(t.spark, "replay")
+    for _ in range(2):
+        derived.live_log(t.events).write.mode("append").json(f"{root}/log")
+        stream = S.read_log(t.spark, "json", {}, f"{root}/log")
+        streaming.stream_to_raw(stream, f"{root}/raw", f"{root}/checkpoint", loaded_at=_loaded_at()).awaitTermination()
+    return _landed(t.spark, f"{root}/raw")
+
+
+@query(
+    "stream_event_fact",
+    f"""
+    SELECT event_id, topic, "partition", "offset", message_key, fixture_id, event_elapsed_min, event_type, event_detail,
+           player_id, player_name, assist_id FROM ({FACT})
+    UNION ALL
+    SELECT 'fixture.live.events:' || user_id % 4 || ':' || event_id, 'fixture.live.events', user_id % 4, event_id,
+           CAST(user_id AS VARCHAR), NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM events WHERE event_type = 'view'
+    """,
+)
+def stream_event_fact(t):
+    """Log to RAW to the live fact in the same micro-batches; a wrapped message has no event fields."""
+    root = scratch_path(t.spark, "fact")
+    derived.live_log(t.events).write.json(f"{root}/log")
+    stream = S.read_log(t.spark, "json", {}, f"{root}/log")
+    streaming.stream_to_fact(
+        stream, f"{root}/raw", f"{root}/fact", f"{root}/checkpoint", loaded_at=_loaded_at()
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{root}/fact").select(
+        "event_id",
+        "topic",
+        "partition",
+        "offset",
+        "message_key",
+        "fixture_id",
+        "event_elapsed_min",
+        "event_type",
+        "event_detail",
+        "player_id",
+        "player_name",
+        "assist_id",
+    )
+
+
+@query(
+    "live_group",
+    f"""
+    SELECT event_id, event_type, event_time, player_name FROM ({FACT})
+    """,
+)
+def live_group(t):
+    """The live models built twice over the same log: the stored fact takes each offset once."""
+    root = scratch_path(t.spark, "live")
+    sources = {"kafka_fixture_live_events": derived.kafka_fixture_live_events(t.events)}
+    plans.run_group(t.spark, "live", sources, root)
+    built = plans.run_group(t.spark, "live", sources, root)
+    return built["fct_fixture_live_event"].select("event_id", "event_type", "event_time", "player_name")
+
+
+# The events of a week are one poll round, a user is a fixture and `k` the minute of an event.
+POLLS = (
+    "user_id AS fixture_id",
+    "event_id AS pos",
+    "cast(get_json_object(props, '$.k') AS bigint) AS minute",
+    "cast((dayofmonth(ts) - 1) div 7 AS bigint) AS poll",
+    "event_type",
+)
+
+EMITTED = """
+    WITH RECURSIVE e AS (
+      SELECT user_id AS fixture_id, event_id AS pos, CAST(json_extract_string(props, '$.k') AS BIGINT) AS minute,
+             CAST((day(ts) - 1) // 7 AS BIGINT) AS poll, event_type FROM events),
+    state AS (
+      SELECT fixture_id, CAST(-1 AS BIGINT) AS poll, CAST(0 AS BIGINT) AS last_seen FROM (SELECT DISTINCT fixture_id FROM e)
+      UNION ALL
+      SELECT s.fixture_id, s.poll + 1,
+             coalesce((SELECT arg_max(e.minute, e.pos) FROM e
+                       WHERE e.fixture_id = s.fixture_id AND e.poll = s.poll + 1 AND e.minute > s.last_seen), s.last_seen)
+      FROM state s WHERE s.poll < 4)
+    SELECT e.fixture_id, e.poll, e.pos, e.minute, e.event_type
+    FROM e JOIN state s ON e.fixture_id = s.fixture_id AND s.poll = e.poll - 1 WHERE e.minute > s.last_seen
+"""
+
+
+@query("stream_new_events", EMITTED)
+def stream_new_events(t):
+    """Five poll rounds through the stream: what each adds beyond the last minute of its fixture."""
+    root = scratch_path(t.spark, "polls")
+    polls = t.events.selectExpr(*POLLS)
+    polls.write.parquet(f"{root}/polls")
+    stream = t.spark.readStream.schema(polls.schema).parquet(f"{root}/polls")
+    streaming.emit_new_events(
+        stream, f"{root}/out", f"{root}/cursor", f"{root}/checkpoint", "fixture_id", "minute", "pos", "poll"
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{root}/out").select("fixture_id", "poll", "pos", "minute", "event_type")
+
+
+@query(
+    "poll_round",
+    """
+    WITH e AS (SELECT user_id AS fixture_id, event_id AS pos, CAST(json_extract_string(props, '$.k') AS BIGINT) AS minute,
+                      ts >= TIMESTAMP '2024-01-15' AS fresh FROM events),
+    c AS (SELECT fixture_id, arg_max(minute, pos) AS last_seen FROM e WHERE NOT fresh AND minute <> 0 GROUP BY 1),
+    n AS (SELECT e.* FROM e LEFT JOIN c USING (fixture_id) WHERE fresh AND minute > coalesce(last_seen, 0)),
+    m AS (SELECT fixture_id, arg_max(minute, pos) AS last_seen, count(*) AS n_new FROM n GROUP BY 1)
+    SELECT c.fixture_id, coalesce(m.last_seen, c.last_seen) AS last_seen, coalesce(n_new, 0) AS n_new
+    FROM c LEFT JOIN m USING (fixture_id)
+    UNION ALL SELECT fixture_id, last_seen, n_new FROM m WHERE fixture_id NOT IN (SELECT fixture_id FROM c)
+    """,
+)
+def poll_round(t):
+    """One round as plain DataFrames: new events against a cursor, and the cursor after them."""
+    polls = t.events.selectExpr(*POLLS, "ts >= TIMESTAMP_NTZ'2024-01-15 00:00:00' AS fresh")
+    none = t.spark.createDataFrame([], "fixture_id bigint, last_seen bigint")
+    before = streaming.new_events(polls.filter("not fresh"), none, "fixture_id", "minute", "pos")
+    cursor = streaming.next_cursor(before, none, "fixture_id", "minute", "pos")
+    emitted = streaming.new_events(polls.filter("fresh"), cursor, "fixture_id", "minute", "pos")
+    after = streaming.next_cursor(emitted, cursor, "fixture_id", "minute", "pos")
+    counts = emitted.groupBy("fixture_id").agg(F.count(F.lit(1)).alias("n_new"))
+    joined = after.join(counts, "fixture_id", "left")
+    return joined.select("fixture_id", "last_seen", F.coalesce("n_new", F.lit(0)).alias("n_new"))
+
+
+@query(
+    "stream_publish",
+    "SELECT CAST(user_id AS VARCHAR) AS key, user_id AS fixture_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,"
+    " '2025-02-01T00:00:00.000000+00:00' AS ingested_at_utc FROM events",
+)
+def stream_publish(t):
+    """New events published as keyed JSON messages to a log of files."""
+    root = scratch_path(t.spark, "publish")
+    rows = t.events.select(F.col("user_id").alias("fixture_id"), F.try_parse_json("props").alias("event"))
+    rows.write.parquet(f"{root}/events")
+    stream = t.spark.readStream.schema(rows.schema).parquet(f"{root}/events")
+    messages = streaming.live_messages(stream, _loaded_at())
+    S.write_log(messages, "json", {}, f"{root}/checkpoint", f"{root}/log").awaitTermination()
+    log = P.parsed(t.spark.read.schema("key string, value string").json(f"{root}/log"), "value")
+    p = F.col("p")
+    return log.select(
+        "key",
+        P.number(p, "$.fixture_id").alias("fixture_id"),
+        P.number(p, "$.event.k").alias("k"),
+        P.jget(p, "$.ingested_at_utc", "string").alias("ingested_at_utc"),
+    )

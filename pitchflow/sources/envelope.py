@@ -82,12 +82,13 @@ ENDPOINTS: dict[str, EndpointSpec] = {
 }
 
 
-def read_landed(spark: SparkSession, path: str, keys: Mapping[str, str]) -> DataFrame:
-    """Envelopes from landed files of one JSON response each, request keys read from `$.parameters`.
+def read_landed(spark: SparkSession, path: str, keys: Mapping[str, str], whole_files: bool = False) -> DataFrame:
+    """Envelopes from landed responses, request keys read from `$.parameters`.
 
     `keys` maps a key column to its name in the request parameters, e.g. {"fixture_id": "fixture"}.
+    Responses come one per line, which splits well, or with `whole_files` one per (indented) file.
     """
-    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=whole_files)
     body = parsed(text, "value", "body", keep_null=True)
     found = [
         F.try_variant_get("body", f"$.parameters['{name}']", "string").try_cast("bigint").alias(key)

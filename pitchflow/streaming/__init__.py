@@ -6,7 +6,6 @@ from pitchflow.streaming.live import (
     live_messages,
     new_events,
     next_cursor,
-    stream_polls,
 )
 
 __all__ = [
@@ -15,7 +14,6 @@ __all__ = [
     "log_to_raw_rows",
     "new_events",
     "next_cursor",
-    "stream_polls",
     "stream_to_fact",
     "stream_to_raw",
 ]

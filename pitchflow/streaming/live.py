@@ -7,19 +7,15 @@ last one emitted, in list order, sets the next.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from pitchflow.functions import elements, number
 from pitchflow.operators.joins import spread_join
 from pitchflow.session import child_names, path_exists
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-
 
 def new_events(snapshot: DataFrame, cursor: DataFrame, key: str, minute: str, pos: str) -> DataFrame:
     """Events of one poll beyond the cursor (key, last_seen).
@@ -38,7 +34,7 @@ def next_cursor(emitted: DataFrame, cursor: DataFrame, key: str, minute: str, po
     return cursor.join(moved.select(key), key, "left_anti").unionByName(moved)
 
 
-def stream_polls(
+def emit_new_events(
     stream: DataFrame,
     out_path: str,
     cursor_path: str,
@@ -52,8 +48,9 @@ def stream_polls(
     """Write the new events of every poll round in a stream of exploded polls.
 
     One round asks for all fixtures, so a round is a large distributed batch and only rounds follow
-    one another. The cursor is a small table with a version per round: a batch that runs again
-    starts from the version before it and overwrites its own output.
+    one another. The state per fixture is a small table with a version per round: a batch that runs
+    again starts from the version before it and overwrites its own output. Keyed state functions
+    would send every event of a busy fixture through one task; here only its last minute is keyed.
     """
     key_type = stream.schema[key].dataType.simpleString()
 
@@ -84,51 +81,6 @@ def _cursor_before(spark: SparkSession, path: str, version: str, key: str, key_t
     return spark.createDataFrame([], schema)
 
 
-class LastMinute(StatefulProcessor):
-    """Keeps the last emitted minute per fixture; passes each poll on with the minute it starts from."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last_minute", "minute bigint")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last = self._last.get()[0] if self._last.exists() else 0
-        # a trigger normally brings one poll per fixture; after a stop it brings the missed ones
-        for row in sorted(rows, key=lambda r: r["poll"]):
-            yield Row(key[0], row["poll"], last, row["events"])
-            passed = [m for m in row["minutes"] if m and m > last]
-            if passed:
-                last = passed[-1]
-        self._last.update((last,))
-
-    def close(self) -> None:
-        pass
-
-
-def emit_new_events(polls: DataFrame) -> DataFrame:
-    """New events of a stream of polls, with the state in Spark's state store.
-
-    A poll is one row (fixture_id, poll, events): the whole response list as JSON text, not one row
-    per event, so the keyed shuffle and the Python state function see a row per fixture and poll.
-    Minutes are read before the function and the events are cut after it, both in the JVM.
-    Output: fixture_id, poll, pos, minute, event (VARIANT).
-    """
-    polls.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    parsed_events = elements(F.try_parse_json("events"))
-    minutes = F.transform(parsed_events, lambda e: number(e, "$.time.elapsed"))
-    light = polls.select("fixture_id", "poll", "events", F.coalesce(minutes, F.array().cast("array<bigint>")).alias("minutes"))
-    marked = light.groupBy("fixture_id").transformWithState(
-        statefulProcessor=LastMinute(),
-        outputStructType="fixture_id bigint, poll bigint, last_seen bigint, events string",
-        outputMode="Append",
-        timeMode="None",
-    )
-    events = marked.select(
-        "fixture_id", "poll", "last_seen", F.posexplode(elements(F.try_parse_json("events"))).alias("pos", "event")
-    ).withColumn("minute", number(F.col("event"), "$.time.elapsed"))
-    fresh = events.filter((F.col("minute") != 0) & (F.col("minute") > F.col("last_seen")))
-    return fresh.select("fixture_id", "poll", "pos", "minute", "event")
-
-
 def live_messages(events: DataFrame, at: Column | None = None) -> DataFrame:
     """Log messages of new events (fixture_id, event): key, value = {ingested_at_utc, fixture_id, event}."""
     now = F.current_timestamp() if at is None else at
