@@ -275,16 +275,16 @@ def kafka_fixture_live_events(events: DataFrame) -> DataFrame:
 def sources(t) -> dict[str, DataFrame]:
     """All RAW tables by source name."""
     return {
-        "raw_league": raw_league(t.customer),
-        "raw_teams_info": raw_teams_info(t.supplier),
-        "raw_teams_statistics": raw_teams_statistics(t.customer),
-        "raw_players_statistics": raw_players_statistics(t.part),
-        "raw_player_trophies": raw_player_trophies(t.part),
-        "raw_fixture_info": raw_fixture_info(t.orders),
-        "raw_fixture_line_up": raw_fixture_line_up(t.orders),
-        "raw_fixture_statistics": raw_fixture_statistics(t.orders),
-        "raw_fixture_players_statistic": raw_fixture_players_statistic(t.orders),
-        "raw_fixture_predictions": raw_fixture_predictions(t.orders),
-        "football_manager_raw": football_manager_raw(t.part),
-        "kafka_fixture_live_events": kafka_fixture_live_events(t.events),
+        "raw_league": raw_league(t.dealt("customer")),
+        "raw_teams_info": raw_teams_info(t.dealt("supplier")),
+        "raw_teams_statistics": raw_teams_statistics(t.dealt("customer")),
+        "raw_players_statistics": raw_players_statistics(t.dealt("part")),
+        "raw_player_trophies": raw_player_trophies(t.dealt("part")),
+        "raw_fixture_info": raw_fixture_info(t.dealt("orders")),
+        "raw_fixture_line_up": raw_fixture_line_up(t.dealt("orders")),
+        "raw_fixture_statistics": raw_fixture_statistics(t.dealt("orders")),
+        "raw_fixture_players_statistic": raw_fixture_players_statistic(t.dealt("orders")),
+        "raw_fixture_predictions": raw_fixture_predictions(t.dealt("orders")),
+        "football_manager_raw": football_manager_raw(t.dealt("part")),
+        "kafka_fixture_live_events": kafka_fixture_live_events(t.dealt("events")),
     }

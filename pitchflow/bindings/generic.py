@@ -140,7 +140,7 @@ def flatten_ordinal(t):
 def flatten_nested(t):
     """Lines and their words, each document one nested JSON text of its whole content."""
     nested = "to_json(struct(transform(split(text, '\\n'), l -> struct(split(l, ' ') AS statistics)) AS players))"
-    docs = P.parsed(t.documents.select("doc_id", F.expr(nested).alias("v")), "v")
+    docs = P.parsed(t.dealt("documents").select("doc_id", F.expr(nested).alias("v")), "v")
     lines = docs.select("doc_id", F.posexplode(P.elements(F.col("p"), "$.players")).alias("line_no", "line"))
     words = lines.select(
         "doc_id", "line_no", F.posexplode(P.elements(F.col("line"), "$.statistics")).alias("word_no", "w")
@@ -466,7 +466,7 @@ NAME_KEY = "regexp_replace(regexp_replace(lower(trim({0})), '[^a-z0-9 ]', '', 'g
 
 @query("name_key", f"SELECT doc_id, md5({NAME_KEY.format('text')}) AS key_md5 FROM documents")
 def name_key(t):
-    return t.documents.select("doc_id", F.md5(P.name_key(F.col("text"))).alias("key_md5"))
+    return t.dealt("documents").select("doc_id", F.md5(P.name_key(F.col("text"))).alias("key_md5"))
 
 
 @query(

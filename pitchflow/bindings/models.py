@@ -35,7 +35,7 @@ def _num(column: str, path: str, name: str):
     """,
 )
 def stg_league(t):
-    return plans.stg_league(derived.raw_league(t.customer)).drop("payload")
+    return plans.stg_league(derived.raw_league(t.dealt("customer"))).drop("payload")
 
 
 @query(
@@ -54,7 +54,7 @@ def stg_league(t):
     """,
 )
 def stg_teams_info(t):
-    return plans.stg_teams_info(derived.raw_teams_info(t.supplier)).drop("payload_json")
+    return plans.stg_teams_info(derived.raw_teams_info(t.dealt("supplier"))).drop("payload_json")
 
 
 @query(
@@ -74,7 +74,7 @@ def stg_teams_info(t):
     """,
 )
 def stg_team_statistics(t):
-    return plans.stg_team_statistics(derived.raw_teams_statistics(t.customer)).drop("payload_json")
+    return plans.stg_team_statistics(derived.raw_teams_statistics(t.dealt("customer"))).drop("payload_json")
 
 
 @query(
@@ -93,7 +93,7 @@ def stg_team_statistics(t):
     """,
 )
 def stg_players_statistics(t):
-    staged = plans.stg_players_statistics(derived.raw_players_statistics(t.part))
+    staged = plans.stg_players_statistics(derived.raw_players_statistics(t.dealt("part")))
     plain = [c for c in staged.columns if not c.endswith("_json")]
     return staged.select(
         *plain,
@@ -133,7 +133,7 @@ def stg_players_statistics(t):
     """,
 )
 def stg_player_trophies(t):
-    staged = plans.stg_player_trophies(derived.raw_player_trophies(t.part))
+    staged = plans.stg_player_trophies(derived.raw_player_trophies(t.dealt("part")))
     payload = F.col("payload_json")
     return staged.select(
         *[c for c in staged.columns if c != "payload_json"],
@@ -171,7 +171,7 @@ FIXTURES = f"""
 
 @query("stg_fixture_info", FIXTURES)
 def stg_fixture_info(t):
-    staged = plans.stg_fixture_info(derived.raw_fixture_info(t.orders)).drop("payload_response")
+    staged = plans.stg_fixture_info(derived.raw_fixture_info(t.dealt("orders"))).drop("payload_response")
     return staged.withColumn("fixture_date_utc", F.col("fixture_date_utc").cast("timestamp_ntz"))
 
 
@@ -189,7 +189,7 @@ def stg_fixture_info(t):
     """,
 )
 def stg_fixture_line_up(t):
-    staged = plans.stg_fixture_line_up(derived.raw_fixture_line_up(t.orders))
+    staged = plans.stg_fixture_line_up(derived.raw_fixture_line_up(t.dealt("orders")))
     color = try_jget(F.col("team_colors"), "$.home", "string").alias("home_color")
     return staged.select("*", color).drop("team_colors", "start_xi_json", "substitutes_json")
 
@@ -213,7 +213,7 @@ def stg_fixture_line_up(t):
     """,
 )
 def stg_fixture_statistics(t):
-    return plans.stg_fixture_statistics(derived.raw_fixture_statistics(t.orders))
+    return plans.stg_fixture_statistics(derived.raw_fixture_statistics(t.dealt("orders")))
 
 
 @query(
@@ -235,7 +235,7 @@ def stg_fixture_statistics(t):
     """,
 )
 def stg_fixture_players_statistics(t):
-    staged = plans.stg_fixture_players_statistics(derived.raw_fixture_players_statistic(t.orders))
+    staged = plans.stg_fixture_players_statistics(derived.raw_fixture_players_statistic(t.dealt("orders")))
     return staged.select(
         *[c for c in staged.columns if not c.endswith("_json")],
         _num("cards_json", "$.yellow", "yellow"),
@@ -258,7 +258,7 @@ def stg_fixture_players_statistics(t):
     """,
 )
 def stg_fixture_predictions(t):
-    staged = plans.stg_fixture_predictions(derived.raw_fixture_predictions(t.orders))
+    staged = plans.stg_fixture_predictions(derived.raw_fixture_predictions(t.dealt("orders")))
     return staged.select(
         *staged.columns[:12],
         try_jget(F.col("team_away_last_5"), "$.form", "string").alias("away_form"),
@@ -278,7 +278,7 @@ MANAGERS = f"""
 
 @query("stg_football_manager", MANAGERS)
 def stg_football_manager(t):
-    return plans.stg_football_manager(derived.football_manager_raw(t.part)).drop("payload_json")
+    return plans.stg_football_manager(derived.football_manager_raw(t.dealt("part"))).drop("payload_json")
 
 
 LIVE = f"""
@@ -300,7 +300,7 @@ LIVE = f"""
 
 @query("stg_kafka_fixture_live_events", LIVE)
 def stg_kafka_fixture_live_events(t):
-    staged = plans.stg_kafka_fixture_live_events(derived.kafka_fixture_live_events(t.events))
+    staged = plans.stg_kafka_fixture_live_events(derived.kafka_fixture_live_events(t.dealt("events")))
     return staged.drop("message_value_json")
 
 
@@ -312,7 +312,7 @@ def stg_kafka_fixture_live_events(t):
     """,
 )
 def dim_fixture(t):
-    staged = plans.stg_fixture_info(derived.raw_fixture_info(t.orders))
+    staged = plans.stg_fixture_info(derived.raw_fixture_info(t.dealt("orders")))
     return plans.dim_fixture(staged).drop("created_at", "updated_at")
 
 
@@ -334,7 +334,7 @@ def dim_fixture(t):
     """,
 )
 def dim_league(t):
-    return plans.dim_league(plans.stg_league(derived.raw_league(t.customer))).drop("created_at", "updated_at")
+    return plans.dim_league(plans.stg_league(derived.raw_league(t.dealt("customer")))).drop("created_at", "updated_at")
 
 
 PLAYERS = f"""
@@ -353,8 +353,8 @@ PLAYERS = f"""
 
 def _players(t):
     return plans.dim_player(
-        plans.stg_players_statistics(derived.raw_players_statistics(t.part)),
-        plans.stg_fixture_players_statistics(derived.raw_fixture_players_statistic(t.orders)),
+        plans.stg_players_statistics(derived.raw_players_statistics(t.dealt("part"))),
+        plans.stg_fixture_players_statistics(derived.raw_fixture_players_statistic(t.dealt("orders"))),
     )
 
 
@@ -377,8 +377,8 @@ def dim_player(t):
     """,
 )
 def dim_team(t):
-    info = plans.stg_teams_info(derived.raw_teams_info(t.supplier))
-    fixtures = plans.stg_fixture_info(derived.raw_fixture_info(t.orders))
+    info = plans.stg_teams_info(derived.raw_teams_info(t.dealt("supplier")))
+    fixtures = plans.stg_fixture_info(derived.raw_fixture_info(t.dealt("orders")))
     return plans.dim_team(info, fixtures).drop("created_at", "updated_at")
 
 
@@ -398,7 +398,7 @@ NAME_KEY = "regexp_replace(regexp_replace(lower(trim({0})), '[^a-z0-9 ]', '', 'g
     """,
 )
 def fct_football_manager(t):
-    managers = plans.stg_football_manager(derived.football_manager_raw(t.part))
+    managers = plans.stg_football_manager(derived.football_manager_raw(t.dealt("part")))
     return plans.fct_football_manager(_players(t), managers).drop("payload_json")
 
 
@@ -412,7 +412,7 @@ def fct_football_manager(t):
     """,
 )
 def audit_manager_player_unmatched(t):
-    managers = plans.stg_football_manager(derived.football_manager_raw(t.part))
+    managers = plans.stg_football_manager(derived.football_manager_raw(t.dealt("part")))
     return plans.audit_manager_player_unmatched(managers, _players(t)).drop("payload_json")
 
 
@@ -427,7 +427,7 @@ FACT = f"""
 
 def _fact(t):
     return plans.fct_fixture_live_event(
-        plans.stg_kafka_fixture_live_events(derived.kafka_fixture_live_events(t.events))
+        plans.stg_kafka_fixture_live_events(derived.kafka_fixture_live_events(t.dealt("events")))
     )
 
 

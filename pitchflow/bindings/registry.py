@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitchflow.session import configure
+from pitchflow.session import configure, spread_few_splits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._path}/{name}.parquet")
 
+    def dealt(self, name: str) -> DataFrame:
+        """The table `name` for work that is heavy per row: spread over all cores if it is one file."""
+        return spread_few_splits(getattr(self, name))
+
 
 def query(name: str, sql: str | None = None):
     """Register a function of Tables as a query, with the SQL that gives the same rows."""

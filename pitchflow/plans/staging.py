@@ -298,24 +298,32 @@ def stg_fixture_predictions(raw: DataFrame) -> DataFrame:
     return _project(raw, _FIXTURE_KEYS, FIXTURE_PREDICTIONS, "payload_json")
 
 
+def _once(rows: DataFrame, keys: tuple[str, ...], *columns: Column) -> DataFrame:
+    """`keys` and `columns`, each computed once per row however often it is repeated later.
+
+    A plain projection below an explode is merged into the one above it, which would carry the
+    payload through the explode and read its paths again for every element.
+    """
+    return rows.select(*keys, F.inline(F.array(F.struct(*columns))))
+
+
 def stg_fixture_statistics(raw: DataFrame) -> DataFrame:
     """Sixteen statistics side by side, one row per ingest, fixture and team.
 
-    Only the small extracted columns go through the explode and the one shuffle; the rows of a
-    payload are combined before it.
+    Only small extracted columns go through the explode and the one shuffle, and the rows of a
+    payload are combined before the shuffle.
     """
     rows = parsed(raw, "payload", "_p")
     p = F.col("_p")
     team = list(FIXTURE_STATISTICS_TEAM)
-    listed = rows.select(
-        *_FIXTURE_KEYS, *_columns(p, FIXTURE_STATISTICS_TEAM), F.explode(elements(p, "$.statistics")).alias("_s")
-    )
-    stats = listed.select(
-        *_FIXTURE_KEYS,
-        *team,
-        jget(F.col("_s"), "$.type", "string").alias("stat_type"),
-        jget(F.col("_s"), "$.value", "string").alias("stat_value"),
+    entries = F.transform(
+        elements(p, "$.statistics"),
+        lambda s: F.struct(
+            jget(s, "$.type", "string").alias("stat_type"), jget(s, "$.value", "string").alias("stat_value")
+        ),
     )
+    flat = _once(rows, _FIXTURE_KEYS, *_columns(p, FIXTURE_STATISTICS_TEAM), entries.alias("_entries"))
+    stats = flat.select(*_FIXTURE_KEYS, *team, F.inline("_entries"))
     return pivot_max(stats, [*_FIXTURE_KEYS, *team], "stat_type", "stat_value", FIXTURE_STATISTICS_TYPES)
 
 
@@ -323,27 +331,22 @@ def stg_fixture_players_statistics(raw: DataFrame) -> DataFrame:
     """One row per player and statistics entry, sections kept as JSON."""
     rows = parsed(raw, "payload", "_p")
     p = F.col("_p")
-    players = rows.select(
-        *_FIXTURE_KEYS,
+    team = (
         number(p, "$.team.id").alias("team_id"),
         jget(p, "$.team.name", "string").alias("team_name"),
-        F.explode(elements(p, "$.players")).alias("_player"),
     )
+    teams = _once(rows, _FIXTURE_KEYS, *team, elements(p, "$.players").alias("_players"))
+    keys = (*_FIXTURE_KEYS, "team_id", "team_name")
     player = F.col("_player")
-    entries = players.select(
-        *_FIXTURE_KEYS,
-        "team_id",
-        "team_name",
+    players = _once(
+        teams.select(*keys, F.explode("_players").alias("_player")),
+        keys,
         *_columns(player, FIXTURE_PLAYER),
-        F.explode(elements(player, "$.statistics")).alias("_stat"),
-    )
-    return entries.select(
-        *_FIXTURE_KEYS,
-        "team_id",
-        "team_name",
-        *FIXTURE_PLAYER,
-        *_columns(F.col("_stat"), FIXTURE_PLAYER_STATISTICS),
+        elements(player, "$.statistics").alias("_entries"),
     )
+    keys = (*keys, *FIXTURE_PLAYER)
+    entries = players.select(*keys, F.explode("_entries").alias("_stat"))
+    return entries.select(*keys, *_columns(F.col("_stat"), FIXTURE_PLAYER_STATISTICS))
 
 
 def stg_player_trophies(raw: DataFrame) -> DataFrame:
@@ -358,23 +361,22 @@ def stg_player_trophies(raw: DataFrame) -> DataFrame:
     p = F.col("_p")
     people = rows.select(*_KEYS, F.explode(F.coalesce(elements(p, "$.response"), F.array(p))).alias("_player"))
     player = F.col("_player")
-    trophies = people.select(
-        *_KEYS,
-        number(player, "$.id").alias("player_id"),
-        F.to_json(player).alias("_text"),
-        F.posexplode(elements(player, "$.trophies")).alias("_pos", "_trophy"),
-    ).select(
-        *_KEYS,
-        "player_id",
-        "_pos",
-        F.when(F.col("_pos") == 0, F.col("_text")).alias("_text"),
-        *[jget(F.col("_trophy"), f"$.{f}", "string").alias(f"_{f}") for f in ("league", "season", "place")],
+    fields = ("league", "season", "place")
+
+    def trophy(t: Column, pos: Column) -> Column:
+        text = F.when(pos == 0, F.to_json(player))
+        parts = [jget(t, f"$.{f}", "string").alias(f"_{f}") for f in fields]
+        return F.struct(pos.alias("_pos"), text.alias("_text"), *parts)
+
+    listed = F.transform(elements(player, "$.trophies"), trophy)
+    trophies = _once(people, _KEYS, number(player, "$.id").alias("player_id"), listed.alias("_trophies")).select(
+        *_KEYS, "player_id", F.inline("_trophies")
     )
     order = [F.col(c) for c in ("_pos", "ingested_at", "season", "league_id", "_league", "_season", "_place")]
     ranked = first_n_by(trophies, ["player_id"], order, TROPHIES_PER_PLAYER, "_rank")
-    fields = {f: F.col(f"_{f}") for f in ("league", "season", "place")}
     carry = [F.max("league_id").alias("league_id"), F.max("_text").alias("_text")]
-    wide = rank_pivot(ranked, ["player_id"], "_rank", fields, TROPHY_SLOTS, carry, "trophy_{rank}_{field}")
+    slot = {f: F.col(f"_{f}") for f in fields}
+    wide = rank_pivot(ranked, ["player_id"], "_rank", slot, TROPHY_SLOTS, carry, "trophy_{rank}_{field}")
     slots = [f"trophy_{i}_{f}" for i in range(1, TROPHY_SLOTS + 1) for f in fields]
     return wide.select("player_id", "league_id", F.parse_json("_text").alias("payload_json"), *slots)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -41,6 +41,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pitchflow/{name}-{uuid.uuid4().hex}"
 
 
+def spread_few_splits(df: DataFrame) -> DataFrame:
+    """Deal a scan that has fewer splits than the cluster has cores over all of them.
+
+    A file of one row group is one task however much work follows. A table with enough splits is
+    returned as it is, so at scale this never adds a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether `path` exists on whatever file system it names (local, HDFS, object store)."""
     jvm = spark._jvm
