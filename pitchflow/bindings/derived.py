@@ -272,19 +272,29 @@ def kafka_fixture_live_events(events: DataFrame) -> DataFrame:
     )
 
 
+# RAW table -> the given table it is derived from, and how.
+DERIVED = {
+    "raw_league": ("customer", raw_league),
+    "raw_teams_info": ("supplier", raw_teams_info),
+    "raw_teams_statistics": ("customer", raw_teams_statistics),
+    "raw_players_statistics": ("part", raw_players_statistics),
+    "raw_player_trophies": ("part", raw_player_trophies),
+    "raw_fixture_info": ("orders", raw_fixture_info),
+    "raw_fixture_line_up": ("orders", raw_fixture_line_up),
+    "raw_fixture_statistics": ("orders", raw_fixture_statistics),
+    "raw_fixture_players_statistic": ("orders", raw_fixture_players_statistic),
+    "raw_fixture_predictions": ("orders", raw_fixture_predictions),
+    "football_manager_raw": ("part", football_manager_raw),
+    "kafka_fixture_live_events": ("events", kafka_fixture_live_events),
+}
+
+
+def source(t, name: str) -> DataFrame:
+    """One RAW table by source name."""
+    table, derive = DERIVED[name]
+    return derive(t.dealt(table))
+
+
 def sources(t) -> dict[str, DataFrame]:
     """All RAW tables by source name."""
-    return {
-        "raw_league": raw_league(t.dealt("customer")),
-        "raw_teams_info": raw_teams_info(t.dealt("supplier")),
-        "raw_teams_statistics": raw_teams_statistics(t.dealt("customer")),
-        "raw_players_statistics": raw_players_statistics(t.dealt("part")),
-        "raw_player_trophies": raw_player_trophies(t.dealt("part")),
-        "raw_fixture_info": raw_fixture_info(t.dealt("orders")),
-        "raw_fixture_line_up": raw_fixture_line_up(t.dealt("orders")),
-        "raw_fixture_statistics": raw_fixture_statistics(t.dealt("orders")),
-        "raw_fixture_players_statistic": raw_fixture_players_statistic(t.dealt("orders")),
-        "raw_fixture_predictions": raw_fixture_predictions(t.dealt("orders")),
-        "football_manager_raw": football_manager_raw(t.dealt("part")),
-        "kafka_fixture_live_events": kafka_fixture_live_events(t.dealt("events")),
-    }
+    return {name: source(t, name) for name in DERIVED}

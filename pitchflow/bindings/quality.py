@@ -158,7 +158,7 @@ def _register(model: str) -> None:
     @query(f"dq_{model}", _twin_report(model))
     def report(t: Tables):
         spec = plans.MODELS[model]
-        staged = spec.build(*[derived.sources(t)[i] for i in spec.inputs])
+        staged = spec.build(*[derived.source(t, i) for i in spec.inputs])
         return Q.run_checks(staged, Q.CHECKS[model], model)
 
 

@@ -41,6 +41,5 @@ def unpivot_sides(
         pairs = [F.col(c).alias(n) for c, n in zip(columns, names, strict=True)]
         return F.struct(F.lit(side).alias("side"), *pairs)
 
-    both = F.filter(F.array(one("home", home), one("away", away)), lambda s: s[names[0]].isNotNull())
-    out = df.select(*keep, F.explode(both).alias("_side"))
-    return out.select(*keep, "_side.side", *[f"_side.{n}" for n in names])
+    out = df.select(*keep, F.inline(F.array(one("home", home), one("away", away))))
+    return out.filter(F.col(names[0]).isNotNull())

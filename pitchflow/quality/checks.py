@@ -95,19 +95,29 @@ def relationships(
 def run_checks(df: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
     """Report: model, test, column, severity, failures, passed.
 
-    All row checks share one aggregate over one scan; each uniqueness check adds one grouped count,
-    combined before its shuffle. A `warn` check passes the build but reports its failures.
+    One scan serves all row checks and the first uniqueness check: failures are counted per
+    combination of its columns, where the rows are grouped anyway, and then summed. Counts are
+    combined before the shuffle. A further uniqueness check adds a grouped count of its own. A
+    `warn` check passes the build but reports its failures.
     """
     rows = [c for c in checks if not c.unique]
-    parts = []
-    if rows:
-        counts = df.agg(*[F.count_if(c.fails()).alias(f"c{i}") for i, c in enumerate(rows)])
-        entries = F.array(*[_entry(model, c, F.col(f"c{i}")) for i, c in enumerate(rows)])
-        parts.append(counts.select(F.inline(entries)))
-    for c in checks:
-        if c.unique:
-            total = failing_rows(df, c).agg(F.count(F.lit(1)).alias("n"))
-            parts.append(total.select(F.inline(F.array(_entry(model, c, F.col("n"))))))
+    repeats = [c for c in checks if c.unique]
+    fails = [F.count_if(c.fails()).alias(f"c{i}") for i, c in enumerate(rows)]
+    if repeats:
+        first = repeats[0]
+        counted = F.lit(True) if first.where is None else F.expr(first.where)
+        grouped = df.groupBy(*first.unique).agg(F.count_if(counted).alias("n"), *fails)
+        sums = [F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(rows))]
+        counts = grouped.agg(F.count_if(F.col("n") > 1).alias("n"), *sums)
+        entries = [_entry(model, c, F.col(f"c{i}")) for i, c in enumerate(rows)]
+        entries.append(_entry(model, first, F.col("n")))
+    else:
+        counts = df.agg(*fails)
+        entries = [_entry(model, c, F.col(f"c{i}")) for i, c in enumerate(rows)]
+    parts = [counts.select(F.inline(F.array(*entries)))]
+    for c in repeats[1:]:
+        total = failing_rows(df, c).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(total.select(F.inline(F.array(_entry(model, c, F.col("n"))))))
     return reduce(DataFrame.unionByName, parts)
 
 
