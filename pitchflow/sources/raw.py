@@ -23,11 +23,10 @@ class SourceSpec:
     declared: bool = True
 
     @property
-    def schema(self) -> T.StructType:
-        out = T.StructType().add(self.loaded_at, "timestamp_ntz")
-        for name, kind in self.keys:
-            out = out.add(name, kind)
-        return out.add(self.payload, T.VariantType())
+    def schema(self) -> str:
+        """Columns of the table as DDL."""
+        columns = [(self.loaded_at, "timestamp_ntz"), *self.keys, (self.payload, "variant")]
+        return ", ".join(f"`{name}` {kind}" for name, kind in columns)
 
 
 _SEASON = (("league_id", "bigint"), ("season", "int"))
