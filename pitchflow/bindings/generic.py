@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pitchflow import functions as P
 from pitchflow import operators as O
 from pitchflow.bindings.registry import query
-from pitchflow.plans import merge_incremental
+from pitchflow.plans import merge_incremental, read_incremental
 from pitchflow.session import scratch_path
 
 # `props` with some values that are not JSON: errors carry one brace too many.
@@ -573,7 +573,7 @@ def incremental_append(t):
     rows = t.events.select("event_id", "user_id", "ts")
     merge_incremental(rows.filter(F.dayofmonth("ts") < 15), path, ["event_id"], "event_id")
     merge_incremental(rows.unionByName(rows), path, ["event_id"], "event_id")
-    return t.spark.read.parquet(path)
+    return read_incremental(t.spark, path, rows.schema, "event_id")
 
 
 @query(

@@ -12,17 +12,20 @@ from pitchflow.operators.dedup import first_n_by
 
 # A key is hot when it holds at least 1/HOT_SHARE of all rows, so there are at most HOT_SHARE of them.
 HOT_SHARE = 1000
+# Tracked items per reported one; the sketch may misjudge a key by 3.5 / (10 x HOT_SHARE) of the rows.
+TRACKED = 10
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, min_rows: int = 1_000_000) -> DataFrame:
-    """Keys holding at least 1/`share` of all rows and at least `min_rows` of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, min_rows: int = 1_000_000) -> list[int]:
+    """Hashes of the keys holding about 1/`share` of all rows or more, and at least `min_rows` of them.
 
-    At most `share` rows come out whatever the input, which is what makes broadcasting them safe.
-    The counts are combined on the map side, so finding a hot key does not itself meet the skew.
+    One pass keeps a frequent-items sketch of fixed size per task and merges the sketches: no
+    shuffle by key, so finding the skew does not meet it. At most `share` numbers reach the driver.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter((F.col("_n") >= min_rows) & (F.col("_n") * share >= total)).select(*keys)
+    hashes = df.select(F.xxhash64(*keys).alias("_h"))
+    top = F.expr(f"approx_top_k(_h, {int(share)}, {int(share * TRACKED)})")
+    total, found = hashes.agg(F.count(F.lit(1)), top).first()
+    return sorted(r["item"] for r in found if r["count"] >= min_rows and r["count"] * share >= total)
 
 
 def spread_join(
@@ -38,25 +41,32 @@ def spread_join(
     """Join a possibly skewed `left` to a `right` with at most one row per key.
 
     Rows of hot keys, and rows whose key is NULL (an outer or anti join sends all of those to one
-    task), get a salt from the hash of `spread_by`; the matching right rows are repeated once per
-    salt. Other keys are joined plainly, so the right side grows by at most `share` x `salts` rows.
+    task), get a salt from the hash of `spread_by`; the right rows of hot keys are repeated once per
+    salt, which adds at most `share` x `salts` rows. Both sides decide by the same list of hashes,
+    written into the plan, so they agree even when a stage runs again; a needless hit only costs
+    copies. Without hot keys the right side is left as it is.
     """
-    hot = F.broadcast(hot_keys(left, on, share, min_rows).withColumn("_hot", F.lit(True)))
+    for c in on:
+        # equal keys of different types would hash differently
+        kind = left.schema[c].dataType
+        if right.schema[c].dataType != kind:
+            right = right.withColumn(c, F.col(c).try_cast(kind))
+    hashes = hot_keys(left, on, share, min_rows)
+    hot = F.xxhash64(*on).isin(hashes) if hashes else F.lit(False)
     some_null = F.lit(False)
     for c in on:
         some_null = some_null | F.col(c).isNull()
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted = (
-        left.join(hot, list(on), "left")
-        .withColumn("_salt", F.when(F.col("_hot") | some_null, salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
+    if not hashes:
+        if how in ("inner", "left_semi"):
+            return left.join(right, list(on), how)
+        # only NULL keys are spread; a salt of 0 marks the keys that can match
+        salted = left.withColumn("_salt", F.when(some_null, salt).otherwise(F.lit(0)))
+        return salted.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
+    salted = left.withColumn("_salt", F.when(hot | some_null, salt).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = (
-        right.join(hot, list(on), "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    copies = F.when(hot, every).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("_salt", F.explode(copies))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

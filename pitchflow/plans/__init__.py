@@ -12,7 +12,7 @@ from pitchflow.plans.marts import (
     fct_fixture_live_substitution,
     fct_football_manager,
 )
-from pitchflow.plans.materialize import current_table, merge_incremental, read_parts, write_table
+from pitchflow.plans.materialize import current_table, merge_incremental, read_incremental, write_table
 from pitchflow.plans.models import GROUPS, MODELS, Model, build, run_group
 from pitchflow.plans.staging import (
     stg_fixture_info,
@@ -46,7 +46,7 @@ __all__ = [
     "fct_fixture_live_substitution",
     "fct_football_manager",
     "merge_incremental",
-    "read_parts",
+    "read_incremental",
     "run_group",
     "stg_fixture_info",
     "stg_fixture_line_up",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pitchflow.operators.incremental import unseen
 from pitchflow.session import child_names, path_exists
@@ -31,21 +33,63 @@ def current_table(spark: SparkSession, path: str) -> DataFrame:
     raise FileNotFoundError(f"no complete version below {path}")
 
 
-def read_parts(spark: SparkSession, path: str, name: str) -> DataFrame | None:
-    """All rows below the `<name>=...` folders of `path`; None when there is none yet."""
-    if not any(n.startswith(f"{name}=") for n in child_names(spark, path)):
+# Offsets are stored in folders of 2^20 of them, so that a batch finds its neighbours without a listing.
+RANGE_BITS = 20
+MAX_FOLDERS = 1000
+
+
+def range_of(column: str) -> Column:
+    """The folder number of a growing whole-number column."""
+    return F.shiftright(F.col(column).cast("bigint"), RANGE_BITS)
+
+
+def stored_near(src: DataFrame, path: str, column: str) -> DataFrame | None:
+    """The stored rows in the range folders that `src` touches; None when there are none.
+
+    Only those folders are listed and read. A load that touches more than MAX_FOLDERS of them is no
+    increment, and the whole table is read.
+    """
+    spark = src.sparkSession
+    if not path_exists(spark, path):
+        return None
+    numbers = [r[0] for r in src.select(range_of(column)).distinct().limit(MAX_FOLDERS + 1).collect()]
+    if len(numbers) > MAX_FOLDERS:
+        folders = [f"{path}/{n}" for n in child_names(spark, path) if n.startswith(f"{column}_range=")]
+    else:
+        folders = [f"{path}/{column}_range={n}" for n in numbers]
+        folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
         return None
-    return spark.read.parquet(path).drop(name)
+    return spark.read.option("basePath", path).parquet(*folders)
+
+
+def in_ranges(df: DataFrame, column: str) -> DataFrame:
+    """`df` with its range column, gathered by it so that a folder gets few files; big ranges are split."""
+    name = f"{column}_range"
+    return df.withColumn(name, range_of(column)).hint("rebalance", name)
+
+
+def read_incremental(spark: SparkSession, path: str, schema: StructType, prune: str | None = None) -> DataFrame:
+    """A table written by `merge_incremental`, possibly still without rows."""
+    df = spark.read.schema(schema).parquet(path)
+    return df.select(*[c for c in df.columns if c != f"{prune}_range"])
 
 
 def merge_incremental(src: DataFrame, path: str, keys: Sequence[str], prune: str | None = None) -> None:
     """Append the rows of `src` whose key the table does not hold; the first run loads everything.
 
     Copies inside `src` count once. Since known keys are left out, merging by key is appending: the
-    table is never rewritten.
+    table is never rewritten. `prune` names a growing key column such as a log offset: the table is
+    then kept in folders by ranges of it, and only those an increment touches are compared.
     """
     spark = src.sparkSession
     fresh = src.dropDuplicates(list(keys))
-    if path_exists(spark, path) and child_names(spark, path):
-        fresh = unseen(fresh, spark.read.parquet(path), keys, prune)
+    if prune:
+        stored = stored_near(src, path, prune)
+        if stored is not None:
+            fresh = unseen(fresh, stored, keys, prune)
+        in_ranges(fresh, prune).write.mode("append").partitionBy(f"{prune}_range").parquet(path)
+        return
+    if path_exists(spark, path):
+        fresh = unseen(fresh, spark.read.schema(src.schema).parquet(path), keys)
     fresh.write.mode("append").parquet(path)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pitchflow.plans import marts, staging
-from pitchflow.plans.materialize import current_table, merge_incremental, write_table
+from pitchflow.plans.materialize import current_table, merge_incremental, read_incremental, write_table
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,7 @@ def build(
             df = current_table(spark, f"{root}/{name}")
         elif root and model.kind == "incremental":
             merge_incremental(df, f"{root}/{name}", EVENT_KEYS, "offset")
-            df = spark.read.parquet(f"{root}/{name}")
+            df = read_incremental(spark, f"{root}/{name}", df.schema, "offset")
         df.createOrReplaceTempView(name)
         ready[name] = out[name] = df
     return out

@@ -7,7 +7,7 @@ model is a single stage without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -262,6 +262,15 @@ def _project(
     return rows.select(*keys, *_columns(p, spec), *([p.alias(whole)] if whole else []))
 
 
+def _each(df: DataFrame, keep: Sequence[str], items: str, name: str) -> DataFrame:
+    """`keep` once per element of the array column `items`, the element under `name`.
+
+    An inner explode of a computed array adds a filter on its size and on NULL, and the array is
+    then computed again for each of them; the outer one does not. A JSON null is not NULL and stays.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
+
+
 def stg_league(raw: DataFrame) -> DataFrame:
     """League and country; a row whose payload does not parse stays, with NULLs."""
     return _project(raw, _KEYS, LEAGUE, "payload", keep_null=True)
@@ -298,55 +307,45 @@ def stg_fixture_predictions(raw: DataFrame) -> DataFrame:
     return _project(raw, _FIXTURE_KEYS, FIXTURE_PREDICTIONS, "payload_json")
 
 
-def _once(rows: DataFrame, keys: tuple[str, ...], *columns: Column) -> DataFrame:
-    """`keys` and `columns`, each computed once per row however often it is repeated later.
-
-    A plain projection below an explode is merged into the one above it, which would carry the
-    payload through the explode and read its paths again for every element.
-    """
-    return rows.select(*keys, F.inline(F.array(F.struct(*columns))))
-
-
 def stg_fixture_statistics(raw: DataFrame) -> DataFrame:
     """Sixteen statistics side by side, one row per ingest, fixture and team.
 
-    Only small extracted columns go through the explode and the one shuffle, and the rows of a
-    payload are combined before the shuffle.
+    The entries get a select of their own below the explode: in one select with it the explode
+    would carry the payload and the team paths would be read again for every entry. The rows of a
+    payload are combined before the one shuffle.
     """
     rows = parsed(raw, "payload", "_p")
     p = F.col("_p")
-    team = list(FIXTURE_STATISTICS_TEAM)
-    entries = F.transform(
-        elements(p, "$.statistics"),
-        lambda s: F.struct(
-            jget(s, "$.type", "string").alias("stat_type"), jget(s, "$.value", "string").alias("stat_value")
-        ),
+    keys = (*_FIXTURE_KEYS, *FIXTURE_STATISTICS_TEAM)
+    teams = rows.select(
+        *_FIXTURE_KEYS, *_columns(p, FIXTURE_STATISTICS_TEAM), elements(p, "$.statistics").alias("_entries")
+    )
+    entry = F.col("_entry")
+    stats = _each(teams, keys, "_entries", "_entry").select(
+        *keys, jget(entry, "$.type", "string").alias("stat_type"), jget(entry, "$.value", "string").alias("stat_value")
     )
-    flat = _once(rows, _FIXTURE_KEYS, *_columns(p, FIXTURE_STATISTICS_TEAM), entries.alias("_entries"))
-    stats = flat.select(*_FIXTURE_KEYS, *team, F.inline("_entries"))
-    return pivot_max(stats, [*_FIXTURE_KEYS, *team], "stat_type", "stat_value", FIXTURE_STATISTICS_TYPES)
+    return pivot_max(stats, keys, "stat_type", "stat_value", FIXTURE_STATISTICS_TYPES)
 
 
 def stg_fixture_players_statistics(raw: DataFrame) -> DataFrame:
     """One row per player and statistics entry, sections kept as JSON."""
     rows = parsed(raw, "payload", "_p")
     p = F.col("_p")
-    team = (
+    teams = rows.select(
+        *_FIXTURE_KEYS,
         number(p, "$.team.id").alias("team_id"),
         jget(p, "$.team.name", "string").alias("team_name"),
+        elements(p, "$.players").alias("_players"),
     )
-    teams = _once(rows, _FIXTURE_KEYS, *team, elements(p, "$.players").alias("_players"))
     keys = (*_FIXTURE_KEYS, "team_id", "team_name")
     player = F.col("_player")
-    players = _once(
-        teams.select(*keys, F.explode("_players").alias("_player")),
-        keys,
-        *_columns(player, FIXTURE_PLAYER),
-        elements(player, "$.statistics").alias("_entries"),
+    players = _each(teams, keys, "_players", "_player").select(
+        *keys, *_columns(player, FIXTURE_PLAYER), elements(player, "$.statistics").alias("_entries")
     )
     keys = (*keys, *FIXTURE_PLAYER)
-    entries = players.select(*keys, F.explode("_entries").alias("_stat"))
-    return entries.select(*keys, *_columns(F.col("_stat"), FIXTURE_PLAYER_STATISTICS))
+    return _each(players, keys, "_entries", "_entry").select(
+        *keys, *_columns(F.col("_entry"), FIXTURE_PLAYER_STATISTICS)
+    )
 
 
 def stg_player_trophies(raw: DataFrame) -> DataFrame:
@@ -369,9 +368,8 @@ def stg_player_trophies(raw: DataFrame) -> DataFrame:
         return F.struct(pos.alias("_pos"), text.alias("_text"), *parts)
 
     listed = F.transform(elements(player, "$.trophies"), trophy)
-    trophies = _once(people, _KEYS, number(player, "$.id").alias("player_id"), listed.alias("_trophies")).select(
-        *_KEYS, "player_id", F.inline("_trophies")
-    )
+    lists = people.select(*_KEYS, number(player, "$.id").alias("player_id"), listed.alias("_trophies"))
+    trophies = _each(lists, (*_KEYS, "player_id"), "_trophies", "_trophy").select(*_KEYS, "player_id", "_trophy.*")
     order = [F.col(c) for c in ("_pos", "ingested_at", "season", "league_id", "_league", "_season", "_place")]
     ranked = first_n_by(trophies, ["player_id"], order, TROPHIES_PER_PLAYER, "_rank")
     carry = [F.max("league_id").alias("league_id"), F.max("_text").alias("_text")]

@@ -10,13 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+# RAW payloads are written shredded: a model then reads only the JSON paths it names.
+SHREDDING = "spark.sql.variant.inferShreddingSchema"
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin the one setting results depend on: wall clocks are UTC.
+    """Pin the one setting results depend on, UTC wall clocks, and the layout of stored payloads.
 
     Shuffle partitions, memory and the rest stay what the cluster was given.
     """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get(SHREDDING, None) != "true":
+        spark.conf.set(SHREDDING, "true")
     return spark
 
 
@@ -59,6 +65,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove `path` and everything below it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below `path`, empty when it does not exist."""
     jvm = spark._jvm

@@ -15,6 +15,7 @@ from pitchflow.sources.raw import (
     SourceSpec,
     append_raw,
     export_json,
+    raw_rows,
     read_raw,
     resolve_source,
     source_freshness,
@@ -32,6 +33,7 @@ __all__ = [
     "export_json",
     "merge_pages",
     "page_status",
+    "raw_rows",
     "read_csv_payload",
     "read_envelope",
     "read_landed",

@@ -7,7 +7,7 @@ text or VARIANT: `{"response": [...], "errors": ..., "paging": {"current": 1, "t
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,14 +98,20 @@ def read_landed(spark: SparkSession, path: str, keys: Mapping[str, str], whole_f
 
 
 def read_envelope(
-    df: DataFrame, endpoint: EndpointSpec | str, limit: int | None = None, as_of: Column | None = None
+    df: DataFrame,
+    endpoint: EndpointSpec | str,
+    limit: int | None = None,
+    as_of: Column | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of the endpoint: keys, ids, [side,] pos, extracted_at, source, payload (VARIANT).
 
     A missing or empty response gives no rows. `limit` keeps the first items of each request (for a
-    nested endpoint: of each inner list); it is a test on the ordinal, not a global limit.
+    nested endpoint: of each inner list); it is a test on the ordinal, not a global limit. `carry`
+    names further columns of the request to keep, such as the league and season of a fixture.
     """
     spec = ENDPOINTS[endpoint] if isinstance(endpoint, str) else endpoint
+    spec = replace(spec, keys=(*carry, *spec.keys))
     body = parsed(df, "body", "_body")
     if spec.single:
         # a request that reports errors carries no statistics
@@ -184,43 +190,41 @@ def page_status(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How far each paged request got: keys, last_page, results, complete.
 
     Pages count from 1 while none is missing or empty, up to the first with current >= total; what
-    lies beyond is not part of the result. `df` has keys, page, total, n_items, one row per page.
-    The three ways to stop are found per page and combined by a minimum, so a request with very
+    lies beyond is not part of the result. `df` has keys, page, total, n_items; a page landed twice
+    counts once.
+
+    Each landed page also names its successor and page 1 as expected, and a slot that was expected
+    but not landed is a gap. So every way to stop is seen per (keys, page), and a request with very
     many pages is never gathered in one place.
     """
-    page = df.select(*keys, "page", "total", "n_items").filter(F.col("page") >= 1)
-    known = F.lit(True)
-    # page 0 stands for "before the first", so that a missing page 1 is a gap like any other
-    before = page.select(*keys).distinct().withColumn("page", F.lit(0).cast("bigint"))
+    number_ = F.col("page").cast("bigint")
+
+    def slot(page: Column, landed: bool) -> Column:
+        known = F.lit(landed)
+        return F.struct(
+            page.alias("page"),
+            known.alias("landed"),
+            F.when(known, F.col("total").cast("bigint")).alias("total"),
+            F.when(known, F.col("n_items").cast("bigint")).alias("n_items"),
+        )
+
+    expected = F.array(slot(number_, True), slot(number_ + 1, False), slot(F.lit(1).cast("bigint"), False))
     slots = (
-        page.select(*keys, F.col("page").cast("bigint").alias("page"), known.alias("landed"))
-        .unionByName(page.select(*keys, (F.col("page") + 1).cast("bigint").alias("page"), F.lit(False).alias("landed")))
-        .unionByName(before.select(*keys, (F.col("page") + 1).alias("page"), F.lit(False).alias("landed")))
-    )
-    gaps = (
-        slots.groupBy(*keys, "page")
-        .agg(F.max("landed").alias("landed"))
-        .filter(~F.col("landed"))
-        .select(*keys, (F.col("page") - 1).alias("stop"))
+        df.filter(F.col("page") >= 1)
+        .select(*keys, F.inline(expected))
+        .groupBy(*keys, "page")
+        .agg(F.max("landed").alias("landed"), F.max("total").alias("total"), F.max("n_items").alias("n_items"))
     )
-    empty = page.filter(F.col("n_items") == 0).select(*keys, (F.col("page") - 1).cast("bigint").alias("stop"))
-    ended = page.filter(F.col("page") >= F.col("total")).select(*keys, F.col("page").cast("bigint").alias("stop"))
-    last = gaps.unionByName(empty).unionByName(ended).groupBy(*keys).agg(F.min("stop").alias("last_page"))
-    kept = _within(page, last, keys)
-    return (
-        last.join(
-            kept.groupBy(*keys).agg(
-                F.sum("n_items").cast("bigint").alias("results"), F.max("total").alias("_total")
-            ),
-            list(keys),
-            "left",
-        )
-        .select(
-            *keys,
-            "last_page",
-            F.coalesce("results", F.lit(0)).cast("bigint").alias("results"),
-            F.coalesce(F.col("last_page") >= F.col("_total"), F.lit(False)).alias("complete"),
-        )
+    gap = ~F.col("landed") | (F.col("n_items") == 0)
+    stop = F.when(gap, F.col("page") - 1).when(F.col("page") >= F.col("total"), F.col("page"))
+    last = slots.groupBy(*keys).agg(F.min(stop).alias("last_page"))
+    counted = _within(slots.filter("landed").select(*keys, "page", "total", "n_items"), last, keys)
+    sums = counted.groupBy(*keys).agg(F.sum("n_items").alias("results"), F.max("total").alias("_total"))
+    return last.join(sums, list(keys), "left").select(
+        *keys,
+        "last_page",
+        F.coalesce("results", F.lit(0)).cast("bigint").alias("results"),
+        F.coalesce(F.col("last_page") >= F.col("_total"), F.lit(False)).alias("complete"),
     )
 
 
@@ -244,8 +248,7 @@ def merge_pages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         number(F.col("_body"), "$.paging.total").alias("total"),
         elements(F.col("_body"), "$.response").alias("_items"),
     ).withColumn("n_items", F.coalesce(F.size("_items"), F.lit(0)).cast("bigint"))
-    light = pages.groupBy(*keys, "page").agg(F.max("total").alias("total"), F.max("n_items").alias("n_items"))
-    last = page_status(light, keys).select(*keys, "last_page")
+    last = page_status(pages, keys).select(*keys, "last_page")
     items = _within(pages.select(*keys, "page", "_items"), last, keys)
     once = items.groupBy(*keys, "page").agg(F.any_value("_items").alias("_items"))
     return once.select(*keys, "page", F.posexplode("_items").alias("pos", "payload"))

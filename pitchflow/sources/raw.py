@@ -71,6 +71,17 @@ def resolve_source(name: str) -> str:
     return key
 
 
+def raw_rows(df: DataFrame, name: str) -> DataFrame:
+    """The columns of RAW table `name` from extracted rows, cast to their declared types.
+
+    `extracted_at` is the load time where there is no column of that name yet.
+    """
+    spec = SOURCES[resolve_source(name)]
+    loaded = spec.loaded_at if spec.loaded_at in df.columns else "extracted_at"
+    keys = [F.col(column).cast(kind).alias(column) for column, kind in spec.keys]
+    return df.select(F.col(loaded).alias(spec.loaded_at), *keys, spec.payload)
+
+
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The RAW table `name` below `root`, with its declared schema."""
     key = resolve_source(name)

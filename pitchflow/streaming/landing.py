@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pitchflow.functions import decode_message, epoch_ms_to_ntz, to_ntz_seconds
 from pitchflow.operators.incremental import unseen
 from pitchflow.plans.marts import fct_fixture_live_event
-from pitchflow.plans.materialize import read_parts
+from pitchflow.plans.materialize import in_ranges, stored_near
 from pitchflow.plans.models import EVENT_KEYS
 from pitchflow.plans.staging import stg_kafka_fixture_live_events
 
@@ -32,25 +32,26 @@ def log_to_raw_rows(messages: DataFrame, loaded_at: Column | None = None) -> Dat
     )
 
 
-def _write_once(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write the not yet stored rows of a micro-batch to its own folder.
+def _write(fresh: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch to its own folders; running it again replaces exactly those."""
+    rows = in_ranges(fresh, "offset").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("offset_range", "batch_id").parquet(path)
 
-    Running a batch again overwrites that folder and compares with earlier batches only, so neither
-    a restart nor a message delivered twice leaves a second copy.
-    """
-    spark = rows.sparkSession
-    fresh = rows.dropDuplicates(list(EVENT_KEYS))
-    stored = read_parts_before(spark, path, batch_id)
-    if stored is not None:
-        fresh = unseen(fresh, stored, EVENT_KEYS, "offset")
-    fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id:010d}")
 
+def _land(batch: DataFrame, batch_id: int, path: str, loaded_at: Column | None) -> DataFrame | None:
+    """Land the messages of a micro-batch that no earlier batch holds and return what the batch holds.
 
-def read_parts_before(spark, path: str, batch_id: int) -> DataFrame | None:
-    """Rows of the batches before `batch_id`; the comparison prunes whole folders."""
-    if read_parts(spark, path, "batch_id") is None:
-        return None
-    return spark.read.parquet(path).filter(F.col("batch_id") < batch_id).drop("batch_id")
+    Comparing with earlier batches only, and replacing its own folders, a batch leaves no second
+    copy of a message whether it runs again after a crash or the message is delivered twice.
+    """
+    messages = batch.dropDuplicates(list(EVENT_KEYS))
+    stored = stored_near(batch, path, "offset")
+    if stored is not None:
+        messages = unseen(messages, stored.filter(F.col("batch_id") < batch_id), EVENT_KEYS, "offset")
+    _write(log_to_raw_rows(messages, loaded_at), path, batch_id)
+    landed = stored_near(batch, path, "offset")
+    return None if landed is None else landed.filter(F.col("batch_id") == batch_id)
 
 
 def stream_to_raw(
@@ -59,8 +60,9 @@ def stream_to_raw(
     checkpoint: str,
     trigger: Mapping = DRAIN,
     loaded_at: Column | None = None,
+    fact_path: str | None = None,
 ) -> StreamingQuery:
-    """Land a log stream in the RAW table at `path`.
+    """Land a log stream in the RAW table at `path`, and with `fact_path` extend the live fact too.
 
     Offsets are committed to `checkpoint` after the batch is written. `trigger` is
     `{"availableNow": True}` to drain the log and stop, or e.g. `{"processingTime": "1 second"}`;
@@ -68,7 +70,15 @@ def stream_to_raw(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        _write_once(log_to_raw_rows(batch, loaded_at), path, batch_id)
+        # read several times below: for its ranges, its bounds and its rows
+        batch.persist()
+        try:
+            landed = _land(batch, batch_id, path, loaded_at)
+            if fact_path and landed is not None:
+                # a message landed once is staged once, so the fact needs no comparison of its own
+                _write(fct_fixture_live_event(stg_kafka_fixture_live_events(landed)), fact_path, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
@@ -82,15 +92,5 @@ def stream_to_fact(
     trigger: Mapping = DRAIN,
     loaded_at: Column | None = None,
 ) -> StreamingQuery:
-    """Land a log stream and extend the live-event fact in the same micro-batch."""
-
-    def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        _write_once(log_to_raw_rows(batch, loaded_at), raw_path, batch_id)
-        landed = spark.read.parquet(f"{raw_path}/batch_id={batch_id:010d}")
-        fact = fct_fixture_live_event(stg_kafka_fixture_live_events(landed))
-        # rows landed once are staged once, so the batch folder needs no comparison of its own
-        fact.write.mode("overwrite").parquet(f"{fact_path}/batch_id={batch_id:010d}")
-
-    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
+    """Land a log stream and extend the live-event fact in the same micro-batches."""
+    return stream_to_raw(stream, raw_path, checkpoint, trigger, loaded_at, fact_path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pitchflow.operators.joins import spread_join
-from pitchflow.session import child_names, path_exists
+from pitchflow.session import child_names, delete_path, path_exists
 
 
 def new_events(snapshot: DataFrame, cursor: DataFrame, key: str, minute: str, pos: str) -> DataFrame:
@@ -44,6 +44,7 @@ def emit_new_events(
     pos: str,
     poll: str,
     trigger: Mapping | None = None,
+    keep_versions: int = 100,
 ) -> StreamingQuery:
     """Write the new events of every poll round in a stream of exploded polls.
 
@@ -68,6 +69,10 @@ def emit_new_events(
             next_cursor(emitted, cursor, key, minute, pos).write.mode("overwrite").parquet(
                 f"{cursor_path}/{version}"
             )
+        # a batch that runs again needs the last version before it, never one of long ago
+        older = [n for n in child_names(spark, cursor_path) if n < f"version={batch_id:010d}"]
+        for name in older[:-keep_versions]:
+            delete_path(spark, f"{cursor_path}/{name}")
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -170,3 +170,32 @@ def test_export_json(spark, tmp_path):
     path = S.export_json(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "teams"), "20250816_142300")
     assert path.endswith("teams_20250816_142300")
     assert spark.read.text(path).first()[0] == '{"a":1,"b":null}'
+
+
+def test_landed_fixture_reaches_the_dimension(spark, tmp_path):
+    from pitchflow import plans
+
+    body = {"parameters": {"league": "39", "season": "2025"}, "response": [{"fixture": {"id": 100}, "teams": {"home": {"id": 1}, "away": {"id": 2}}}]}
+    (tmp_path / "landed").mkdir()
+    (tmp_path / "landed" / "r.json").write_text(json.dumps(body) + "\n")
+    landed = S.read_landed(spark, str(tmp_path / "landed"), {"league_id": "league", "season": "season"})
+    S.append_raw(S.raw_rows(S.read_envelope(landed, "fixtures"), "raw_fixture_info"), str(tmp_path / "raw_fixture_info"))
+    raw = S.read_raw(spark, str(tmp_path), "raw_fixture_info")
+    got = plans.dim_fixture(plans.stg_fixture_info(raw)).first()
+    assert (got.fixture_id, got.league_id, got.season) == (100, 39, 2025)
+    assert rows(raw.select("home_team_id", "away_team_id")) == [(1, 2)]
+
+    lineup = requests(spark, "league_id long, season int, fixture_id long", (39, 2025, 100, {"response": [{"team": {"id": 1}}, {"team": {"id": 2}}]}))
+    items = S.read_envelope(lineup, "fixture_lineups", carry=("league_id", "season"))
+    assert rows(S.raw_rows(items, "raw_fixture_line_up").select("league_id", "season", "fixture_id", "team_id")) == [(39, 2025, 100, 1), (39, 2025, 100, 2)]
+
+
+def test_stored_payloads_are_read_by_path(spark, tmp_path):
+    from pitchflow import plans
+
+    df = spark.createDataFrame([(1, '{"fixture":{"id":1},"teams":{"home":{"id":5,"name":"R"}}}')], "fixture_id long, payload string")
+    S.append_raw(df.selectExpr("1L AS league_id", "2025 AS season", "fixture_id", "1L AS home_team_id", "2L AS away_team_id", "payload"), str(tmp_path / "raw_fixture_info"))
+    names = plans.stg_fixture_info(S.read_raw(spark, str(tmp_path), "raw_fixture_info")).select("home_team_name")
+    plan = names._jdf.queryExecution().executedPlan().toString()
+    assert "variant_get" not in plan and "ReadSchema: struct<payload:struct<0:string>>" in plan
+    assert names.first()[0] == "R"

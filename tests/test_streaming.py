@@ -31,6 +31,7 @@ def test_landing_restart_and_replay(spark, tmp_path):
     write_log(log, "a.json", first + first[:2])
     assert land(spark, tmp_path).count() == 5
     assert land(spark, tmp_path).count() == 5  # nothing new after a restart
+    assert (tmp_path / "raw" / "offset_range=0" / "batch_id=0").is_dir()
     write_log(log, "b.json", first)  # the same messages delivered again
     write_log(log, "c.json", [("t", 1, 0, None, "<oops", None), ("t", 1, 1, "100", "", None), ("t", 0, 9, "100", None, None)])
     got = land(spark, tmp_path)
@@ -122,6 +123,16 @@ def test_polls_random_with_a_hot_fixture(spark, tmp_path):
     assert run_polls(spark, tmp_path) == brute_force(polls)
 
 
+def test_old_cursors_go(spark, tmp_path):
+    paths = [str(tmp_path / p) for p in ("out", "cursor", "ckpt")]
+    for p in range(1, 5):
+        write_poll(spark, tmp_path / "polls", p, [(1, 0, p)])
+        stream = spark.readStream.schema(SCHEMA).json(str(tmp_path / "polls"))
+        streaming.emit_new_events(stream, *paths, "fixture_id", "minute", "pos", "poll", keep_versions=1).awaitTermination()
+    assert len(list((tmp_path / "cursor").iterdir())) == 2
+    assert spark.read.option("recursiveFileLookup", "true").parquet(paths[0]).count() == 4
+
+
 def test_poll_batch_that_runs_again(spark, tmp_path):
     polls = {1: [(1, 0, 10)], 2: [(1, 0, 10), (1, 1, 20)]}
     for p in polls:
@@ -141,3 +152,15 @@ def test_messages_and_log_sink(spark, tmp_path):
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     S.write_log(streaming.live_messages(stream, at()), "json", {}, str(tmp_path / "ck"), str(tmp_path / "log")).awaitTermination()
     assert spark.read.json(str(tmp_path / "log")).count() == 1
+
+
+def test_incremental_reads_only_near_folders(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    wide = spark.range(0, 5 << 20, 1 << 18).withColumnRenamed("id", "offset").withColumn("v", F.lit(0))
+    plans.merge_incremental(wide, path, ["offset"], "offset")
+    near = plans.materialize.stored_near(wide.filter(F.col("offset") < 1 << 20), path, "offset")
+    assert len(near.inputFiles()) == 1 and near.count() == 4
+    again = wide.withColumn("v", F.lit(1)).unionByName(spark.createDataFrame([(77, 1), (77, 1), (9 << 20, 1)], "offset long, v int"))
+    plans.merge_incremental(again, path, ["offset"], "offset")
+    got = plans.read_incremental(spark, path, wide.schema, "offset")
+    assert got.columns == ["offset", "v"] and got.count() == 22 and got.filter("v = 1").count() == 2
