@@ -127,6 +127,48 @@ def landed_files(t):
     return rows.select("fixture_id", P.number(item, "$.no").alias("event_no"), detail.alias("detail"))
 
 
+# Each order asks an endpoint once and gets two items; the second team of an open order has no id.
+REQUEST_KEYS = {
+    "league_id": ("o_custkey", "o_custkey"),
+    "season": ("year(o_orderdate)", "CAST(year(o_orderdate) AS INTEGER)"),
+    "team_id": ("o_custkey", "o_custkey"),
+    "player_id": ("o_custkey", "o_custkey"),
+    "fixture_id": ("o_orderkey", "o_orderkey"),
+    "side": ("'home'", "'home'"),
+}
+
+
+def _register(name: str, spec: S.EndpointSpec) -> None:
+    keys = ", ".join(f"{REQUEST_KEYS[k][1]} AS {k}" for k in spec.keys)
+    team = ", CASE WHEN i = 0 OR o_orderstatus <> 'P' THEN o_custkey + 1 + i END AS team_id" if spec.ids else ""
+    kept = " WHERE i = 0 OR o_orderstatus <> 'P'" if spec.required else ""
+    items = "SELECT *, unnest(range(0, 2)) AS i FROM orders"
+
+    @query(f"endpoint_{name}", f"SELECT {keys}{team}, i AS pos, o_orderkey * 2 + i AS n FROM ({items}){kept}")
+    def rows(t):
+        body = """to_json(struct(transform(sequence(0, 1), i -> struct(o_orderkey * 2 + i AS n, struct(
+                    CASE WHEN i = 0 OR o_orderstatus <> 'P' THEN o_custkey + 1 + i END AS id) AS team)) AS response)) AS body"""
+        requests = t.dealt("orders").selectExpr(*[f"{REQUEST_KEYS[k][0]} AS {k}" for k in spec.keys], body)
+        found = S.read_envelope(requests, name)
+        return found.select(*spec.keys, *spec.ids, "pos", P.number(F.col("payload"), "$.n").alias("n"))
+
+
+for _name in (
+    "leagues",
+    "teams",
+    "trophies",
+    "transfers_by_player",
+    "transfers_by_team",
+    "player_statistics",
+    "fixture_events",
+    "fixture_statistics",
+    "fixture_players",
+    "predictions",
+    "odds",
+):
+    _register(_name, S.ENDPOINTS[_name])
+
+
 PAGES = """
     WITH p AS (SELECT conv_id, turn + 1 AS page, 6 AS total, CASE WHEN turn = 4 AND length(text) < 250 THEN 0 ELSE
                  len(string_split(text, chr(10))) END AS n_items, text FROM conversations),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from pitchflow import functions as P
@@ -10,7 +12,7 @@ from pitchflow import sources as S
 from pitchflow import streaming
 from pitchflow.bindings import derived
 from pitchflow.bindings.models import FACT
-from pitchflow.bindings.registry import query
+from pitchflow.bindings.registry import ORACLES, query
 from pitchflow.session import scratch_path
 
 LOADED_AT = "TIMESTAMP '2025-02-01 00:00:00'"
@@ -113,6 +115,30 @@ def live_group(t):
     return built["fct_fixture_live_event"].select("event_id", "event_type", "event_time", "player_name")
 
 
+HISTORY = [name for name in plans.GROUPS["history"] if name in ORACLES]
+
+
+@query(
+    "history_group",
+    " UNION ALL ".join(f"SELECT '{name}' AS model, count(*) AS n FROM ({ORACLES[name]})" for name in HISTORY),
+)
+def history_group(t):
+    """All history models built in order, tables written and read back: rows per model."""
+    root = scratch_path(t.spark, "history")
+    built = plans.run_group(t.spark, "history", derived.sources(t), root)
+    counts = [built[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("model"), "n") for name in HISTORY]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@query("table_versions", "SELECT o_orderkey, o_totalprice + 1 AS price FROM orders")
+def table_versions(t):
+    """A table rebuilt twice: readers see the newest version."""
+    path = scratch_path(t.spark, "versions")
+    for add in (0, 1):
+        plans.write_table(t.orders.select("o_orderkey", (F.col("o_totalprice") + add).alias("price")), path)
+    return plans.current_table(t.spark, path)
+
+
 # The events of a week are one poll round, a user is a fixture and `k` the minute of an event.
 POLLS = (
     "user_id AS fixture_id",

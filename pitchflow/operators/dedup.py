@@ -28,7 +28,8 @@ def first_n_by(
     """
     name = rank or "_rank"
     if n >= MAP_SIDE_LIMIT:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)]), F.lit(salts))
+        # by task, not by content: even copies of one row are split
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
         salted = Window.partitionBy(*keys, "_salt").orderBy(*order_by)
         df = df.withColumn("_salt", salt).withColumn("_rank_in_salt", F.row_number().over(salted))
         df = df.filter(F.col("_rank_in_salt") <= n).drop("_rank_in_salt", "_salt")
@@ -58,7 +59,3 @@ def group_max(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """Largest value of `column` per key, under its own name."""
     return df.groupBy(*keys).agg(F.max(column).alias(column))
 
-
-def _hashable(df: DataFrame, column: str) -> bool:
-    kind = df.schema[column].dataType.simpleString()
-    return "variant" not in kind and "map<" not in kind

@@ -12,16 +12,31 @@ from pitchflow.operators.dedup import first_n_by
 
 # A key is hot when it holds at least 1/HOT_SHARE of all rows, so there are at most HOT_SHARE of them.
 HOT_SHARE = 1000
+# Below this estimated size no key is worth splitting, and the input is not read for it.
+MIN_BYTES = 256 << 20
 # Tracked items per reported one; the sketch may misjudge a key by 3.5 / (10 x HOT_SHARE) of the rows.
 TRACKED = 10
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE, min_rows: int = 1_000_000) -> list[int]:
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; nothing is read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    share: int = HOT_SHARE,
+    min_rows: int = 1_000_000,
+    min_bytes: int = MIN_BYTES,
+) -> list[int]:
     """Hashes of the keys holding about 1/`share` of all rows or more, and at least `min_rows` of them.
 
     One pass keeps a frequent-items sketch of fixed size per task and merges the sketches: no
     shuffle by key, so finding the skew does not meet it. At most `share` numbers reach the driver.
     """
+    if estimated_bytes(df) < min_bytes:
+        return []
     hashes = df.select(F.xxhash64(*keys).alias("_h"))
     top = F.expr(f"approx_top_k(_h, {int(share)}, {int(share * TRACKED)})")
     total, found = hashes.agg(F.count(F.lit(1)), top).first()
@@ -37,6 +52,7 @@ def spread_join(
     salts: int = 64,
     share: int = HOT_SHARE,
     min_rows: int = 1_000_000,
+    min_bytes: int = MIN_BYTES,
 ) -> DataFrame:
     """Join a possibly skewed `left` to a `right` with at most one row per key.
 
@@ -51,7 +67,7 @@ def spread_join(
         kind = left.schema[c].dataType
         if right.schema[c].dataType != kind:
             right = right.withColumn(c, F.col(c).try_cast(kind))
-    hashes = hot_keys(left, on, share, min_rows)
+    hashes = hot_keys(left, on, share, min_rows, min_bytes)
     hot = F.xxhash64(*on).isin(hashes) if hashes else F.lit(False)
     some_null = F.lit(False)
     for c in on:

@@ -118,16 +118,17 @@ def test_spread_join_equals_join(spark, how):
     right = spark.createDataFrame([(k, f"r{k}") for k in range(0, 30, 2)], "k int, v string")
     plain = left.join(right, ["k"], how)
     for min_rows in (1, 1_000_000):
-        spread = O.spread_join(left, right, ["k"], how, ["i"], salts=8, share=10, min_rows=min_rows)
+        spread = O.spread_join(left, right, ["k"], how, ["i"], salts=8, share=10, min_rows=min_rows, min_bytes=0)
         assert rows(spread) == rows(plain)
 
 
 def test_hot_keys_are_few_and_the_right_ones(spark):
     df = spark.createDataFrame(skewed(), "k int, id int")
     hashed = df.select(F.xxhash64("k").alias("h"), "k").distinct().collect()
-    assert O.hot_keys(df, ["k"], share=4, min_rows=1) == [r.h for r in hashed if r.k == 0]
-    assert O.hot_keys(df, ["k"]) == []
-    assert O.hot_keys(df.limit(0), ["k"], min_rows=0) == []
+    assert O.hot_keys(df, ["k"], share=4, min_rows=1, min_bytes=0) == [r.h for r in hashed if r.k == 0]
+    assert O.hot_keys(df, ["k"], min_bytes=0) == []
+    assert O.hot_keys(df.limit(0), ["k"], min_rows=0, min_bytes=0) == []
+    assert O.hot_keys(df.limit(5), ["k"], min_rows=0, min_bytes=1 << 60) == []
 
 
 def test_match_latest_equals_many_to_many(spark):
