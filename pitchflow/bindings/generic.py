@@ -508,7 +508,8 @@ def unmatched_audit(t):
 def null_safe_not_in(t):
     status = F.when(F.col("c_acctbal") < 0, "F").otherwise("O").alias("o_orderstatus")
     known = t.customer.select(F.col("c_custkey").alias("o_custkey"), status)
-    fresh = O.unseen(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus"), known, ["o_custkey", "o_orderstatus"])
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    fresh = O.unseen(orders, known, ["o_custkey", "o_orderstatus"], spread_by=["o_orderkey"])
     return fresh.select("o_orderkey", "o_custkey", "o_orderstatus")
 
 

@@ -8,15 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchflow.operators.dedup import first_n_by
+from pitchflow.operators.joins import spread_join
 
 
-def unseen(src: DataFrame, target: DataFrame, keys: Sequence[str], prune: str | None = None) -> DataFrame:
+def unseen(
+    src: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    prune: str | None = None,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Rows of `src` whose key is not in `target` yet.
 
     Keys must not be NULL, which is what lets an anti join stand for the null-aware NOT IN (that one
     plans as a nested loop). `prune` names a growing key column such as a log offset: the target is
     then read only between its smallest and largest new value, so a small batch against a huge
     target touches the few row groups that can overlap it. The two bounds are read eagerly.
+    `spread_by` is for keys that are not ids of rows and may repeat without bound in `src`.
     """
     known = target.select(*keys)
     if prune:
@@ -24,6 +32,8 @@ def unseen(src: DataFrame, target: DataFrame, keys: Sequence[str], prune: str |
         if low is None:
             return src.limit(0)
         known = known.filter(F.col(prune).between(F.lit(low), F.lit(high)))
+    if spread_by:
+        return spread_join(src, known.distinct(), keys, "left_anti", spread_by)
     return src.join(known, list(keys), "left_anti")
 
 

@@ -166,20 +166,23 @@ def _error_entries(body: Column) -> Column:
     return F.when(F.size(first) > 0, first).otherwise(_entries(try_jget(body, "$.error", "variant")))
 
 
-def envelope_errors(df: DataFrame, endpoint: EndpointSpec | str) -> DataFrame:
+def envelope_errors(df: DataFrame, endpoint: EndpointSpec | str, carry: Sequence[str] = ()) -> DataFrame:
     """Errors reported by the requests: keys, pos, error_key (for an object), error.
 
+    `carry` keeps further columns of the request, such as the batch of ids it asked for.
+
     A body that is missing or is not JSON is an error of its own, so a failed fetch leaves a trace.
     """
     spec = ENDPOINTS[endpoint] if isinstance(endpoint, str) else endpoint
+    keys = (*carry, *spec.keys)
     body = parsed(df, "body", "_body", keep_null=True)
     missing = F.array(
         F.struct(F.lit("envelope").alias("key"), F.lit("missing or not JSON").alias("error"))
     ).cast("array<struct<key:string,error:string>>")
     entries = F.when(F.col("_body").isNull(), missing).otherwise(_error_entries(F.col("_body")))
-    found = body.select(*spec.keys, F.posexplode(entries).alias("pos", "_entry"))
+    found = body.select(*keys, F.posexplode(entries).alias("pos", "_entry"))
     return found.select(
-        *spec.keys,
+        *keys,
         F.col("pos").cast("bigint").alias("pos"),
         F.col("_entry.key").alias("error_key"),
         F.col("_entry.error").alias("error"),

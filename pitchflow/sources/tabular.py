@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,25 +21,26 @@ def _files(spark: SparkSession, pattern: str):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
 
 
-def read_csv_payload(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_payload(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Every row of every `*.csv` below `path`: source_file, payload. Cells stay text, no inference.
 
-    The files of one folder tree share a header, as the parts of one dump do.
+    The files of one folder tree share a header, as the parts of one dump do. A quoted cell may hold
+    a line break, which keeps each file in one task; `multi_line=False` lets large files without
+    such cells be split.
     """
-    rows = _files(spark, "*.[cC][sS][vV]").option("header", "true").option("multiLine", "true").option("escape", '"')
-    df = rows.csv(path)
+    rows = _files(spark, "*.[cC][sS][vV]").option("header", "true").option("escape", '"')
+    df = rows.option("multiLine", str(multi_line).lower()).csv(path)
     return _as_payload(df.select("*", F.col("_metadata.file_name").alias("_source_file")))
 
 
-def read_tabular_payload(spark: SparkSession, path: str, has_csv: bool = True, has_parquet: bool = True) -> DataFrame:
+def read_tabular_payload(
+    spark: SparkSession, path: str, has_csv: bool = True, has_parquet: bool = True, multi_line: bool = True
+) -> DataFrame:
     """Rows of the CSV and Parquet files below `path`; every other file is skipped."""
     parts = []
     if has_csv:
-        parts.append(read_csv_payload(spark, path))
+        parts.append(read_csv_payload(spark, path, multi_line))
     if has_parquet:
         df = _files(spark, "*.[pP][aA][rR][qQ][uU][eE][tT]").parquet(path)
         parts.append(_as_payload(df.select("*", F.col("_metadata.file_name").alias("_source_file"))))
-    out = parts[0]
-    for other in parts[1:]:
-        out = out.unionByName(other)
-    return out
+    return reduce(DataFrame.unionByName, parts)

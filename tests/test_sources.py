@@ -86,6 +86,12 @@ def test_errors(spark):
     assert got == [(1, 0, None, "a"), (1, 1, None, "b"), (2, 0, None, "single"), (4, 0, None, "text"), (5, 0, *failed), (6, 0, *failed), (7, 0, "k1", "v1"), (7, 1, "k2", "2")]
 
 
+def test_trophy_batches_keep_their_batch(spark):
+    df = requests(spark, "team_id long, batch_no long, ids string", (1, 1, "5-6", {"response": [{"id": 5}]}), (1, 2, "7", {"error": "quota"}))
+    assert rows(S.envelope_errors(df, "trophies", carry=("batch_no", "ids"))) == [(2, "7", 1, 0, None, "quota")]
+    assert rows(S.read_envelope(df, "trophies", carry=("batch_no",)).select("batch_no", F.to_json("payload"))) == [(1, '{"id":5}')]
+
+
 def pages(spark, *specs):
     """(key, page, total, items) -> landed pages."""
     return requests(spark, "team_id long", *[(k, {"paging": {"current": p, "total": t}, "response": [f"{p}.{i}" for i in range(n)]}) for k, p, t, n in specs])
@@ -135,6 +141,7 @@ def test_tabular_folders(spark, tmp_path):
     both = S.read_tabular_payload(spark, str(root))
     assert both.count() == 5
     assert S.read_tabular_payload(spark, str(root), has_csv=False).count() == 2
+    assert S.read_csv_payload(spark, str(root), multi_line=False).count() == 4
 
 
 def test_append_raw(spark, tmp_path):
