@@ -55,20 +55,26 @@ def emit_new_events(
     """
     key_type = stream.schema[key].dataType.simpleString()
 
+    def one_round(batch: DataFrame, value: int, version: str, out: str) -> None:
+        spark = batch.sparkSession
+        cursor = _cursor_before(spark, cursor_path, version, key, key_type)
+        fresh = new_events(batch.filter(F.col(poll) == F.lit(value)), cursor, key, minute, pos)
+        fresh.write.mode("overwrite").parquet(out)
+        emitted = spark.read.schema(batch.schema).parquet(out)
+        after = next_cursor(emitted, cursor, key, minute, pos)
+        after.write.mode("overwrite").parquet(f"{cursor_path}/{version}")
+
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rounds = [r[0] for r in batch.select(poll).distinct().orderBy(poll).collect()]
-        for i, value in enumerate(rounds):
-            version = f"version={batch_id:010d}_{i:06d}"
-            cursor = _cursor_before(spark, cursor_path, version, key, key_type)
-            out = f"{out_path}/batch_id={batch_id:010d}/round={i:06d}"
-            new_events(batch.filter(F.col(poll) == F.lit(value)), cursor, key, minute, pos).write.mode(
-                "overwrite"
-            ).parquet(out)
-            emitted = spark.read.schema(batch.schema).parquet(out)
-            next_cursor(emitted, cursor, key, minute, pos).write.mode("overwrite").parquet(
-                f"{cursor_path}/{version}"
-            )
+        # read once for its rounds and once per round
+        batch.persist()
+        try:
+            rounds = [r[0] for r in batch.select(poll).distinct().orderBy(poll).collect()]
+            for i, value in enumerate(rounds):
+                out = f"{out_path}/batch_id={batch_id:010d}/round={i:06d}"
+                one_round(batch, value, f"version={batch_id:010d}_{i:06d}", out)
+        finally:
+            batch.unpersist()
         # a batch that runs again needs the last version before it, never one of long ago
         older = [n for n in child_names(spark, cursor_path) if n < f"version={batch_id:010d}"]
         for name in older[:-keep_versions]:

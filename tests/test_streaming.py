@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitchflow import plans, streaming
@@ -164,3 +165,40 @@ def test_incremental_reads_only_near_folders(spark, tmp_path):
     plans.merge_incremental(again, path, ["offset"], "offset")
     got = plans.read_incremental(spark, path, wide.schema, "offset")
     assert got.columns == ["offset", "v"] and got.count() == 22 and got.filter("v = 1").count() == 2
+
+
+def test_live_path_from_polls_to_views(spark, tmp_path):
+    """Polled responses -> new events -> messages -> log -> RAW -> fact -> goal view."""
+    from pitchflow.functions import number
+
+    def event(minute, kind, player):
+        return {"time": {"elapsed": minute}, "type": kind, "detail": "d", "team": {"id": 1, "name": "R"}, "player": {"id": player, "name": f"p{player}"}, "assist": {}}
+
+    first = [event(5, "Goal", 7)]
+    second = [*first, event(30, "Card", 8), event(60, "Goal", 9)]
+    polls = [(100, 1, first), (200, 1, []), (100, 2, second), (200, 2, [event(10, "subst", 3)])]
+    (tmp_path / "polls").mkdir()
+    lines = [json.dumps({"fixture_id": f, "poll": p, "body": json.dumps({"response": r})}) for f, p, r in polls]
+    (tmp_path / "polls" / "a.json").write_text("\n".join(lines))
+
+    stream = spark.readStream.schema("fixture_id long, poll long, body string").json(str(tmp_path / "polls"))
+    items = S.read_envelope(stream, "fixture_events", carry=("poll",))
+    events = items.select("fixture_id", "poll", "pos", number(F.col("payload"), "$.time.elapsed").alias("minute"), F.col("payload").alias("event"))
+    out = str(tmp_path / "new")
+    streaming.emit_new_events(
+        events, out, str(tmp_path / "cursor"), str(tmp_path / "c1"), "fixture_id", "minute", "pos", "poll"
+    ).awaitTermination()
+    fresh = spark.read.schema(events.schema).option("recursiveFileLookup", "true").parquet(out)
+    assert sorted((r.fixture_id, r.poll, r.minute) for r in fresh.drop("event").collect()) == [(100, 1, 5), (100, 2, 30), (100, 2, 60), (200, 2, 10)]
+
+    log = streaming.live_messages(fresh, at()).withColumn("offset", F.row_number().over(Window.orderBy("key", "value")).cast("long"))
+    log.selectExpr("'live' AS topic", "0 AS partition", "offset", "key", "value", "cast(NULL AS long) AS timestamp").write.json(str(tmp_path / "log"))
+    source = S.read_log(spark, "json", {}, str(tmp_path / "log"))
+    fact_path = str(tmp_path / "fact")
+    streaming.stream_to_fact(source, str(tmp_path / "raw"), fact_path, str(tmp_path / "c2"), loaded_at=at()).awaitTermination()
+    fact = spark.read.parquet(fact_path)
+    assert fact.count() == 4
+    assert sorted((r.fixture_id, r.scorer_id, r.event_elapsed_min) for r in plans.fct_fixture_live_goal(fact).collect()) == [(100, 7, 5), (100, 9, 60)]
+    assert {r.event_time for r in fact.collect()} == {dt.datetime(2025, 8, 16, 10)}
+    sub = plans.fct_fixture_live_substitution(fact).first()
+    assert (sub.fixture_id, sub.player_out_id, sub.player_in_id) == (200, 3, None)
