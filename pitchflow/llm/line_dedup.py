@@ -34,21 +34,27 @@ def line_runs(text: str, min_words: int) -> tuple[list[int], list[int], list[int
             places.append(place)
             hashes.append(xxhash.xxh3_64_intdigest(b" ".join(parts)) - (1 << 63))
             words.append(len(parts))
-    end = held = 0
-    for begin in range(len(hashes)):
-        while end < len(hashes) and held < min_words:
-            held += words[end]
-            end += 1
-        if held < min_words:
-            break
+    for begin, end in _runs(words, min_words):
         if end - begin == 1:
             runs.append(hashes[begin])
         else:
             runs.append(xxhash.xxh3_64_intdigest(b"".join(h.to_bytes(8, "little", signed=True) for h in hashes[begin:end])) - (1 << 63))
-        held -= words[begin]
     return places, hashes, words, runs
 
 
+def _runs(words: list[int], min_words: int) -> Iterator[tuple[int, int]]:
+    """From each line on, the fewest lines that have the words together."""
+    end = held = 0
+    for begin, own in enumerate(words):
+        while end < len(words) and held < min_words:
+            held += words[end]
+            end += 1
+        if held < min_words:
+            break
+        yield begin, end
+        held -= own
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Patience diff: pairs (place in a, place in b) of equal lines, increasing in both.
 
@@ -117,7 +123,8 @@ def _from_left(a: list[int], b: list[int], i: int, i_end: int, j: int, j_end: in
 def common_blocks(earlier: list[int], later: list[int], words: list[int], min_words: int) -> list[int]:
     """Places in `later` (hashes of lines with their words) of the aligned blocks with `min_words` words or more.
 
-    What is left of `later` is aligned again until nothing more is found, so moved and repeated blocks go too.
+    What is left of `later` is aligned again until nothing more is found, so moved and repeated blocks go too. Blocks
+    that cross what the alignment prefers are aligned around a run they share.
     """
     gone: list[int] = []
     left = list(range(len(later)))
@@ -131,6 +138,7 @@ def common_blocks(earlier: list[int], later: list[int], words: list[int], min_wo
                 if sum(words[k] for k in block) >= min_words:
                     found += block
                 block = []
+        found = found or _crossing(earlier, later, words, left, min_words)
         if not found:
             break
         gone += found
@@ -139,6 +147,39 @@ def common_blocks(earlier: list[int], later: list[int], words: list[int], min_wo
     return sorted(gone)
 
 
+def _neighbours(places: list[int]) -> Iterator[list[int]]:
+    """Places in stretches without a gap."""
+    stretch: list[int] = []
+    for place in places:
+        if stretch and place != stretch[-1] + 1:
+            yield stretch
+            stretch = []
+        stretch.append(place)
+    if stretch:
+        yield stretch
+
+
+def _crossing(earlier: list[int], later: list[int], words: list[int], left: list[int], min_words: int) -> list[int]:
+    """Places of `later`, among those left, in blocks around runs that `earlier` has anywhere."""
+    size = dict(zip(later, words, strict=True))
+    first: dict[tuple[int, ...], int] = {}
+    for stretch in _neighbours([k for k, x in enumerate(earlier) if x in size]):
+        for begin, end in _runs([size[earlier[k]] for k in stretch], min_words):
+            first.setdefault(tuple(earlier[stretch[0] + begin : stretch[0] + end]), stretch[0] + begin)
+    found: list[int] = []
+    for stretch in _neighbours(left):
+        at, done = stretch[0], stretch[0]
+        for begin, end in _runs([words[k] for k in stretch], min_words):
+            place = first.get(tuple(later[at + begin : at + end]))
+            if place is not None and at + begin >= done:
+                done = at + end
+                place += end - begin
+                while done <= stretch[-1] and place < len(earlier) and later[done] == earlier[place]:
+                    done, place = done + 1, place + 1
+                found += range(at + begin, done)
+    return found
+
+
 def _line_rows(min_words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):

@@ -79,7 +79,7 @@ def _inverse(reached: Column, schedule: Sequence[tuple[float, float]]) -> Column
         # w x + slope x^2 / 2 = rest, in the form that holds for a slope of 0 as well
         root = F.lit(w) + F.sqrt(F.greatest(F.lit(0.0), F.lit(w * w) + rest * (2 * slope)))
         time = F.least(F.lit(b[0]), F.lit(t) + F.when(root > 0, rest * 2 / root).otherwise(F.lit(0.0)))
-        out = time if out is None else F.when(reached * sum(areas) >= passed, out).otherwise(time)
+        out = time if out is None else F.when(reached * sum(areas) <= passed + area, time).otherwise(out)
     return out
 
 

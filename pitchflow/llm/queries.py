@@ -37,7 +37,7 @@ def op2_curriculum_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     position = F.transform("takes", lambda t: t["position"])
     columns = ("doc_id", "size", "source_size", "target", "taken")
-    return mixed.select(*columns, position.alias("positions")).orderBy(F.element_at("positions", 1).asc_nulls_last(), "doc_id")
+    return mixed.select(*columns, position.alias("positions")).orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
 
 
 def op3_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
