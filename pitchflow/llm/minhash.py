@@ -1,14 +1,15 @@
 """Near duplicates by MinHash with tensored banding, confirmed on whole shingle sets.
 
 Two collections of `SKETCHES` small sketches (of `HASHES` minhashes each) are kept per document, and each table
-key is a pair of one sketch from either: 20 sketches make 100 tables. Documents of similarity s share
-a key with probability (1 - (1 - s ** HASHES) ** SKETCHES) ** 2: at 0.8, two different texts are missed with
-probability 7e-5, at 0.85 with 5e-6, and a missed link splits a component only if no other path joins it.
-
-Nothing is quadratic in a group of copies. Equal sets are one node. The documents of a table key are first compared
-with the key's smallest node (its hub) alone; what is linked with the hub needs no further comparison. Only
-documents of the key in another component than the hub are then compared with the others there, unless their
-distance to the hub shows that they cannot be linked (Jaccard distance obeys the triangle inequality).
+key is a pair of one sketch from either: 32 sketches make 256 tables of six minhashes each. Documents of similarity s
+share a key with probability (1 - (1 - s ** HASHES) ** SKETCHES) ** 2: at 0.8, two different texts are missed with
+probability 2e-5, at 0.85 with 5e-7, and a missed link splits a component only if no other path joins it.
+
+Nothing is quadratic in a group of copies. Equal sets are one node. A node is first compared with one other alone, the
+smallest hub (smallest node of a table key) it meets; then with the hubs of its other keys that are still
+in another component; last, where a node is in another component than the hub of its key, with the nodes of
+other components in that key, unless their distances to the hub show that they cannot be linked (Jaccard distance obeys
+the triangle inequality).
 """
 
 from __future__ import annotations
@@ -24,13 +25,14 @@ from pyspark.sql import functions as F
 from pitchflow.llm.common import staged, text_steps, texts_of
 from pitchflow.llm.components import connected_components
 
-SKETCHES = 10
-HASHES = 2
-#: Of the sign bits of two documents' minhashes, one each, so many differ at most if they may be linked. At
-#: similarity 0.8 a bit differs with probability 0.1: more than 14 of 40 do so with 1e-6.
-LINK_BITS = 14
-#: More differing bits than this rule out a similarity of 0.6 (1e-5), and so a link with what the hub is linked with.
-FAR_BITS = 20
+SKETCHES = 16
+HASHES = 3
+#: Of the first minhashes, 16 to a code, four bits each are kept: CODES long columns.
+CODES = ("code0", "code1", "code2")
+#: So many of the 48 differ at most if two documents may be linked (more do with 2e-5 at similarity 0.8).
+LINK_CODES = 21
+#: More than this rule out a similarity of 0.6 (7e-5), and so a link with what is linked with the hub.
+FAR_CODES = 31
 
 _SEEDS = np.random.default_rng(20240517).integers(1, 2**63, (2 * SKETCHES * HASHES, 2), np.uint64) | np.uint64(1)
 _FOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -56,16 +58,17 @@ def shingle_set(text: str, size: int) -> np.ndarray:
 
 
 def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Of non-empty sets: the sketches, first those of one collection, then of the other, and the sign bits."""
+    """Of non-empty sets: the sketches, first those of one collection, then of the other, and the codes."""
     starts = np.cumsum([0, *map(len, sets)])[:-1]
     flat = np.concatenate(sets)
-    bits = np.zeros(len(sets), np.uint64)
+    codes = np.zeros((len(sets), len(CODES)), np.uint64)
     out = np.zeros((len(sets), 2 * SKETCHES), np.uint64)
     for k, (add, factor) in enumerate(_SEEDS):
         least = np.minimum.reduceat(_mixed((flat ^ add) * factor), starts)
-        bits |= (_mixed(least * _FOLD) >> np.uint64(63)) << np.uint64(k)
+        if k < 16 * len(CODES):
+            codes[:, k // 16] |= (_mixed(least * _FOLD) >> np.uint64(60)) << np.uint64(4 * (k % 16))
         out[:, k // HASHES] = _mixed(out[:, k // HASHES] * _FOLD + least)
-    return out.view(np.int64), bits.view(np.int64)
+    return out.view(np.int64), codes.view(np.int64)
 
 
 def _sketch_rows(size: int):
@@ -73,14 +76,14 @@ def _sketch_rows(size: int):
         for batch in text_steps(batches):
             sets = [shingle_set(t, size) for t in texts_of(batch)]
             some = [s for s in sets if len(s)]
-            found, bits = sketches(some) if some else (np.zeros((0, 2 * SKETCHES), np.int64), np.zeros(0, np.int64))
+            found, codes = sketches(some) if some else (np.zeros((0, 2 * SKETCHES), np.int64), np.zeros((0, len(CODES)), np.int64))
             at = np.cumsum([0, *(len(s) > 0 for s in sets)])
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "set_id": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    "bits": pa.array([int(bits[at[i]]) if len(s) else None for i, s in enumerate(sets)], pa.int64()),
+                    **{name: pa.array([int(codes[at[i], k]) if len(s) else None for i, s in enumerate(sets)], pa.int64()) for k, name in enumerate(CODES)},
                     "sketches": pa.array([found[at[i]] if len(s) else None for i, s in enumerate(sets)], pa.list_(pa.int64())),
                 }
             )
@@ -97,15 +100,21 @@ def _set_rows(size: int):
     return rows
 
 
-def _differing(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b))
+def _differing(a: str, b: str) -> Column:
+    """Number of codes that differ: groups of four bits with any difference."""
+    total = F.lit(0)
+    for code in CODES:
+        x = F.col(f"{a}.{code}").bitwiseXOR(F.col(f"{b}.{code}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return total
 
 
 def _plausible(a: str, b: str, percent: int) -> Column:
-    """Sizes and sign bits allow a similarity of `percent` in 100."""
+    """Sizes and codes allow a similarity of `percent` in 100."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    return sizes & (_differing(F.col(f"{a}.bits"), F.col(f"{b}.bits")) <= LINK_BITS)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (_differing(a, b) <= LINK_CODES)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -122,27 +131,32 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
 
 
 def _table_members(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, bits, hub) for the table keys that several nodes share.
+    """(key, node, hub) for the table keys that several nodes share.
 
     A node can only share a key if it shares a sketch of either collection, so keys are formed from
     shared sketches alone.
     """
-    each = nodes.select("node", "n", "bits", F.posexplode("sketches").alias("place", "sketch"))
+    each = nodes.select("node", F.posexplode("sketches").alias("place", "sketch"))
     common = each.groupBy("place", "sketch").count().filter("count > 1").select("place", "sketch")
     kept = each.join(common, ["place", "sketch"])
-    sides = kept.groupBy("node", "n", "bits").agg(
+    sides = kept.groupBy("node").agg(
         *(
             F.collect_list(F.when(which, F.struct("place", "sketch"))).alias(side)
             for side, which in (("first", F.col("place") < SKETCHES), ("second", F.col("place") >= SKETCHES))
         )
     )
-    keys = sides.select("node", "n", "bits", F.explode("first").alias("x"), "second")
-    keys = keys.select("node", "n", "bits", "x", F.explode("second").alias("y"))
-    keys = staged(keys.select(F.xxhash64("x", "y").alias("key"), "node", "n", "bits"), "table_keys")
+    keys = sides.select("node", F.explode("first").alias("x"), "second").select("node", "x", F.explode("second").alias("y"))
+    keys = staged(keys.select(F.xxhash64("x", "y").alias("key"), "node"), "table_keys")
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     return staged(keys.join(hubs.drop("members"), "key"), "table_members")
 
 
+def _placed(rows: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
+    """Rows with the component of a node column so far, itself where it has no link."""
+    known = found.select(F.col("node").alias(node), F.col("component").alias(name))
+    return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of each row: documents are linked if their sets of `size`-word shingles
     have a Jaccard similarity of `percent` in 100 or more, and component_id is the smallest doc_id reachable.
@@ -152,38 +166,47 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     texts under one doc_id count as one document where they meet. Other columns are left out.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kinds = "doc_id long, n_shingles long, set_id binary, bits long, sketches array<long>"
+    kinds = f"doc_id long, n_shingles long, set_id binary, {' long, '.join(CODES)} long, sketches array<long>"
     rows = staged(docs.mapInArrow(_sketch_rows(size), kinds), "sketches")
     some = rows.filter("n_shingles > 0 and doc_id is not null")
     nodes = staged(
         some.groupBy("set_id").agg(
             F.min("doc_id").alias("node"),
             F.first("n_shingles").alias("n"),
-            F.first("bits").alias("bits"),
+            *(F.first(c).alias(c) for c in CODES),
             F.first("sketches").alias("sketches"),
         ),
         "nodes",
     )
     members = _table_members(nodes)
-    small = nodes.select("node", "n", "bits")
+    small = nodes.select("node", "n", *CODES)
 
-    # every member against its hub
-    by_hub = members.filter("node <> hub").select("hub", "node", "n", "bits").distinct().alias("m")
-    tested = by_hub.join(small.alias("h"), F.col("m.hub") == F.col("h.node")).filter(_plausible("m", "h", percent))
-    links = _confirmed(tested.select(F.col("m.hub").alias("a"), F.col("m.node").alias("b")), docs, size, percent)
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b), each once, those that the whole sets confirm."""
+        both = pairs.join(small.alias("x"), F.col("a") == F.col("x.node")).join(small.alias("y"), F.col("b") == F.col("y.node"))
+        return _confirmed(both.filter(_plausible("x", "y", percent)).select("a", "b"), docs, size, percent)
 
-    # what is not in its hub's component, against the others of the key
+    # every node against the smallest hub it meets
+    by_hub = staged(members.filter("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).count(), "by_hub")
+    links = linked(by_hub.groupBy("b").agg(F.min("a").alias("a")))
     found = connected_components(links)
-    placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    hubs = found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    placed = placed.join(hubs, "hub", "left").withColumn("at_hub", F.col("component") == F.coalesce("hub_component", "hub"))
-    hub_bits = small.select(F.col("node").alias("hub"), F.col("bits").alias("hub_bits"))
-    odd = placed.filter(~F.col("at_hub")).join(hub_bits, "hub")
-    odd = odd.withColumn("far", _differing(F.col("bits"), F.col("hub_bits")) > FAR_BITS)
-    odd = staged(odd.select("key", "node", "n", "bits", "component", "far"), "odd_members")
-    near = placed.filter("at_hub and node <> hub").join(odd.filter("not far").select("key").distinct(), "key", "left_semi")
+
+    # against the other hubs, where they are not joined yet
+    others = _placed(_placed(by_hub, found, "a", "component_a"), found, "b", "component_b").filter("component_a <> component_b")
+    links = links.union(linked(others.select("a", "b")))
+    found = connected_components(links)
+
+    # what is not in its hub's component, against the others of the key
+    placed = _placed(_placed(members, found, "node", "component"), found, "hub", "hub_component")
+    placed = placed.join(small, "node")
+    hubs = small.select(F.col("node").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in CODES))
+    odd = placed.filter("component <> hub_component").join(hubs, "hub")
+    odd = odd.select("key", "node", "component", "n", *CODES, F.struct(*CODES).alias("own"), F.struct(*(F.col(f"hub_{c}").alias(c) for c in CODES)).alias("of_hub"))
+    odd = odd.withColumn("far", _differing("own", "of_hub") > FAR_CODES).drop("own", "of_hub")
+    odd = staged(odd, "odd_members")
+    near = placed.filter("component = hub_component and node <> hub").join(odd.filter("not far").select("key").distinct(), "key", "left_semi")
     apart = (F.col("x.component") != F.col("y.component")) & _plausible("x", "y", percent)
-    x, y, z = odd.alias("x"), odd.alias("y"), near.select("key", "node", "n", "bits", "component").alias("y")
+    x, y, z = odd.alias("x"), odd.alias("y"), near.select("key", "node", "component", "n", *CODES).alias("y")
     among = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & apart)
     across = x.filter("not far").join(z, (F.col("x.key") == F.col("y.key")) & apart)
     ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
