@@ -117,29 +117,42 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _chunk(self, before: str, chunk: str) -> list[int]:
-        """Ids of one chunk. A Latin word with ASCII punctuation behind it is two units of the
-        pre-tokenizer, which go to the tokenizer's merges directly; anything else is encoded whole."""
-        found = _SIMPLE(chunk) if self.simple and len(chunk) <= 200 else None
-        if found is None:
-            return self._whole(before + chunk)
-        word, after = found.groups()
+        """Ids of one chunk. A Latin word with ASCII punctuation behind it is two units of the pre-tokenizer, as is
+        a lone line break between such; units go to the tokenizer's merges directly. Anything else is encoded whole."""
+        if self.simple and len(chunk) <= 200:
+            if chunk.isalpha() and chunk.isascii():
+                word = chunk if self.keeps_space else chunk.lower()
+                return [t.id for t in self.merge("\u0120" + word if before else word)]
+            merged: list[int] = []
+            for line, part in enumerate(chunk.split("\n") if self.keeps_space else (chunk,)):
+                found = _SIMPLE(part)
+                if found is None:
+                    return self._whole(before + chunk)
+                if line:
+                    merged += self._tail("\n")
+                merged += self._unit("" if line else before, *found.groups())
+            return merged
+        return self._whole(before + chunk)
+
+    def _unit(self, before: str, word: str, after: str) -> list[int]:
         if not self.keeps_space:
             if not (word.isascii() or is_normalized("NFC", word)):
-                return self._whole(chunk)
+                return self._whole(word + after)
             word = word.lower()
         if word.isascii():
             word = "\u0120" + word if before else word
         else:
             word = (before + word).encode().decode("latin-1").translate(_BYTE_CHARS)
         merged = [t.id for t in self.merge(word)]
-        if after:
-            tail = self.tails.get(after)
-            if tail is None:
-                if len(self.tails) > CACHE_TAILS:
-                    self.tails.clear()
-                tail = self.tails[after] = self._whole(after)
-            merged += tail
-        return merged
+        return merged + self._tail(after) if after else merged
+
+    def _tail(self, after: str) -> list[int]:
+        tail = self.tails.get(after)
+        if tail is None:
+            if len(self.tails) > CACHE_TAILS:
+                self.tails.clear()
+            tail = self.tails[after] = self._whole(after)
+        return tail
 
     def _simple_is_right(self) -> bool:
         """Whether a tokenizer file has the pre-tokenizer that the short way assumes."""
