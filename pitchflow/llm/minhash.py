@@ -131,7 +131,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
 
 
 def _table_members(nodes: DataFrame) -> DataFrame:
-    """(key, node, hub) for the table keys that several nodes share.
+    """(key, x, y, node, hub) for the table keys that several nodes share; x and y are the places of its sketches.
 
     A node can only share a key if it shares a sketch of either collection, so keys are formed from
     shared sketches alone.
@@ -146,11 +146,21 @@ def _table_members(nodes: DataFrame) -> DataFrame:
         )
     )
     keys = sides.select("node", F.explode("first").alias("x"), "second").select("node", "x", F.explode("second").alias("y"))
-    keys = staged(keys.select(F.xxhash64("x", "y").alias("key"), "node"), "table_keys")
+    places = [F.col(f"{side}.place").cast("byte").alias(side) for side in "xy"]
+    keys = staged(keys.select(F.xxhash64("x", "y").alias("key"), *places, "node"), "table_keys")
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     return staged(keys.join(hubs.drop("members"), "key"), "table_members")
 
 
+def _first_key(a: str, b: str) -> Column:
+    """Whether the key is the first that two nodes share, by the places of their sketches: each pair is made once."""
+    return _first_common(f"{a}.first", f"{b}.first", F.col(f"{a}.x")) & _first_common(f"{a}.second", f"{b}.second", F.col(f"{a}.y") - SKETCHES)
+
+
+def _first_common(a: str, b: str, place: Column) -> Column:
+    return F.array_position(F.zip_with(a, b, lambda u, v: u == v), True) == place + 1
+
+
 def _placed(rows: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
     """Rows with the component of a node column so far, itself where it has no link."""
     known = found.select(F.col("node").alias(node), F.col("component").alias(name))
@@ -198,15 +208,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     # what is not in its hub's component, against the others of the key
     placed = _placed(_placed(members, found, "node", "component"), found, "hub", "hub_component")
-    placed = placed.join(small, "node")
+    # the sketches' first 32 bits tell well enough which are common
+    short = F.transform("sketches", lambda k: F.shiftright(k, 32).cast("int"))
+    sides = [F.slice(short, 1, SKETCHES).alias("first"), F.slice(short, SKETCHES + 1, SKETCHES).alias("second")]
+    placed = placed.join(nodes.select("node", "n", *CODES, *sides), "node")
     hubs = small.select(F.col("node").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in CODES))
     odd = placed.filter("component <> hub_component").join(hubs, "hub")
-    odd = odd.select("key", "node", "component", "n", *CODES, F.struct(*CODES).alias("own"), F.struct(*(F.col(f"hub_{c}").alias(c) for c in CODES)).alias("of_hub"))
+    member = ("key", "x", "y", "node", "component", "n", *CODES, "first", "second")
+    odd = odd.select(*member, F.struct(*CODES).alias("own"), F.struct(*(F.col(f"hub_{c}").alias(c) for c in CODES)).alias("of_hub"))
     odd = odd.withColumn("far", _differing("own", "of_hub") > FAR_CODES).drop("own", "of_hub")
     odd = staged(odd, "odd_members")
     near = placed.filter("component = hub_component and node <> hub").join(odd.filter("not far").select("key").distinct(), "key", "left_semi")
     apart = (F.col("x.component") != F.col("y.component")) & _plausible("x", "y", percent)
-    x, y, z = odd.alias("x"), odd.alias("y"), near.select("key", "node", "component", "n", *CODES).alias("y")
+    apart = apart & _first_key("x", "y")
+    x, y, z = odd.alias("x"), odd.alias("y"), near.select(*member).alias("y")
     among = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & apart)
     across = x.filter("not far").join(z, (F.col("x.key") == F.col("y.key")) & apart)
     ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
