@@ -292,7 +292,7 @@ DERIVED = {
 def source(t, name: str) -> DataFrame:
     """One RAW table by source name."""
     table, derive = DERIVED[name]
-    return derive(t.dealt(table))
+    return derive(getattr(t, table))
 
 
 def sources(t) -> dict[str, DataFrame]:

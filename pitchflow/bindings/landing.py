@@ -21,7 +21,7 @@ RESPONSE = """
 
 
 def _requests(t):
-    return t.dealt("orders").selectExpr("o_orderkey AS league_id", "year(o_orderdate) AS season", RESPONSE)
+    return t.orders.selectExpr("o_orderkey AS league_id", "year(o_orderdate) AS season", RESPONSE)
 
 
 ENVELOPE = """
@@ -62,7 +62,7 @@ def envelope_errors(t):
         WHEN '3-MEDIUM' THEN '{"errors": [], "response": [1]}'
         WHEN '4-NOT SPECIFIED' THEN concat('{"errors": {"token": "missing ', o_orderkey, '"}}')
         ELSE '<html>' END AS body"""
-    return S.envelope_errors(t.dealt("orders").selectExpr("o_orderkey AS fixture_id", body), "fixture_events")
+    return S.envelope_errors(t.orders.selectExpr("o_orderkey AS fixture_id", body), "fixture_events")
 
 
 @query(
@@ -74,7 +74,7 @@ def envelope_object(t):
     """Team statistics: the response is one object, and a request with errors gives no row."""
     body = """to_json(struct(CASE WHEN o_orderstatus = 'P' THEN array('no data') ELSE array() END AS errors,
                              struct(o_orderpriority AS form) AS response)) AS body"""
-    requests = t.dealt("orders").selectExpr("o_orderkey AS league_id", "year(o_orderdate) AS season", "o_custkey AS team_id", body)
+    requests = t.orders.selectExpr("o_orderkey AS league_id", "year(o_orderdate) AS season", "o_custkey AS team_id", body)
     rows = S.read_envelope(requests, "team_statistics")
     form = P.try_jget(F.col("payload"), "$.form", "string")
     return rows.select("league_id", "season", "team_id", "pos", "source", form.alias("form"))
@@ -106,7 +106,7 @@ def envelope_nested(t):
 def lineup_side(t):
     body = """to_json(struct(transform(sequence(0, 2), i ->
                 struct(struct(o_custkey + i AS id, concat('Team ', i) AS name) AS team)) AS response)) AS body"""
-    rows = S.read_envelope(t.dealt("orders").selectExpr("o_orderkey AS fixture_id", body), "fixture_lineups")
+    rows = S.read_envelope(t.orders.selectExpr("o_orderkey AS fixture_id", body), "fixture_lineups")
     return rows.select("fixture_id", "team_id", "team_name", "side")
 
 
@@ -148,7 +148,7 @@ def _register(name: str, spec: S.EndpointSpec) -> None:
     def rows(t):
         body = """to_json(struct(transform(sequence(0, 1), i -> struct(o_orderkey * 2 + i AS n, struct(
                     CASE WHEN i = 0 OR o_orderstatus <> 'P' THEN o_custkey + 1 + i END AS id) AS team)) AS response)) AS body"""
-        requests = t.dealt("orders").selectExpr(*[f"{REQUEST_KEYS[k][0]} AS {k}" for k in spec.keys], body)
+        requests = t.orders.selectExpr(*[f"{REQUEST_KEYS[k][0]} AS {k}" for k in spec.keys], body)
         found = S.read_envelope(requests, name)
         return found.select(*spec.keys, *spec.ids, "pos", P.number(F.col("payload"), "$.n").alias("n"))
 
@@ -183,7 +183,7 @@ def _pages(t):
     """Each turn of a conversation is a page of six; some fifth pages came back empty."""
     body = """to_json(struct(struct(turn + 1 AS current, 6 AS total) AS paging,
                 CASE WHEN turn = 4 AND length(text) < 250 THEN array() ELSE split(text, '\\n') END AS response)) AS body"""
-    return t.dealt("conversations").selectExpr("conv_id", body)
+    return t.conversations.selectExpr("conv_id", body)
 
 
 @query(
@@ -224,9 +224,10 @@ def page_status(t):
 def csv_payload(t):
     """Parts as a folder of CSV files and back; an empty cell keeps its key."""
     path = scratch_path(t.spark, "csv")
-    t.part.selectExpr("p_partkey", "p_name", "nullif(p_brand, 'Brand#1') AS p_brand").write.option("header", "true").csv(
-        f"{path}/season/parts"
-    )
+    parts = t.part.selectExpr("p_partkey", "p_name", "nullif(p_brand, 'Brand#1') AS p_brand", "p_size AS extra")
+    orders = (["p_partkey", "p_name", "p_brand"], ["p_brand", "p_partkey", "p_name"], ["p_name", "extra", "p_brand", "p_partkey"])
+    for k, columns in enumerate(orders):
+        parts.filter(F.col("p_partkey") % 3 == k).select(columns).write.option("header", "true").csv(f"{path}/season{k}/parts")
     rows = S.read_csv_payload(t.spark, path)
     p = F.col("payload")
     return rows.select(

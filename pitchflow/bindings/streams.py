@@ -49,7 +49,7 @@ def _landed(spark, path):
 def stream_to_raw(t):
     """A log of JSON files into the RAW table."""
     root = scratch_path(t.spark, "stream")
-    derived.live_log(t.dealt("events")).write.json(f"{root}/log")
+    derived.live_log(t.events).write.json(f"{root}/log")
     stream = S.read_log(t.spark, "json", {}, f"{root}/log")
     streaming.stream_to_raw(stream, f"{root}/raw", f"{root}/checkpoint", loaded_at=_loaded_at()).awaitTermination()
     return _landed(t.spark, f"{root}/raw")
@@ -60,12 +60,24 @@ def stream_replay_idempotent(t):
     """The whole log delivered a second time, after a restart: nothing is stored twice."""
     root = scratch_path(t.spark, "replay")
     for _ in range(2):
-        derived.live_log(t.dealt("events")).write.mode("append").json(f"{root}/log")
+        derived.live_log(t.events).write.mode("append").json(f"{root}/log")
         stream = S.read_log(t.spark, "json", {}, f"{root}/log")
         streaming.stream_to_raw(stream, f"{root}/raw", f"{root}/checkpoint", loaded_at=_loaded_at()).awaitTermination()
     return _landed(t.spark, f"{root}/raw")
 
 
+@query("stream_new_checkpoint", LANDED)
+def stream_new_checkpoint(t):
+    """The log read again through a second checkpoint into the same table, in batches of one file: nothing repeats, nothing goes."""
+    root = scratch_path(t.spark, "again")
+    derived.live_log(t.events).repartition(3).write.json(f"{root}/log")
+    for checkpoint, options in (("first", {}), ("second", {"maxFilesPerTrigger": "1"})):
+        stream = S.read_log(t.spark, "json", options, f"{root}/log")
+        streaming.stream_to_fact(stream, f"{root}/raw", f"{root}/fact", f"{root}/{checkpoint}", loaded_at=_loaded_at()).awaitTermination()
+    fact = t.spark.read.parquet(f"{root}/fact").groupBy("topic", "partition", "offset").count().filter("count = 1").drop("count")
+    return _landed(t.spark, f"{root}/raw").join(fact, ["topic", "partition", "offset"], "left_semi")
+
+
 @query(
     "stream_event_fact",
     f"""
@@ -79,7 +91,7 @@ def stream_replay_idempotent(t):
 def stream_event_fact(t):
     """Log to RAW to the live fact in the same micro-batches; a wrapped message has no event fields."""
     root = scratch_path(t.spark, "fact")
-    derived.live_log(t.dealt("events")).write.json(f"{root}/log")
+    derived.live_log(t.events).write.json(f"{root}/log")
     stream = S.read_log(t.spark, "json", {}, f"{root}/log")
     streaming.stream_to_fact(
         stream, f"{root}/raw", f"{root}/fact", f"{root}/checkpoint", loaded_at=_loaded_at()
@@ -109,7 +121,7 @@ def stream_event_fact(t):
 def live_group(t):
     """The live models built twice over the same log: the stored fact takes each offset once."""
     root = scratch_path(t.spark, "live")
-    sources = {"kafka_fixture_live_events": derived.kafka_fixture_live_events(t.dealt("events"))}
+    sources = {"kafka_fixture_live_events": derived.kafka_fixture_live_events(t.events)}
     plans.run_group(t.spark, "live", sources, root)
     built = plans.run_group(t.spark, "live", sources, root)
     return built["fct_fixture_live_event"].select("event_id", "event_type", "event_time", "player_name")

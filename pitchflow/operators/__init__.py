@@ -4,7 +4,7 @@ from pitchflow.operators.dedup import distinct_by, first_n_by, group_max, latest
 from pitchflow.operators.flatten import flatten
 from pitchflow.operators.grouping import batch_keys, collect_nested, compose_payload, rank_within, sorted_set
 from pitchflow.operators.incremental import unseen, upsert
-from pitchflow.operators.joins import hot_keys, lookup, match_latest, spread_join, unmatched
+from pitchflow.operators.joins import lookup, match_latest, spread_join, unmatched
 from pitchflow.operators.pivot import pivot_max, rank_pivot
 from pitchflow.operators.union import union_padded, unpivot_sides
 from pitchflow.operators.work import active_entities, live_today, pending_work
@@ -18,7 +18,6 @@ __all__ = [
     "first_n_by",
     "flatten",
     "group_max",
-    "hot_keys",
     "latest_by",
     "live_today",
     "lookup",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow.functions import join_ids
+from pitchflow.operators.dedup import first_n_by
 
 # Ids are numbered in ranges of 2^20: the most distinct rows one task sorts for a key.
 RANGE_BITS = 20
@@ -144,16 +145,31 @@ def compose_payload(
 
     Rows are (keys, id, payload text, error text); a row without payload adds only its id and a row
     with an error adds it to `errors`. Output: keys, part, n_items, payload (text). A key with more
-    than `max_items` rows continues in further parts with the same keys.
+    than `max_items` rows continues in further parts with the same keys; its first `max_errors` errors stand in
+    the first of them, and each part has the ids of its own rows.
     """
-    item = [id_col, payload_col] + ([error_col] if error_col else [])
-    grouped = collect_nested(df, keys, item, "_all", max_items)
+    grouped = collect_nested(df, keys, [id_col, payload_col], "_all", max_items)
     ids = F.sort_array(F.array_distinct(F.filter(F.col("_all")[id_col], lambda x: x.isNotNull())))
     response = F.transform(
         F.filter(F.col("_all")[payload_col], lambda x: x.isNotNull()), lambda x: F.try_parse_json(x)
     )
     fields = [*[F.col(k) for k in keys], ids.alias("ids"), response.alias("response")]
     if error_col:
-        errors = F.filter(F.col("_all")[error_col], lambda x: x.isNotNull())
-        fields.append(F.slice(errors, 1, max_errors).alias("errors"))
+        some = df.filter(F.col(error_col).isNotNull()).select(*keys, id_col, payload_col, error_col)
+        order = [F.col(c).asc() for c in (id_col, payload_col, error_col)]
+        ranked = first_n_by(some, keys, order, max_errors, "_rank").groupBy(*keys)
+        first = ranked.agg(F.sort_array(F.collect_list(F.struct("_rank", error_col))).alias("_errors"))
+        first = first.select(*keys, F.col("_errors")[error_col].alias("_errors"))
+        # the head part of each key: a key whose rows all hash beyond part 0 still has one
+        head = grouped.groupBy(*keys).agg(F.min("part").alias("part"))
+        first = _same_keys(first, head, keys)
+        grouped = _same_keys(grouped, first, [*keys, "part"], "left")
+        fields.append(F.coalesce("_errors", F.array().cast("array<string>")).alias("errors"))
     return grouped.select(*keys, "part", "n_items", F.to_json(F.struct(*fields)).alias("payload"))
+
+
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which some may be NULL; the keys are those of the left side."""
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
+    more = [F.col(f"r.{c}") for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), same, how).select(*[F.col(f"l.{c}") for c in left.columns], *more)

@@ -10,80 +10,29 @@ from pyspark.sql import functions as F
 from pitchflow.functions import name_key
 from pitchflow.operators.dedup import first_n_by
 
-# A key is hot when it holds at least 1/HOT_SHARE of all rows, so there are at most HOT_SHARE of them.
-HOT_SHARE = 1000
-# Below this estimated size no key is worth splitting, and the input is not read for it.
-MIN_BYTES = 256 << 20
-# Tracked items per reported one; the sketch may misjudge a key by 3.5 / (10 x HOT_SHARE) of the rows.
-TRACKED = 10
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; nothing is read."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    share: int = HOT_SHARE,
-    min_rows: int = 1_000_000,
-    min_bytes: int = MIN_BYTES,
-) -> list[int]:
-    """Hashes of the keys holding about 1/`share` of all rows or more, and at least `min_rows` of them.
-
-    One pass keeps a frequent-items sketch of fixed size per task and merges the sketches: no
-    shuffle by key, so finding the skew does not meet it. At most `share` numbers reach the driver.
-    """
-    if estimated_bytes(df) < min_bytes:
-        return []
-    hashes = df.select(F.xxhash64(*keys).alias("_h"))
-    top = F.expr(f"approx_top_k(_h, {int(share)}, {int(share * TRACKED)})")
-    total, found = hashes.agg(F.count(F.lit(1)), top).first()
-    return sorted(r["item"] for r in found if r["count"] >= min_rows and r["count"] * share >= total)
-
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str,
-    spread_by: Sequence[str],
-    salts: int = 64,
-    share: int = HOT_SHARE,
-    min_rows: int = 1_000_000,
-    min_bytes: int = MIN_BYTES,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, spread_by: Sequence[str], salts: int = 64
 ) -> DataFrame:
     """Join a possibly skewed `left` to a `right` with at most one row per key.
 
-    Rows of hot keys, and rows whose key is NULL (an outer or anti join sends all of those to one
-    task), get a salt from the hash of `spread_by`; the right rows of hot keys are repeated once per
-    salt, which adds at most `share` x `salts` rows. Both sides decide by the same list of hashes,
-    written into the plan, so they agree even when a stage runs again; a needless hit only costs
-    copies. Without hot keys the right side is left as it is.
+    Rows of a key that holds a large share are split at run time, by the adaptive skew join. What that cannot know
+    is that rows whose key is NULL match nothing: an outer or anti join would send all of those to one task,
+    so they get a salt from the hash of `spread_by`. Nothing is read while the plan is built, and no size decides.
     """
     for c in on:
-        # equal keys of different types would hash differently
         kind = left.schema[c].dataType
         if right.schema[c].dataType != kind:
             right = right.withColumn(c, F.col(c).try_cast(kind))
-    hashes = hot_keys(left, on, share, min_rows, min_bytes)
-    hot = F.xxhash64(*on).isin(hashes) if hashes else F.lit(False)
+    if how in ("inner", "left_semi"):
+        return left.join(right, list(on), how)
     some_null = F.lit(False)
     for c in on:
         some_null = some_null | F.col(c).isNull()
+    # a salt of 0 marks the keys that can match
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    if not hashes:
-        if how in ("inner", "left_semi"):
-            return left.join(right, list(on), how)
-        # only NULL keys are spread; a salt of 0 marks the keys that can match
-        salted = left.withColumn("_salt", F.when(some_null, salt).otherwise(F.lit(0)))
-        return salted.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
-    salted = left.withColumn("_salt", F.when(hot | some_null, salt).otherwise(F.lit(0)))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.when(hot, every).otherwise(F.array(F.lit(0)))
-    repeated = right.withColumn("_salt", F.explode(copies))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    salted = left.withColumn("_salt", F.when(some_null, salt).otherwise(F.lit(0)))
+    return salted.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
 
 
 def lookup(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pitchflow.operators.incremental import unseen
-from pitchflow.session import child_names, path_exists
+from pitchflow.session import child_names, delete_path, path_exists
 
 
 def write_table(df: DataFrame, path: str) -> str:
@@ -25,6 +25,15 @@ def write_table(df: DataFrame, path: str) -> str:
     return target
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 3) -> None:
+    """Remove all but the newest `keep` complete versions, and what failed before the oldest of them."""
+    names = [n for n in child_names(spark, path) if n.startswith("version=")]
+    complete = [n for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS")]
+    for name in names:
+        if len(complete) > keep and name < complete[-keep]:
+            delete_path(spark, f"{path}/{name}")
+
+
 def current_table(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete version of a table written by `write_table`."""
     for name in reversed([n for n in child_names(spark, path) if n.startswith("version=")]):
@@ -35,7 +44,6 @@ def current_table(spark: SparkSession, path: str) -> DataFrame:
 
 # Offsets are stored in folders of 2^20 of them, so that a batch finds its neighbours without a listing.
 RANGE_BITS = 20
-MAX_FOLDERS = 1000
 
 
 def range_of(column: str) -> Column:
@@ -44,23 +52,22 @@ def range_of(column: str) -> Column:
 
 
 def stored_near(src: DataFrame, path: str, column: str) -> DataFrame | None:
-    """The stored rows in the range folders that `src` touches; None when there are none.
+    """The stored rows between the smallest and the largest value of `column` in `src`; None when there are none.
 
-    Only those folders are listed and read. A load that touches more than MAX_FOLDERS of them is no
-    increment, and the whole table is read.
+    The two bounds are read from that column alone. They choose the folders and, within them, the row groups.
     """
     spark = src.sparkSession
     if not path_exists(spark, path):
         return None
-    numbers = [r[0] for r in src.select(range_of(column)).distinct().limit(MAX_FOLDERS + 1).collect()]
-    if len(numbers) > MAX_FOLDERS:
-        folders = [f"{path}/{n}" for n in child_names(spark, path) if n.startswith(f"{column}_range=")]
-    else:
-        folders = [f"{path}/{column}_range={n}" for n in numbers]
-        folders = [f for f in folders if path_exists(spark, f)]
+    low, high = src.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return None
+    first, last = int(low) >> RANGE_BITS, int(high) >> RANGE_BITS
+    named = ((n, n.removeprefix(f"{column}_range=")) for n in child_names(spark, path))
+    folders = [f"{path}/{n}" for n, number in named if number.lstrip("-").isdigit() and first <= int(number) <= last]
     if not folders:
         return None
-    return spark.read.option("basePath", path).parquet(*folders)
+    return spark.read.option("basePath", path).parquet(*folders).filter(F.col(column).between(low, high))
 
 
 def in_ranges(df: DataFrame, column: str) -> DataFrame:
@@ -87,7 +94,7 @@ def merge_incremental(src: DataFrame, path: str, keys: Sequence[str], prune: str
     if prune:
         stored = stored_near(src, path, prune)
         if stored is not None:
-            fresh = unseen(fresh, stored, keys, prune)
+            fresh = unseen(fresh, stored, keys)
         in_ranges(fresh, prune).write.mode("append").partitionBy(f"{prune}_range").parquet(path)
         return
     if path_exists(spark, path):

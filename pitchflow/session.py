@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -35,7 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     base = tempfile.mkdtemp(prefix="pitchflow-")
     spark.conf.set(CHECKPOINT_DIR, base)
@@ -43,18 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/pitchflow/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, in a folder of this application; nothing is created yet."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread_few_splits(df: DataFrame) -> DataFrame:
-    """Deal a scan that has fewer splits than the cluster has cores over all of them.
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of everything that this application keeps while it runs."""
+    return f"{shared_dir(spark)}/pitchflow/{spark.sparkContext.applicationId}"
 
-    A file of one row group is one task however much work follows. A table with enough splits is
-    returned as it is, so at scale this never adds a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application kept. Results that still read from it must have been written before."""
+    delete_path(spark, scratch_root(spark))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

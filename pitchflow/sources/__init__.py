@@ -5,6 +5,7 @@ from pitchflow.sources.envelope import (
     EndpointSpec,
     envelope_errors,
     merge_pages,
+    page_errors,
     page_status,
     read_envelope,
     read_landed,
@@ -32,6 +33,7 @@ __all__ = [
     "envelope_errors",
     "export_json",
     "merge_pages",
+    "page_errors",
     "page_status",
     "raw_rows",
     "read_csv_payload",

@@ -193,8 +193,8 @@ def page_status(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How far each paged request got: keys, last_page, results, complete.
 
     Pages count from 1 while none is missing or empty, up to the first with current >= total; what
-    lies beyond is not part of the result. `df` has keys, page, total, n_items; a page landed twice
-    counts once.
+    lies beyond is not part of the result. `df` has keys, page, total, n_items; of a page landed twice the copy
+    with more items counts, as in `merge_pages`.
 
     Each landed page also names its successor and page 1 as expected, and a slot that was expected
     but not landed is a gap. So every way to stop is seen per (keys, page), and a request with very
@@ -216,7 +216,8 @@ def page_status(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         df.filter(F.col("page") >= 1)
         .select(*keys, F.inline(expected))
         .groupBy(*keys, "page")
-        .agg(F.max("landed").alias("landed"), F.max("total").alias("total"), F.max("n_items").alias("n_items"))
+        .agg(F.max("landed").alias("landed"), F.max(F.struct("n_items", "total")).alias("_copy"))
+        .select(*keys, "page", "landed", "_copy.total", "_copy.n_items")
     )
     gap = ~F.col("landed") | (F.col("n_items") == 0)
     stop = F.when(gap, F.col("page") - 1).when(F.col("page") >= F.col("total"), F.col("page"))
@@ -239,10 +240,18 @@ def _within(pages: DataFrame, last: DataFrame, keys: Sequence[str], salts: int =
     return joined.filter(F.col("page") <= F.col("last_page")).drop("_salt", "last_page")
 
 
+def page_errors(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Landed bodies that no page can be told of, because `paging` is missing or not a number: keys, error."""
+    body = parsed(df, "body", "_body")
+    current, total = (number(F.col("_body"), f"$.paging.{x}") for x in ("current", "total"))
+    return body.filter(current.isNull() | total.isNull()).select(*keys, F.lit("no paging").alias("error"))
+
+
 def merge_pages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Items of all valid pages of each paged request: keys, page, pos, payload.
 
-    `df` has the keys and `body`, one row per landed page; a page landed twice counts once.
+    `df` has the keys and `body`, one row per landed page; of a page landed twice the copy with most items
+    counts, of equally long ones that with the larger total, then hash.
     """
     body = parsed(df, "body", "_body")
     pages = body.select(
@@ -252,6 +261,7 @@ def merge_pages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         elements(F.col("_body"), "$.response").alias("_items"),
     ).withColumn("n_items", F.coalesce(F.size("_items"), F.lit(0)).cast("bigint"))
     last = page_status(pages, keys).select(*keys, "last_page")
-    items = _within(pages.select(*keys, "page", "_items"), last, keys)
-    once = items.groupBy(*keys, "page").agg(F.any_value("_items").alias("_items"))
+    items = _within(pages.select(*keys, "page", "total", "_items"), last, keys)
+    best = F.struct(F.size("_items"), "total", F.xxhash64(F.transform("_items", lambda x: F.to_json(x))))
+    once = items.groupBy(*keys, "page").agg(F.max_by("_items", best).alias("_items"))
     return once.select(*keys, "page", F.posexplode("_items").alias("pos", "payload"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+CSV, PARQUET = "*.[cC][sS][vV]", "*.[pP][aA][rR][qQ][uU][eE][tT]"
+PAYLOAD = "source_file string, payload variant"
 
 
 def _as_payload(df: DataFrame) -> DataFrame:
@@ -21,26 +26,55 @@ def _files(spark: SparkSession, pattern: str):
     return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
 
 
+def _paths(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Files below `path`; their contents are not read."""
+    found = _files(spark, pattern).format("binaryFile").load(path).select("path")
+    return sorted(r["path"] for r in found.collect())
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their first line. Only that line of each file reaches the driver, as the file's path does anyway."""
+    lines = _files(spark, CSV).text(path).filter("length(value) > 0")
+    at_start = lines.select("value", F.col("_metadata.file_path").alias("file"), "_metadata.file_block_start").filter("file_block_start = 0")
+    numbered = at_start.withColumn("line", F.monotonically_increasing_id())
+    first = numbered.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    out: dict[str, list[str]] = {}
+    for r in first.orderBy("file").collect():
+        out.setdefault(r["header"].lstrip("\ufeff").rstrip("\r"), []).append(r["file"])
+    return out
+
+
 def read_csv_payload(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Every row of every `*.csv` below `path`: source_file, payload. Cells stay text, no inference.
 
-    The files of one folder tree share a header, as the parts of one dump do. A quoted cell may hold
-    a line break, which keeps each file in one task; `multi_line=False` lets large files without
-    such cells be split.
+    Each file has its own header: columns may differ between files, in order and in number, and a payload has the keys
+    of its file. Files of one header are one scan. A quoted cell may hold a line break, which keeps each file in one
+    task; `multi_line=False` lets large files without such cells be split. Files without a line, and folders without files, give no row.
     """
-    rows = _files(spark, "*.[cC][sS][vV]").option("header", "true").option("escape", '"')
-    df = rows.option("multiLine", str(multi_line).lower()).csv(path)
-    return _as_payload(df.select("*", F.col("_metadata.file_name").alias("_source_file")))
+    parts = []
+    for header, files in _headers(spark, path).items():
+        names = next(csv.reader([header]))
+        # every header cell as it stands, so that a repeated or empty name is no error before it is named
+        schema = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])
+        rows = spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").option("escape", '"')
+        df = rows.option("multiLine", str(multi_line).lower()).csv(files)
+        places = {name: k for k, name in reversed(list(enumerate(names))) if name}
+        cells = [F.col(f"_{k}").alias(name) for name, k in sorted(places.items(), key=lambda x: x[1])]
+        parts.append(_as_payload(df.select(*cells, F.col("_metadata.file_name").alias("_source_file"))))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], PAYLOAD)
 
 
 def read_tabular_payload(
     spark: SparkSession, path: str, has_csv: bool = True, has_parquet: bool = True, multi_line: bool = True
 ) -> DataFrame:
-    """Rows of the CSV and Parquet files below `path`; every other file is skipped."""
-    parts = []
-    if has_csv:
-        parts.append(read_csv_payload(spark, path, multi_line))
-    if has_parquet:
-        df = _files(spark, "*.[pP][aA][rR][qQ][uU][eE][tT]").parquet(path)
-        parts.append(_as_payload(df.select("*", F.col("_metadata.file_name").alias("_source_file"))))
-    return reduce(DataFrame.unionByName, parts)
+    """Rows of the CSV and Parquet files below `path`, of either or both kinds; every other file is skipped.
+
+    Columns of all Parquet files are kept; a column that a file lacks is NULL in its payloads. Either kind can be
+    left out by its flag.
+    """
+    rows = read_csv_payload(spark, path, multi_line) if has_csv else spark.createDataFrame([], PAYLOAD)
+    files = _paths(spark, path, PARQUET) if has_parquet else []
+    if files:
+        df = spark.read.option("mergeSchema", "true").parquet(*files)
+        rows = rows.unionByName(_as_payload(df.select("*", F.col("_metadata.file_name").alias("_source_file"))))
+    return rows

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,26 +32,28 @@ def log_to_raw_rows(messages: DataFrame, loaded_at: Column | None = None) -> Dat
     )
 
 
-def _write(fresh: DataFrame, path: str, batch_id: int) -> None:
-    """Write a batch to its own folders; running it again replaces exactly those."""
-    rows = in_ranges(fresh, "offset").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("offset_range", "batch_id").parquet(path)
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream, kept with its checkpoint: batches count from 0 again under another one."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
 
 
-def _land(batch: DataFrame, batch_id: int, path: str, loaded_at: Column | None) -> DataFrame | None:
-    """Land the messages of a micro-batch that no earlier batch holds and return what the batch holds.
+def _of_batch(stream_id: str, batch_id: int) -> Column:
+    return (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
 
-    Comparing with earlier batches only, and replacing its own folders, a batch leaves no second
-    copy of a message whether it runs again after a crash or the message is delivered twice.
+
+def _land(rows: DataFrame, near: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
+    """Write rows that the table does not hold from any other batch to folders of this batch.
+
+    A folder belongs to one batch of one stream, and running the batch again replaces exactly its folders: neither
+    a crash, nor a second delivery, nor a new checkpoint, nor another topic's stream repeats or removes a row.
+    `near` has the offsets of the batch.
     """
-    messages = batch.dropDuplicates(list(EVENT_KEYS))
-    stored = stored_near(batch, path, "offset")
+    stored = stored_near(near, path, "offset")
     if stored is not None:
-        messages = unseen(messages, stored.filter(F.col("batch_id") < batch_id), EVENT_KEYS, "offset")
-    _write(log_to_raw_rows(messages, loaded_at), path, batch_id)
-    landed = stored_near(batch, path, "offset")
-    return None if landed is None else landed.filter(F.col("batch_id") == batch_id)
+        rows = unseen(rows, stored.filter(~_of_batch(stream_id, batch_id)), EVENT_KEYS)
+    marked = in_ranges(rows, "offset").withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")})
+    writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("offset_range", "batch_id", "stream_id").parquet(path)
 
 
 def stream_to_raw(
@@ -64,19 +66,24 @@ def stream_to_raw(
 ) -> StreamingQuery:
     """Land a log stream in the RAW table at `path`, and with `fact_path` extend the live fact too.
 
-    Offsets are committed to `checkpoint` after the batch is written. `trigger` is
+    A message is stored once, whatever the stream, checkpoint or topic it comes by; two streams into one table must
+    not run at the same time. Offsets are committed to `checkpoint` after the batch is written. `trigger` is
     `{"availableNow": True}` to drain the log and stop, or e.g. `{"processingTime": "1 second"}`;
     the rows per batch are bounded at the source (`maxOffsetsPerTrigger`, `maxFilesPerTrigger`).
     """
 
+    known: list[str] = []
+
     def land(batch: DataFrame, batch_id: int) -> None:
-        # read several times below: for its ranges, its bounds and its rows
+        known.extend([] if known else [_stream_id(batch.sparkSession, checkpoint)])
+        # read several times below: for its bounds and its rows
         batch.persist()
         try:
-            landed = _land(batch, batch_id, path, loaded_at)
-            if fact_path and landed is not None:
-                # a message landed once is staged once, so the fact needs no comparison of its own
-                _write(fct_fixture_live_event(stg_kafka_fixture_live_events(landed)), fact_path, batch_id)
+            _land(log_to_raw_rows(batch.dropDuplicates(list(EVENT_KEYS)), loaded_at), batch, path, known[0], batch_id)
+            landed = stored_near(batch, path, "offset") if fact_path else None
+            if landed is not None:
+                landed = landed.filter(_of_batch(known[0], batch_id))
+                _land(fct_fixture_live_event(stg_kafka_fixture_live_events(landed)), batch, fact_path, known[0], batch_id)
         finally:
             batch.unpersist()
 

@@ -111,24 +111,21 @@ def test_compose_payload_keeps_the_first_errors(spark):
     assert payload.count('"e') - payload.count('"errors"') == 20 and '"e19"' in payload and '"e20"' not in payload
 
 
+def test_compose_payload_has_the_errors_of_a_key_once(spark):
+    data = [(1, i, f'{{"n":{i}}}', f"e{i:02d}") for i in range(90)] + [(None, 1, None, "x")]
+    df = spark.createDataFrame(data, "k long, id long, payload string, error string")
+    made = O.compose_payload(df, ["k"], "id", "payload", "error", max_items=30).collect()
+    assert sum(r.payload.count('"e') - r.payload.count('"errors"') for r in made) == 20
+    assert sum(r.n_items for r in made) == 91 and len(made) > 2
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
 def test_spread_join_equals_join(spark, how):
     data = [(k if k % 5 else None, i) for i, (k, _) in enumerate(skewed(2000))]
     left = spark.createDataFrame(data, "k int, i int")
     right = spark.createDataFrame([(k, f"r{k}") for k in range(0, 30, 2)], "k int, v string")
     plain = left.join(right, ["k"], how)
-    for min_rows in (1, 1_000_000):
-        spread = O.spread_join(left, right, ["k"], how, ["i"], salts=8, share=10, min_rows=min_rows, min_bytes=0)
-        assert rows(spread) == rows(plain)
-
-
-def test_hot_keys_are_few_and_the_right_ones(spark):
-    df = spark.createDataFrame(skewed(), "k int, id int")
-    hashed = df.select(F.xxhash64("k").alias("h"), "k").distinct().collect()
-    assert O.hot_keys(df, ["k"], share=4, min_rows=1, min_bytes=0) == [r.h for r in hashed if r.k == 0]
-    assert O.hot_keys(df, ["k"], min_bytes=0) == []
-    assert O.hot_keys(df.limit(0), ["k"], min_rows=0, min_bytes=0) == []
-    assert O.hot_keys(df.limit(5), ["k"], min_rows=0, min_bytes=1 << 60) == []
+    assert rows(O.spread_join(left, right, ["k"], how, ["i"], salts=8)) == rows(plain)
 
 
 def test_match_latest_equals_many_to_many(spark):

@@ -206,3 +206,43 @@ def test_stored_payloads_are_read_by_path(spark, tmp_path):
     plan = names._jdf.queryExecution().executedPlan().toString()
     assert "variant_get" not in plan and "ReadSchema: struct<payload:struct<0:string>>" in plan
     assert names.first()[0] == "R"
+
+
+def test_csv_files_with_their_own_headers(spark, tmp_path):
+    import json
+
+    from pitchflow import sources
+
+    (tmp_path / "a.csv").write_text("Nationality,Name,Age\nDE,Bob,31\n")
+    (tmp_path / "b.CSV").write_text("Name,Nationality\nAnn,\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "c.json").write_text("{}")
+    found = sources.read_tabular_payload(spark, str(tmp_path)).selectExpr("source_file", "to_json(payload) AS p").collect()
+    assert {r["source_file"]: json.loads(r["p"]) for r in found} == {
+        "a.csv": {"Nationality": "DE", "Name": "Bob", "Age": "31"},
+        "b.CSV": {"Name": "Ann", "Nationality": None},
+    }
+
+
+def test_parquet_files_with_other_columns_and_empty_folders(spark, tmp_path):
+    from pitchflow import sources
+
+    spark.sql("SELECT 1 AS a").write.parquet(str(tmp_path / "x"))
+    spark.sql("SELECT 2 AS a, 'b' AS b").write.parquet(str(tmp_path / "y"))
+    found = sources.read_tabular_payload(spark, str(tmp_path)).selectExpr("variant_get(payload, '$.a', 'int') a", "variant_get(payload, '$.b', 'string') b")
+    assert sorted(map(tuple, found.collect())) == [(1, None), (2, "b")]
+    (tmp_path / "none").mkdir()
+    assert sources.read_tabular_payload(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_page_landed_twice_counts_as_it_is_merged(spark):
+    from pitchflow import sources
+
+    body = '{{"paging": {{"current": {}, "total": 2}}, "response": {}}}'
+    pages = [(1, body.format(1, [1])), (1, body.format(1, [1, 2, 3])), (1, body.format(2, [4])), (2, '{"response": [1]}')]
+    df = spark.createDataFrame(pages, "k long, body string")
+    merged = sources.merge_pages(df, ["k"])
+    assert merged.count() == 4
+    counts = spark.createDataFrame([(1, 1, 2, 1), (1, 1, 2, 3), (1, 2, 2, 1)], "k long, page long, total long, n_items long")
+    assert [tuple(r) for r in sources.page_status(counts, ["k"]).collect()] == [(1, 2, 4, True)]
+    assert [r["k"] for r in sources.page_errors(df, ["k"]).collect()] == [2]

@@ -202,3 +202,29 @@ def test_live_path_from_polls_to_views(spark, tmp_path):
     assert {r.event_time for r in fact.collect()} == {dt.datetime(2025, 8, 16, 10)}
     sub = plans.fct_fixture_live_substitution(fact).first()
     assert (sub.fixture_id, sub.player_out_id, sub.player_in_id) == (200, 3, None)
+
+
+def test_new_checkpoint_and_second_topic(spark, tmp_path):
+    """Another log into the same table, the same log through another checkpoint, and a second topic: 30 rows, each once."""
+    from pyspark.sql import functions as F
+
+    def log(name, topic, first, n):
+        rows = spark.range(first, first + n).select(
+            F.lit(topic).alias("topic"),
+            F.lit(0).alias("partition"),
+            F.col("id").alias("offset"),
+            F.lit("k").alias("key"),
+            F.lit('{"fixture_id": 1}').alias("value"),
+            F.lit(1_700_000_000_000).alias("timestamp"),
+        )
+        rows.repartition(2).write.json(str(tmp_path / name))
+        return str(tmp_path / name)
+
+    logs = [log("a", "x", 0, 10), log("b", "x", 10, 10), log("c", "y", 0, 10)]
+    for k, path in enumerate([*logs, logs[0]]):
+        stream = S.read_log(spark, "json", {"maxFilesPerTrigger": "1"}, path)
+        out = (str(tmp_path / "raw2"), str(tmp_path / "fact2"), str(tmp_path / f"checkpoint{k}"))
+        streaming.stream_to_fact(stream, *out, loaded_at=at()).awaitTermination()
+    for table in ("raw2", "fact2"):
+        found = spark.read.parquet(str(tmp_path / table)).groupBy("topic", "offset").count().collect()
+        assert len(found) == 30 and all(r["count"] == 1 for r in found)
