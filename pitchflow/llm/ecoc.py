@@ -21,7 +21,7 @@ from pitchflow.llm.common import text_steps, texts_of
 #: Dimensions of the hashed trigram counts.
 DIMENSIONS = 4096
 #: Documents fitted on, over all languages, by the smallest hash of their ids: the bound of the sample.
-SAMPLE = 2000
+SAMPLE = 1000
 #: More languages than this are an error, not a silent cut.
 MAX_LANGUAGES = 500
 #: Below this score the two nearest codewords are too close to tell.
@@ -32,7 +32,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 # letters of ASCII in lower case and all bytes of other characters; the rest is a blank
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
-_PART = 1 << 21
+_PART = 1 << 19
 
 
 def trigram_counts(texts: list[str]) -> np.ndarray:
@@ -110,8 +110,8 @@ def fit(languages: list[str], counts: np.ndarray, labels: np.ndarray) -> Languag
     """Regularised least squares per bit of the code, languages weighing alike; labels index languages."""
     code = codewords(len(languages))
     n = np.maximum(np.bincount(labels, minlength=len(languages)), 1)
-    frequency = counts / np.maximum(counts.sum(1, keepdims=True), 1)
-    balance = 1 / n[labels]
+    frequency = counts / np.maximum(counts.sum(1, keepdims=True), 1).astype(np.float32)
+    balance = (1 / n[labels]).astype(np.float32)
     mean = (frequency * balance[:, None]).sum(0) / balance.sum()
     scale = 1 / np.sqrt(mean + 1 / DIMENSIONS / 10)
     x = frequency * scale - mean * scale
@@ -187,7 +187,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for text in [*texts, None]:
             step.append(text or "")
             held += len(step[-1])
-            if held > 500_000 or len(step) >= 512:
+            if held > 500_000 or len(step) >= 256:
                 out += zip(*model.decide(step), strict=True)
                 step, held = [], 0
         out += zip(*model.decide(step), strict=True) if step else []

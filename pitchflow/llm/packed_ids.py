@@ -140,6 +140,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
                         pieces, held = [], 0
         if pieces:
             yield pa.RecordBatch.from_pydict({"value": pa.array([write_segment(pieces, width)], pa.binary())})
+        to_ids.trim()
 
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
     dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow.llm.common import text_steps, texts_of
-from pitchflow.llm.tokens import encoder
+from pitchflow.llm.tokens import CACHE_CHUNKS, encoder
 
 WINDOW = 4096
 #: Open windows of a task; beyond this they fill each other up. Bounds memory: this many windows of ids.
@@ -137,17 +137,18 @@ class Packer:
         self.levels[:] = 0
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, cache_chunks: int = CACHE_CHUNKS) -> DataFrame:
     """Pieces of all documents in sequences of at most `window` ids: doc_id, start (ids of the document
     before the piece), length, doc_tokens, sequence_id, offset (in the sequence), ids (little-endian uint32).
 
     Each document's ids, and `end_id` behind them, lie in exactly one piece each. NULL and empty texts have
     the end alone; a NULL doc_id stays NULL; equal rows are packed as often as they come; an empty table gives
-    no row. Other columns are left out. Sequence ids are unique, not dense.
+    no row. Other columns are left out. Sequence ids are unique, not dense. `cache_chunks` trades a worker's memory
+    for time and changes no row.
     """
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids, packer = encoder(tokenizer), Packer(window)
+        to_ids, packer = encoder(tokenizer, cache_chunks), Packer(window)
         number = TaskContext.get().partitionId() * TASK_SEQUENCES
         for batch in text_steps(batches):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), to_ids.encode(texts_of(batch)), strict=True):
@@ -157,6 +158,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW) ->
                 number += len(packer.closed)
                 packer.closed = []
         packer.finish()
+        to_ids.trim()
         if packer.closed:
             yield _rows(packer.closed, number)
 

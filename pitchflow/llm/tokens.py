@@ -17,7 +17,7 @@ from unicodedata import is_normalized
 import numpy as np
 
 #: Chunks in a generation of a worker's table, and punctuation runs it keeps (speed only, never the ids).
-CACHE_CHUNKS = 350_000
+CACHE_CHUNKS = 300_000
 CACHE_TAILS = 10_000
 #: Characters encoded in one step, unless a single text has more.
 STEP_CHARS = 2_000_000
@@ -38,9 +38,9 @@ class _Table(dict):
     Two generations: when the younger is full it becomes the older, and what is met again moves up.
     """
 
-    def __init__(self, encode):
+    def __init__(self, encode, limit: int):
         super().__init__()
-        self.encode = encode
+        self.encode, self.limit = encode, limit
         self.older: dict[str, int] = {}
         self._fresh()
 
@@ -57,7 +57,7 @@ class _Table(dict):
         return slot
 
     def slots(self, chunks: list[str]) -> np.ndarray:
-        if len(self) > CACHE_CHUNKS:
+        if len(self) > self.limit:
             self._turn()
         slots = np.array(list(map(self.__getitem__, chunks)), np.int64)
         if self.unseen:
@@ -84,6 +84,11 @@ class _Table(dict):
         self.slots_used = last
         self.unseen = []
 
+    def trim(self) -> None:
+        """Forget the older generation."""
+        self.older = {}
+        self.older_ids = self.older_start = self.older_length = np.zeros(0, np.int64)
+
     def _turn(self) -> None:
         self.older = dict(self)
         self.older_ids, self.older_start, self.older_length = self.ids, self.start, self.length
@@ -98,7 +103,7 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
 class Encoder:
     """Whole texts to ids, equal to encoding each text by itself without special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per Spark task
         from tokenizers import Tokenizer
 
@@ -110,8 +115,8 @@ class Encoder:
         self.vocab_size = self.tokenizer.get_vocab_size()
         self.simple = self._simple_is_right()
         self.tails: dict[str, list[int]] = {}
-        self.head = _Table(self._whole)
-        self.tail = _Table(partial(self._chunk, " " if self.keeps_space else ""))
+        self.head = _Table(self._whole, cache_chunks)
+        self.tail = _Table(partial(self._chunk, " " if self.keeps_space else ""), cache_chunks)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -182,6 +187,11 @@ class Encoder:
             if collecting:
                 gc.enable()
 
+    def trim(self) -> None:
+        """Give back half of the memory between tasks: another operator's task may follow in this worker."""
+        self.head.trim()
+        self.tail.trim()
+
     def _in_steps(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
         step, size = [], 0
@@ -214,7 +224,7 @@ def _gather(table: _Table, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return table.ids[np.repeat(table.start[slots] - before, lengths) + np.arange(int(lengths.sum()))], lengths
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """This worker's encoder of a tokenizer file, kept between tasks."""
-    return Encoder(path)
+@lru_cache(maxsize=2)
+def encoder(path: str, cache_chunks: int = CACHE_CHUNKS) -> Encoder:
+    """This worker's encoder of a tokenizer file, kept between tasks. A smaller table takes less memory and more time."""
+    return Encoder(path, cache_chunks)
