@@ -133,7 +133,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
     out. Without a toxic or without a clean document every text scores the share of toxic labels."""
     labels = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = _draw(labels.dropDuplicates(["doc_id"]), sample)
-    texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
+    texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.join(F.broadcast(chosen), "doc_id")  # ids only, bounded by the sample
     texts = staged(texts, "toxic_sample")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
