@@ -14,6 +14,8 @@ from pitchflow.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text handed to a numpy step at once, unless one text has more.
 STEP_BYTES = 4_000_000
+#: Rows in an Arrow batch.
+BATCH_ROWS = 1000
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -23,6 +25,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Let at most `BATCH_ROWS` whole texts go to a Python worker at once, unless the session asks for fewer: the default
+    of 10,000 rows is a hundred megabytes of ordinary texts, and a gigabyte of long ones."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def text_steps(batches: Iterator[pa.RecordBatch], step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about `step_bytes` each (by Arrow's size of the rows, one row at least)."""
     for batch in batches:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import text_steps, texts_of
+from pitchflow.llm.common import small_batches, text_steps, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -405,4 +405,4 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("added", pa.bool_())]))
             yield pa.RecordBatch.from_pydict(columns | {"found": pa.array(found, kind)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SCHEMA)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SCHEMA)

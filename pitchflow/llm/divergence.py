@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import staged, text_steps, texts_of
+from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 
 #: Share of a language's words from which a word is common: at most 1000 words are.
 COMMON_SHARE = 1 / 1000
@@ -116,7 +116,7 @@ def references(docs: DataFrame) -> dict[str, Reference]:
     names those that have it there (at most 1000 a language), and the second pass counts the named ones everywhere.
     Only per-language totals and common words come to the driver.
     """
-    docs = docs.filter("lang is not null and text is not null").select("lang", "text")
+    docs = small_batches(docs).filter("lang is not null and text is not null").select("lang", "text")
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: dict[str, np.ndarray] = {}
@@ -217,7 +217,7 @@ def judge(docs: DataFrame, refs: dict[str, Reference]) -> DataFrame:
             columns = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW, strict=True)], names=_NAMES)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").mapInArrow(rows, KINDS)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").mapInArrow(rows, KINDS)
 
 
 _NAMES = [x.split()[0] for x in KINDS.split(", ")]

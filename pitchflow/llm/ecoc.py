@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import text_steps, texts_of
+from pitchflow.llm.common import small_batches, text_steps, texts_of
 
 #: Dimensions of the hashed trigram counts.
 DIMENSIONS = 4096
@@ -135,7 +135,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Fit on a bounded sample of (doc_id, text, lang): of each language as many whole documents as `sample` allows for
     all, those with the smallest hashes. Rows with a NULL lang or no text are left out; without any
     the model knows no language."""
-    some = labelled.filter("lang is not null and length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    some = small_batches(labelled).filter("lang is not null and length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     sizes = some.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
@@ -175,6 +175,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     NULL and empty texts and texts without a letter are `und` with score 0. Only the text is looked at; it is read
     whole, whatever its length. Equal texts get equal results.
     """
+    docs = small_batches(docs)
     keep = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")

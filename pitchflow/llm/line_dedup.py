@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import staged, text_steps, texts_of
+from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 
 #: Words that a common block has at least.
 MIN_WORDS = 10
@@ -231,6 +231,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows under one doc_id are never cut for one another. A text whose lines all go becomes empty or blank.
     Columns called n_deleted or overlaps in the input are replaced.
     """
+    docs = small_batches(docs)
     keep = [c for c in docs.columns if c not in ("n_deleted", "overlaps")]
     others = [c for c in keep if c != "text"]
     rows = docs.select(F.struct(*others).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import staged, text_steps, texts_of
+from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 from pitchflow.llm.components import connected_components
 
 SKETCHES = 16
@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     doc_id are linked with nothing either (component_id NULL, kept). Equal rows get equal results; different
     texts under one doc_id count as one document where they meet. Other columns are left out.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kinds = f"doc_id long, n_shingles long, set_id binary, {' long, '.join(CODES)} long, sketches array<long>"
     rows = staged(docs.mapInArrow(_sketch_rows(size), kinds), "sketches")
     some = rows.filter("n_shingles > 0 and doc_id is not null")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pitchflow.llm.common import staged, text_steps, texts_of
+from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 from pitchflow.llm.tokens import encoder
 
 MAGIC = b"PFI1"
@@ -120,7 +120,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
     task: a lost executor leaves no half file.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // FILE_CHARS))
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchflow.llm.common import text_steps, texts_of
+from pitchflow.llm.common import small_batches, text_steps, texts_of
 from pitchflow.llm.tokens import CACHE_CHUNKS, encoder
 
 WINDOW = 4096
@@ -162,7 +162,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, cac
         if packer.closed:
             yield _rows(packer.closed, number)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of_task, SCHEMA)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of_task, SCHEMA)
 
 
 def _rows(sequences: list[list[Piece]], number: int) -> pa.RecordBatch:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import staged, text_steps, texts_of
+from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 
 #: Labelled documents of either class that are fitted on, about: the bound of the sample.
 SAMPLE = 6000
@@ -133,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
     out. Without a toxic or without a clean document every text scores the share of toxic labels."""
     labels = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = _draw(labels.dropDuplicates(["doc_id"]), sample)
-    texts = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = small_batches(docs).filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(F.broadcast(chosen), "doc_id")  # ids only, bounded by the sample
     texts = staged(texts, "toxic_sample")
 
@@ -262,4 +262,4 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 }
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, KINDS)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, KINDS)
