@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,12 +36,25 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def release_memory() -> None:
+    """Give memory that nothing holds back to the system: workers stay between tasks, and share their executor's limit."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_steps(batches: Iterator[pa.RecordBatch], step_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with about `step_bytes` each (by Arrow's size of the rows, one row at least)."""
+    """Slices of the batches with about `step_bytes` each (by Arrow's size of the rows, one row at least).
+
+    Before the first and after the last, the worker gives free memory back.
+    """
+    release_memory()
     for batch in batches:
         rows = max(1, int(batch.num_rows * step_bytes / max(batch.nbytes, 1)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        del batch
+    release_memory()
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -51,7 +51,8 @@ class Packer:
         for at in range(0, whole, self.window):
             self.closed.append([(doc_id, at, ids[at : at + self.window], len(ids))])
         if whole < len(ids):
-            self._place((doc_id, whole, ids[whole:], len(ids)))
+            # a copy: an open window must not hold all ids of a long document
+            self._place((doc_id, whole, ids[whole:].copy(), len(ids)))
         if self.n_open > self.max_open:
             self.settle()
 
