@@ -182,6 +182,34 @@ def batch_keys_limited(t):
     return O.batch_keys(t.orders, "o_orderkey", ["o_custkey"], 3, limit=7)
 
 
+@query(
+    "batch_keys_text",
+    """
+    WITH d AS (SELECT DISTINCT l_returnflag, md5(CAST(l_orderkey AS VARCHAR)) AS id FROM lineitem),
+    r AS (SELECT *, (row_number() OVER (PARTITION BY l_returnflag ORDER BY id) - 1) // 20 + 1 AS batch_no FROM d)
+    SELECT l_returnflag, batch_no, count(*) AS n_ids, string_agg(id, '-' ORDER BY id) AS ids FROM r GROUP BY ALL
+    """,
+)
+def batch_keys_text(t):
+    """Text ids, spread over their whole domain, of three hot keys."""
+    rows = t.lineitem.select("l_returnflag", F.md5(F.col("l_orderkey").cast("string").cast("binary")).alias("id"))
+    return O.batch_keys(rows, "id", ["l_returnflag"], 20)
+
+
+@query(
+    "batch_keys_sparse",
+    """
+    WITH d AS (SELECT DISTINCT l_linestatus, l_orderkey * 8589934609 - 4611686018427387 AS id FROM lineitem),
+    r AS (SELECT *, (row_number() OVER (PARTITION BY l_linestatus ORDER BY id) - 1) // 20 + 1 AS batch_no FROM d)
+    SELECT l_linestatus, batch_no, count(*) AS n_ids, string_agg(id, '-' ORDER BY id) AS ids FROM r GROUP BY ALL
+    """,
+)
+def batch_keys_sparse(t):
+    """Whole numbers far apart, of two hot keys."""
+    rows = t.lineitem.selectExpr("l_linestatus", "l_orderkey * 8589934609 - 4611686018427387 AS id")
+    return O.batch_keys(rows, "id", ["l_linestatus"], 20)
+
+
 @query(
     "sorted_set",
     """
@@ -228,6 +256,39 @@ def collect_nested_parts(t):
     )
 
 
+@query(
+    "compose_payload_parts",
+    """
+    WITH d AS (SELECT DISTINCT o_orderstatus, o_custkey FROM orders),
+    k AS (SELECT o_orderstatus, count(*) AS n_responses, least(count(*) FILTER (WHERE o_orderpriority = '1-URGENT'), 20) AS n_errors
+          FROM orders GROUP BY 1)
+    SELECT o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey) - 1 AS place,
+           o_custkey AS id, n_responses, n_errors FROM d JOIN k USING (o_orderstatus)
+    """,
+)
+def compose_payload_parts(t):
+    """Keys of many parts: one list of ids and one of errors for each key, in the order of its parts."""
+    rows = t.orders.selectExpr(
+        "o_orderstatus",
+        "o_custkey AS id",
+        "to_json(struct(o_orderkey AS id)) AS payload",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN concat('late ', o_orderkey) END AS error",
+    )
+    made = P.parsed(O.compose_payload(rows, ["o_orderstatus"], "id", "payload", "error", max_items=100), "payload")
+    p = F.col("p")
+    read = made.select(
+        "o_orderstatus",
+        "part",
+        P.jget(p, "$.ids", "array<bigint>").alias("ids"),
+        P.array_size(p, "$.response").alias("n_responses"),
+        P.array_size(p, "$.errors").alias("n_errors"),
+    )
+    totals = read.groupBy("o_orderstatus").agg(F.sum("n_responses").alias("n_responses"), F.sum("n_errors").alias("n_errors"))
+    each = read.select("o_orderstatus", "part", F.posexplode("ids").alias("at", "id"))
+    each = each.select("o_orderstatus", (F.col("part") * 100 + F.col("at")).alias("place"), "id")
+    return each.join(totals, "o_orderstatus")
+
+
 @query(
     "compose_payload",
     """

@@ -189,6 +189,25 @@ def stream_new_events(t):
     return t.spark.read.parquet(f"{root}/out").select("fixture_id", "poll", "pos", "minute", "event_type")
 
 
+@query("stream_new_events_split", EMITTED)
+def stream_new_events_split(t):
+    """The same rounds, each in several files that arrive one micro-batch after another."""
+    root = scratch_path(t.spark, "polls")
+    polls = t.events.selectExpr(*POLLS)
+    polls.write.parquet(f"{root}/all")
+    stored = t.spark.read.schema(polls.schema).parquet(f"{root}/all")
+    parts = stored.withColumn("half", F.pmod(F.xxhash64("pos"), F.lit(2)))
+    # two files per round, in the order of the rounds but not of the list inside one
+    for poll, half in [(p, h) for p in range(5) for h in range(2)]:
+        here = parts.filter((F.col("poll") == poll) & (F.col("half") == half))
+        here.drop("half").coalesce(1).write.mode("append").parquet(f"{root}/polls")
+    stream = t.spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/polls")
+    streaming.emit_new_events(
+        stream, f"{root}/out", f"{root}/cursor", f"{root}/checkpoint", "fixture_id", "minute", "pos", "poll"
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{root}/out").select("fixture_id", "poll", "pos", "minute", "event_type")
+
+
 @query(
     "poll_round",
     """

@@ -11,37 +11,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pitchflow.functions import join_ids
 from pitchflow.operators.dedup import first_n_by
-
-# Ids are numbered in ranges of 2^20: the most distinct rows one task sorts for a key.
-RANGE_BITS = 20
+from pitchflow.session import scratch_path
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], id_col: str, rank: str = "rank") -> DataFrame:
     """The distinct (keys, id) pairs with the 1-based rank of the id within its keys.
 
-    A window over the keys alone would sort a hot key in one task. Ids are whole numbers, so a
-    range of 2^20 of them holds at most that many rows: rows are ranked inside
-    (keys, range) and shifted by the sizes of the key's earlier ranges.
+    Ids are of any type that can be ordered. A window over the keys alone would sort a hot key in one task, so
+    the pairs are dealt into ranges of (keys, id), as many as the shuffle has partitions: rows are ranked
+    inside (keys, range) and shifted by the sizes of the key's earlier ranges. The ranges are sampled, so the
+    pairs are written once with their range and read for both.
     """
-    if not isinstance(df.schema[id_col].dataType, T.IntegralType):
-        raise TypeError(f"{id_col} must be a whole number")
-    bucket = F.shiftright(F.col(id_col), RANGE_BITS)
-    pairs = df.select(*keys, id_col).distinct().withColumn("_bucket", bucket)
-    sizes = pairs.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(id_col)
+    spark = df.sparkSession
+    pairs = df.select(*keys, id_col).distinct().repartitionByRange(*keys, id_col)
+    pairs = pairs.withColumn("_range", F.spark_partition_id())
+    path = scratch_path(spark, "ranges")
+    pairs.write.parquet(path)
+    pairs = spark.read.schema(pairs.schema).parquet(path)
+    sizes = pairs.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select(*keys, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(id_col)
     local = pairs.withColumn("_local", F.row_number().over(inside))
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*keys, "_bucket"]]
-    joined = local.alias("l").join(shifts.alias("s"), same, "inner")
-    return joined.select(
-        *[F.col(f"l.{c}").alias(c) for c in [*keys, id_col]],
-        (F.col("l._local") + F.col("s._shift")).cast("bigint").alias(rank),
-    )
+    joined = _same_keys(local, shifts, [*keys, "_range"])
+    return joined.select(*keys, id_col, (F.col("_local") + F.col("_shift")).cast("bigint").alias(rank))
 
 
 def batch_keys(
@@ -145,11 +141,27 @@ def compose_payload(
 
     Rows are (keys, id, payload text, error text); a row without payload adds only its id and a row
     with an error adds it to `errors`. Output: keys, part, n_items, payload (text). A key with more
-    than `max_items` rows continues in further parts with the same keys; its first `max_errors` errors stand in
-    the first of them, and each part has the ids of its own rows.
+    than `max_items` rows continues in further parts with the same keys: its first `max_errors` errors stand in
+    the first of them, and its one list of ids goes on through them, `max_items` in each from part 0 on, so that an
+    id stands in one part only (a part may have ids or responses alone).
     """
     grouped = collect_nested(df, keys, [id_col, payload_col], "_all", max_items)
-    ids = F.sort_array(F.array_distinct(F.filter(F.col("_all")[id_col], lambda x: x.isNotNull())))
+    over_full = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_items)
+    pairs = df.filter(F.col(id_col).isNotNull()).select(*keys, id_col).distinct()
+    listed = sorted_set(_same_keys(pairs, over_full, keys), keys, id_col, "_listed", max_items)
+    grouped = _same_keys(grouped, over_full, keys, "left").alias("g")
+    same = [F.col(f"g.{c}").eqNullSafe(F.col(f"i.{c}")) for c in [*keys, "part"]]
+    # a row of either side alone has no part on the other
+    here = F.col("g.part").isNotNull()
+    grouped = grouped.join(listed.alias("i"), same, "full").select(
+        *[F.when(here, F.col(f"g.{c}")).otherwise(F.col(f"i.{c}")).alias(c) for c in [*keys, "part"]],
+        F.coalesce("g.n_items", F.lit(0).cast("bigint")).alias("n_items"),
+        F.coalesce("g._all", F.array()).alias("_all"),
+        (F.col("g._rows").isNotNull() | ~here).alias("_over_full"),
+        F.coalesce("i._listed", F.array()).alias("_listed"),
+    )
+    own = F.sort_array(F.array_distinct(F.filter(F.col("_all")[id_col], lambda x: x.isNotNull())))
+    ids = F.when(F.col("_over_full"), F.col("_listed")).otherwise(own)
     response = F.transform(
         F.filter(F.col("_all")[payload_col], lambda x: x.isNotNull()), lambda x: F.try_parse_json(x)
     )

@@ -2,7 +2,8 @@
 
 The rule: an event passes when its minute is known, not 0, and beyond the last minute emitted for
 its fixture by an earlier poll. All events of one poll are compared with the same last minute; the
-last one emitted, in list order, sets the next.
+last one emitted, in list order, sets the next. A round may arrive in any number of micro-batches: the
+cursor keeps what each fixture had before its newest round, and a later part of that round is compared with it.
 """
 
 from __future__ import annotations
@@ -34,6 +35,31 @@ def next_cursor(emitted: DataFrame, cursor: DataFrame, key: str, minute: str, po
     return cursor.join(moved.select(key), key, "left_anti").unionByName(moved)
 
 
+def _known_before(cursor: DataFrame, value: object, key: str) -> DataFrame:
+    """What a part of round `value` is compared with: a fixture's last minute before that round."""
+    same = F.col("poll") == F.lit(value)
+    return cursor.select(key, F.when(same, F.col("before")).otherwise(F.col("last_seen")).alias("last_seen"))
+
+
+def _cursor_after(emitted: DataFrame, cursor: DataFrame, value: object, key: str, minute: str, pos: str) -> DataFrame:
+    """The cursor (key, poll, before, pos, last_seen) after a part of round `value`: of the events that the round has
+    emitted so far, the last in list order counts, whichever part it came in."""
+    last = F.max(F.struct(F.col(pos).alias("pos"), F.col(minute).cast("bigint").alias("last_seen")))
+    moved = emitted.groupBy(key).agg(last.alias("last")).alias("m")
+    old, new = cursor.alias("c"), F.col("m.last")
+    kept = new.isNull()
+    same = F.coalesce(F.col("c.poll") == F.lit(value), F.lit(False))
+    earlier = kept | (same & (F.col("c.pos") > new["pos"]))
+    this = F.greatest(F.col("c.poll"), F.lit(value).cast(cursor.schema["poll"].dataType))
+    return old.join(moved, key, "full").select(
+        key,
+        F.when(kept, F.col("c.poll")).otherwise(this).alias("poll"),
+        F.when(kept | same, F.col("c.before")).otherwise(F.col("c.last_seen")).alias("before"),
+        F.when(earlier, F.col("c.pos")).otherwise(new["pos"]).alias("pos"),
+        F.when(earlier, F.col("c.last_seen")).otherwise(new["last_seen"]).alias("last_seen"),
+    )
+
+
 def emit_new_events(
     stream: DataFrame,
     out_path: str,
@@ -49,19 +75,22 @@ def emit_new_events(
     """Write the new events of every poll round in a stream of exploded polls.
 
     One round asks for all fixtures, so a round is a large distributed batch and only rounds follow
-    one another. The state per fixture is a small table with a version per round: a batch that runs
+    one another; bound the stream (`maxFilesPerTrigger`) where a backlog may hold very many rounds. The state per
+    fixture is a small table with a version per round: a batch that runs
     again starts from the version before it and overwrites its own output. Keyed state functions
     would send every event of a busy fixture through one task; here only its last minute is keyed.
     """
-    key_type = stream.schema[key].dataType.simpleString()
+    types = {name: stream.schema[name].dataType.simpleString() for name in (key, poll, pos)}
+    schema = f"{key} {types[key]}, poll {types[poll]}, before bigint, pos {types[pos]}, last_seen bigint"
 
     def one_round(batch: DataFrame, value: int, version: str, out: str) -> None:
         spark = batch.sparkSession
-        cursor = _cursor_before(spark, cursor_path, version, key, key_type)
-        fresh = new_events(batch.filter(F.col(poll) == F.lit(value)), cursor, key, minute, pos)
+        cursor = _cursor_before(spark, cursor_path, version, schema)
+        known = _known_before(cursor, value, key)
+        fresh = new_events(batch.filter(F.col(poll) == F.lit(value)), known, key, minute, pos)
         fresh.write.mode("overwrite").parquet(out)
         emitted = spark.read.schema(batch.schema).parquet(out)
-        after = next_cursor(emitted, cursor, key, minute, pos)
+        after = _cursor_after(emitted, cursor, value, key, minute, pos)
         after.write.mode("overwrite").parquet(f"{cursor_path}/{version}")
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -84,8 +113,7 @@ def emit_new_events(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _cursor_before(spark: SparkSession, path: str, version: str, key: str, key_type: str) -> DataFrame:
-    schema = f"{key} {key_type}, last_seen bigint"
+def _cursor_before(spark: SparkSession, path: str, version: str, schema: str) -> DataFrame:
     for name in reversed(child_names(spark, path)):
         if name.startswith("version=") and name < version and path_exists(spark, f"{path}/{name}/_SUCCESS"):
             return spark.read.schema(schema).parquet(f"{path}/{name}")

@@ -1,6 +1,7 @@
 """Operators on small inputs, with skew, copies and order changes."""
 
 import itertools
+import json
 import random
 
 import pytest
@@ -9,7 +10,6 @@ from pyspark.sql import types as T
 
 from pitchflow import operators as O
 from pitchflow.functions import elements, parsed
-from pitchflow.operators import grouping
 
 
 def rows(df):
@@ -50,8 +50,7 @@ def test_first_n_by_matches_brute_force(spark, n):
     assert got == sorted(want, key=repr)
 
 
-def test_rank_within_crosses_ranges(spark, monkeypatch):
-    monkeypatch.setattr(grouping, "RANGE_BITS", 4)
+def test_rank_within_crosses_ranges(spark):
     data = [*skewed(), (None, 3), (None, 999), (5, -40)]
     got = rows(O.rank_within(spark.createDataFrame(data, "k int, id int"), ["k"], "id"))
     want = []
@@ -60,8 +59,7 @@ def test_rank_within_crosses_ranges(spark, monkeypatch):
     assert got == sorted(want, key=repr)
 
 
-def test_batch_keys(spark, monkeypatch):
-    monkeypatch.setattr(grouping, "RANGE_BITS", 3)
+def test_batch_keys(spark):
     data = skewed(900)
     got = rows(O.batch_keys(spark.createDataFrame(data, "k int, id int"), "id", ["k"], 20))
     want = []
@@ -73,9 +71,19 @@ def test_batch_keys(spark, monkeypatch):
     assert got == sorted(want, key=repr)
 
 
-def test_batch_keys_needs_whole_numbers(spark):
-    with pytest.raises(TypeError):
-        O.batch_keys(spark.createDataFrame([("a", "b")], "k string, id string"), "id", ["k"])
+def test_batch_keys_of_text_and_of_sparse_ids(spark):
+    data = [(i % 2 if i % 5 else None, f"id{i * 7919 % 1000:03d}") for i in range(400)] * 2
+    got = rows(O.batch_keys(spark.createDataFrame(data, "k int, id string"), "id", ["k"], 30))
+    want = []
+    for k in {k for k, _ in data}:
+        ids = sorted({v for kk, v in data if kk == k})
+        want += [(k, b // 30 + 1, len(ids[b : b + 30]), "-".join(ids[b : b + 30])) for b in range(0, len(ids), 30)]
+    assert got == sorted(want, key=repr)
+    sparse = spark.range(20_000).select(F.lit(1).alias("k"), F.xxhash64("id").alias("id"))
+    ranked = O.rank_within(sparse, ["k"], "id")
+    ids = [r.id for r in ranked.orderBy("rank").collect()]
+    assert ids == sorted(ids) and len(ids) == 20_000
+    assert ranked.agg(F.max("rank")).first()[0] == 20_000
 
 
 def test_collect_nested_keeps_everything_in_bounded_parts(spark):
@@ -119,6 +127,18 @@ def test_compose_payload_has_the_errors_of_a_key_once(spark):
     assert sum(r.n_items for r in made) == 91 and len(made) > 2
 
 
+def test_compose_payload_has_one_list_of_ids_per_key(spark):
+    data = [(1, i % 70, f'{{"n":{i}}}') for i in range(200)] + [(2, 9, None), (2, 3, '{"n":0}'), (None, None, '{"n":1}'), (None, 4, None)]
+    df = spark.createDataFrame(data, "k long, id long, payload string")
+    made = O.compose_payload(df, ["k"], "id", "payload", max_items=30).orderBy("k", "part").collect()
+    bodies = [(r.k, r.part, json.loads(r.payload)) for r in made]
+    assert [i for k, _, b in bodies if k == 1 for i in b["ids"]] == list(range(70))
+    assert sorted(x["n"] for k, _, b in bodies if k == 1 for x in b["response"]) == list(range(200))
+    assert [(p, b["ids"], len(b["response"])) for k, p, b in bodies if k == 2] == [(0, [3, 9], 1)]
+    assert [(p, b["ids"], len(b["response"])) for k, p, b in bodies if k is None] == [(0, [4], 1)]
+    assert sum(r.n_items for r in made) == 204
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
 def test_spread_join_equals_join(spark, how):
     data = [(k if k % 5 else None, i) for i, (k, _) in enumerate(skewed(2000))]

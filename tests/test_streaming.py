@@ -124,6 +124,21 @@ def test_polls_random_with_a_hot_fixture(spark, tmp_path):
     assert run_polls(spark, tmp_path) == brute_force(polls)
 
 
+def test_a_round_split_over_batches(spark, tmp_path):
+    """Parts of a round arrive one micro-batch after another, in any order of the list; none is lost or repeated."""
+    rng = random.Random(8)
+    polls = {p: [(rng.randrange(3), i, rng.choice([None, 0, *range(1, 95)])) for i in range(40)] for p in range(1, 4)}
+    polls[0] = [(9, 0, 50), (9, 1, 10)]
+    for p in sorted(polls):
+        parts = list(polls[p])
+        rng.shuffle(parts)
+        for part in ([parts[:1], parts[1:]] if p == 0 else [parts[:13], parts[13:30], parts[30:]]):
+            write_poll(spark, tmp_path / "polls", p, part)
+            run_polls(spark, tmp_path)
+    assert run_polls(spark, tmp_path) == brute_force(polls)
+    assert (9, 0, 1, 10) in brute_force(polls)
+
+
 def test_old_cursors_go(spark, tmp_path):
     paths = [str(tmp_path / p) for p in ("out", "cursor", "ckpt")]
     for p in range(1, 5):
