@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow.llm.common import small_batches, text_steps, texts_of
-from pitchflow.llm.tokens import CACHE_CHUNKS, encoder
+from pitchflow.llm.tokens import encoder
 
 WINDOW = 4096
 #: Open windows of a task; beyond this they fill each other up. Bounds memory: this many windows of ids.
 MAX_OPEN = 2048
 #: Sequences of a task are numbered from its number times this on.
 TASK_SEQUENCES = 1 << 33
+#: Chunks in the encoder's table: packing holds little else, so it can afford more of them than other operators.
+CACHE_CHUNKS = 800_000
 
 Piece = tuple[int | None, int, np.ndarray, int]  # doc_id, start, ids, ids of the document
 
