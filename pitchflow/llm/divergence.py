@@ -1,8 +1,8 @@
 """Quality rules by distribution divergence: a document's character classes and common words against its language's.
 
-The reference of a language is made of all its documents: the shares of character classes, and the shares of the
-words that make up `COMMON_SHARE` or more of its words, with one place for all other words. A document whose
-Jensen-Shannon distance to its reference is too large is dropped, if it is long enough to tell.
+The reference of a language is made of all its documents, if they are long enough together: the shares of character
+classes, and the shares of the words that make up `COMMON_SHARE` or more of its words, with one place for all other
+words. A document whose Jensen-Shannon distance to its reference is too large is dropped, if it is long enough to tell.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 
 #: Share of a language's words from which a word is common: at most 1000 words are.
 COMMON_SHARE = 1 / 1000
-#: Share of all characters from which a language has a reference: at most 1000 languages do.
-LANGUAGE_SHARE = 1 / 1000
 #: Least code points for the character classes and least words for the common words.
 MIN_CHARS, MIN_WORDS = 200, 50
+#: Code points of a language from which it has a reference, and words from which that has common words.
+REFERENCE_CHARS, REFERENCE_WORDS = 100 * MIN_CHARS, 100 * MIN_WORDS
 #: Largest distances kept (0 to 1, base 2). Samples are noisy: the word limit is higher for short documents.
 CHAR_LIMIT, WORD_LIMIT, WORD_NOISE = 0.3, 0.26, 1.7
 
@@ -90,19 +90,39 @@ def js_distance(counts: np.ndarray, reference: np.ndarray) -> float:
 
 @dataclass
 class Reference:
-    """A language's shares of classes, the places of its common words, and their shares (last: all other words)."""
+    """A language's shares of classes, the places of its common words, their shares (last: all other words), and the
+    number of its words."""
 
     classes: np.ndarray
     places: dict[bytes, int]
     words: np.ndarray
+    n_words: int
 
-    def distances(self, data: bytes, words: list[bytes]) -> tuple[float, float]:
-        """Distance of the classes and of the common words."""
+    def word_distance(self, words: list[bytes]) -> float | None:
+        """Distance of the common words, if there are enough on both sides."""
+        if len(words) < MIN_WORDS or self.n_words < REFERENCE_WORDS:
+            return None
         found = Counter(map(self.places.get, words))
         counts = np.zeros(len(self.words))
         for place, n in found.items():
             counts[-1 if place is None else place] += n
-        return js_distance(class_counts(data), self.classes), js_distance(counts, self.words)
+        return js_distance(counts, self.words)
+
+
+def nearest(refs: list[Reference], data: bytes, words: list[bytes]) -> tuple[float | None, float | None, bool]:
+    """Distances of the classes and of the common words to the reference that is nearest by both, in parts of their limits,
+    and whether one is above its limit: it is, for that reference, only if it is for all."""
+    if not refs:
+        return None, None, False
+    classes = class_counts(data)
+    limit = WORD_LIMIT + WORD_NOISE / np.sqrt(max(len(words), 1))
+    best: tuple = (np.inf, None, None)
+    for near, k in sorted((js_distance(classes, r.classes), k) for k, r in enumerate(refs)):
+        if near / CHAR_LIMIT >= best[0]:
+            break  # so are all that follow
+        far = refs[k].word_distance(words)
+        best = min(best, (max(near / CHAR_LIMIT, (far or 0) / limit), near, far), key=lambda x: x[0])
+    return best[1], best[2], bool(best[0] > 1)
 
 
 def _bytes(text: str) -> bytes:
@@ -110,7 +130,7 @@ def _bytes(text: str) -> bytes:
 
 
 def references(docs: DataFrame) -> dict[str, Reference]:
-    """References of the languages (column lang, NULL left out) that have `LANGUAGE_SHARE` of the characters.
+    """References of the languages (column lang, NULL left out) that have `REFERENCE_CHARS`, whatever their share.
 
     Common words are exact, in two passes: a word with a share of all words has it in some task at least, so each task
     names those that have it there (at most 1000 a language), and the second pass counts the named ones everywhere.
@@ -145,11 +165,10 @@ def references(docs: DataFrame) -> dict[str, Reference]:
     per_class = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(len(CLASSES))]
     sums = first.filter("word is null").groupBy("lang").agg(F.sum("n").alias("n"), *per_class)
     whole = sum((F.col(f"c{k}") for k in range(len(CLASSES))), F.lit(0))
-    all_chars = sums.agg(F.sum(whole)).first()[0] or 0
-    large = {r["lang"]: r for r in sums.filter(whole >= all_chars * LANGUAGE_SHARE).filter(whole > 0).collect()}
+    large = {r["lang"]: r for r in sums.filter(whole >= REFERENCE_CHARS).collect()}
     if not large:
         return {}
-    named = first.filter(F.col("word").isNotNull() & F.col("lang").isin(*large)).select("lang", "word").distinct()
+    named = first.filter("word is not null").join(sums.filter(whole >= REFERENCE_CHARS).select("lang"), "lang").select("lang", "word").distinct()
     # of the words a task names a language has at most 2000; over the tasks only the frequent ones are the same
     named = named.groupBy("lang").agg(F.collect_set("word").alias("words")).collect()
     wanted = {r["lang"]: set(map(bytes, r["words"])) for r in named}
@@ -175,7 +194,7 @@ def references(docs: DataFrame) -> dict[str, Reference]:
         classes = np.array([r[f"c{k}"] for k in range(len(CLASSES))], float)
         words = sorted(common.get(lang, []), key=lambda x: (-x[0], x[1]))
         shares = np.array([n for n, _ in words] + [r["n"] - sum(n for n, _ in words)], float)
-        out[lang] = Reference(classes / classes.sum(), {w: k for k, (_, w) in enumerate(words)}, shares / max(shares.sum(), 1))
+        out[lang] = Reference(classes / classes.sum(), {w: k for k, (_, w) in enumerate(words)}, shares / max(shares.sum(), 1), r["n"])
     return out
 
 
@@ -191,11 +210,13 @@ KINDS = (
 
 def judge(docs: DataFrame, refs: dict[str, Reference]) -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, the distances (NULL where the text
-    is too short or there is no reference), base_failed, kept.
+    or its reference is too short), base_failed, kept.
 
-    A document with a language without reference, or none, is held against the nearest of all references. NULL
+    A document of a language without reference is judged by the base rules only. One with NULL language is held against
+    all references, and goes if all reject it; its distances are those to the nearest by both. NULL
     text counts as empty and fails the base rules. Equal rows get equal results. Other columns are left out.
     """
+    every = [refs[k] for k in sorted(refs)]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):
@@ -205,14 +226,9 @@ def judge(docs: DataFrame, refs: dict[str, Reference]) -> DataFrame:
                 data = _bytes(text)
                 base = base_counts(data, data.split())
                 failed = base[0] < BASE_MIN_WORDS or 100 * base[4] > BASE_REPEATED * base[0]
-                near = far = None
                 words = data.lower().split()
-                if refs and len(text) >= MIN_CHARS:
-                    found = [refs[lang]] if lang in refs else list(refs.values())
-                    near, far = min(r.distances(data, words) for r in found) if words else (None, None)
-                if len(words) < MIN_WORDS:
-                    far = None
-                off = (near or 0) > CHAR_LIMIT or (far or 0) > WORD_LIMIT + WORD_NOISE / np.sqrt(max(len(words), 1))
+                own = every if lang is None else [refs[lang]] if lang in refs else []
+                near, far, off = nearest(own, data, words) if words and len(text) >= MIN_CHARS else (None, None, False)
                 out.append((doc_id, *base, near, far, failed, not failed and not off))
             columns = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW, strict=True)], names=_NAMES)

@@ -277,6 +277,32 @@ def test_rules_keep_good_and_drop_bad(spark):
     assert np.mean([r["kept"] for r in rows if r["quality"] == 0]) < 0.1
 
 
+def test_rare_languages_have_references_of_their_own(spark):
+    rng = random.Random(4)
+
+    def words(letters):
+        return ["".join(rng.choices(letters, k=rng.randint(3, 7))) for _ in range(40)]
+
+    def text(vocabulary, capitals=0.0):
+        return "".join(c.upper() if rng.random() < capitals else c for c in " ".join(rng.choices(vocabulary, k=200)))
+
+    hot, caps, rare, tiny = words("abcdefghij"), words("klmnopq"), words("789+=/"), words("012<>&")
+    filler = " ".join(rng.choices(hot, k=80_000))
+    many = spark.range(90).select((F.col("id") + 10_000).alias("doc_id"), F.lit("hot").alias("lang"), F.lit(filler).alias("text"))
+    rows = [(k, "caps", text(caps, 0.24)) for k in range(1000, 1300)] + [(k, "rare", text(rare)) for k in range(30)]
+    rows += [(100, "tiny", text(tiny)), (101, "rare", text(hot)), (102, None, text(hot, 0.145)), (103, None, text(tiny))]
+    few = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    refs = divergence.references(many.union(few))
+    assert set(refs) == {"hot", "caps", "rare"}
+    judged = {r["doc_id"]: r for r in divergence.judge(few, refs).collect()}
+    assert all(judged[k]["kept"] for k in range(30)) and not judged[101]["kept"]
+    assert judged[100]["kept"] and judged[100]["char_distance"] is None
+    # by classes the nearest is caps, by both it is hot
+    classes = divergence.class_counts(rows[-2][2].encode())
+    assert divergence.js_distance(classes, refs["caps"].classes) < divergence.js_distance(classes, refs["hot"].classes)
+    assert judged[102]["kept"] and not judged[103]["kept"]
+
+
 # ---- 5 near duplicates
 
 
