@@ -21,6 +21,8 @@ from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 
 #: Share of a language's words from which a word is common: at most 1000 words are.
 COMMON_SHARE = 1 / 1000
+#: Words of all languages that a task counts before it hands the counts on.
+HELD_WORDS = 300_000
 #: Least code points for the character classes and least words for the common words.
 MIN_CHARS, MIN_WORDS = 200, 50
 #: Code points of a language from which it has a reference, and words from which that has common words.
@@ -132,76 +134,57 @@ def _bytes(text: str) -> bytes:
 def references(docs: DataFrame) -> dict[str, Reference]:
     """References of the languages (column lang, NULL left out) that have `REFERENCE_CHARS`, whatever their share.
 
-    Common words are exact, in two passes: a word with a share of all words has it in some task at least, so each task
-    names those that have it there (at most 1000 a language), and the second pass counts the named ones everywhere.
+    Common words are exact: tasks count all words, in tables of `HELD_WORDS` words that Spark adds up by language and word.
     Only per-language totals and common words come to the driver.
     """
     docs = small_batches(docs).filter("lang is not null and text is not null").select("lang", "text")
 
-    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: dict[str, np.ndarray] = {}
         words: dict[str, Counter] = {}
-        seen: Counter = Counter()
+        held = 0
+
+        def rows() -> pa.RecordBatch:
+            each = [(k, None, 0, c.tolist()) for k, c in classes.items()]
+            each += [(k, w, n, None) for k, c in words.items() for w, n in c.items()]
+            columns = zip(*each, strict=True)
+            kinds = (pa.string(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "word", "n", "classes"])
+
         for batch in text_steps(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
                 data = _bytes(text)
                 classes[lang] = classes.get(lang, 0) + class_counts(data)
-                parts = data.lower().split()
-                seen[lang] += len(parts)
                 counter = words.setdefault(lang, Counter())
-                counter.update(parts)
-                # a counter that loses at most its share in every cut still names every word with that share
-                if len(counter) > 200_000:
-                    words[lang] = _cut(counter, seen[lang] * COMMON_SHARE / 4)
-        rows = [(k, None, n, c.tolist()) for k, c in classes.items() for n in [seen[k]]]
-        rows += [(k, w, n, None) for k, c in words.items() for w, n in c.items() if n >= seen[k] * COMMON_SHARE / 2]
-        if rows:
-            lang, word, n, c = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_pydict(
-                {"lang": pa.array(lang, pa.string()), "word": pa.array(word, pa.binary()), "n": pa.array(n, pa.int64()), "classes": pa.array(c, pa.list_(pa.int64()))}
-            )
-
-    first = staged(docs.mapInArrow(totals, "lang string, word binary, n long, classes array<long>"), "totals")
+                held -= len(counter)
+                counter.update(data.lower().split())
+                held += len(counter)
+                if held > HELD_WORDS:
+                    yield rows()
+                    classes, words, held = {}, {}, 0
+        if classes:
+            yield rows()
+
+    each = docs.mapInArrow(counted, "lang string, word binary, n long, classes array<long>")
     per_class = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(len(CLASSES))]
-    sums = first.filter("word is null").groupBy("lang").agg(F.sum("n").alias("n"), *per_class)
-    whole = sum((F.col(f"c{k}") for k in range(len(CLASSES))), F.lit(0))
-    large = {r["lang"]: r for r in sums.filter(whole >= REFERENCE_CHARS).collect()}
-    if not large:
-        return {}
-    named = first.filter("word is not null").join(sums.filter(whole >= REFERENCE_CHARS).select("lang"), "lang").select("lang", "word").distinct()
-    # of the words a task names a language has at most 2000; over the tasks only the frequent ones are the same
-    named = named.groupBy("lang").agg(F.collect_set("word").alias("words")).collect()
-    wanted = {r["lang"]: set(map(bytes, r["words"])) for r in named}
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, Counter] = {k: Counter() for k in wanted}
-        for batch in text_steps(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch), strict=True):
-                if lang in found:
-                    found[lang].update(filter(wanted[lang].__contains__, _bytes(text).lower().split()))
-        rows = [(k, w, n) for k, c in found.items() for w, n in c.items()]
-        if rows:
-            lang, word, n = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.string()), "word": pa.array(word, pa.binary()), "n": pa.array(n, pa.int64())})
-
-    counts = docs.mapInArrow(counted, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = staged(each.groupBy("lang", "word").agg(F.sum("n").alias("n"), *per_class), "word_counts")
+    whole = sum((F.sum(f"c{k}") for k in range(len(CLASSES))), F.lit(0))
+    sums = counts.groupBy("lang").agg(F.sum("n").alias("total"), whole.alias("chars"), *(F.sum(f"c{k}").alias(f"c{k}") for k in range(len(CLASSES))))
+    sums = staged(sums.filter(F.col("chars") >= REFERENCE_CHARS), "language_sums")
+    large = {r["lang"]: r for r in sums.collect()}
+    found = counts.filter("word is not null").select("lang", "word", "n").join(F.broadcast(sums.select("lang", "total")), "lang")
     common: dict[str, list[tuple[int, bytes]]] = {}
-    for r in counts.collect():
-        if r["n"] >= large[r["lang"]]["n"] * COMMON_SHARE:
-            common.setdefault(r["lang"], []).append((r["n"], bytes(r["word"])))
+    for r in found.filter(F.col("n") >= F.col("total") * COMMON_SHARE).collect():
+        common.setdefault(r["lang"], []).append((r["n"], bytes(r["word"])))
     out = {}
     for lang, r in large.items():
         classes = np.array([r[f"c{k}"] for k in range(len(CLASSES))], float)
         words = sorted(common.get(lang, []), key=lambda x: (-x[0], x[1]))
-        shares = np.array([n for n, _ in words] + [r["n"] - sum(n for n, _ in words)], float)
-        out[lang] = Reference(classes / classes.sum(), {w: k for k, (_, w) in enumerate(words)}, shares / max(shares.sum(), 1), r["n"])
+        shares = np.array([n for n, _ in words] + [r["total"] - sum(n for n, _ in words)], float)
+        out[lang] = Reference(classes / classes.sum(), {w: k for k, (_, w) in enumerate(words)}, shares / max(shares.sum(), 1), r["total"])
     return out
 
 
-def _cut(counter: Counter, below: float) -> Counter:
-    return Counter({w: n for w, n in counter.items() if n >= below})
-
-
 KINDS = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "char_distance double, word_distance double, base_failed boolean, kept boolean"

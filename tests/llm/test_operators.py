@@ -277,6 +277,15 @@ def test_rules_keep_good_and_drop_bad(spark):
     assert np.mean([r["kept"] for r in rows if r["quality"] == 0]) < 0.1
 
 
+def test_common_words_of_the_later_half(spark):
+    # 20 texts of 200,100 different words in one task; the last ten have one word 430 times each
+    ids = F.sequence(F.col("id") * 200_100, F.col("id") * 200_100 + 200_099)
+    late = F.when(F.col("id") >= 10, F.repeat(F.lit(" late"), 430)).otherwise("")
+    texts = F.concat(F.array_join(F.transform(ids, lambda x: x.cast("string")), " "), late)
+    refs = divergence.references(spark.range(0, 20, 1, 1).select(F.lit("xx").alias("lang"), texts.alias("text")))
+    assert set(refs["xx"].places) == {b"late"} and refs["xx"].words[0] == pytest.approx(4300 / refs["xx"].n_words)
+
+
 def test_rare_languages_have_references_of_their_own(spark):
     rng = random.Random(4)
 
