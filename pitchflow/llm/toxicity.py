@@ -1,8 +1,9 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Each token has the log-odds of standing in a toxic document, with a Dirichlet prior that is that of the word's beginning:
-a word backs off to its first seven letters, these to six and so on down to four, these to all tokens. A token counts
-once per document, in training and in scoring: repeating it says nothing new. One linear scan finds every
+a word backs off to its first seven letters, these to six and so on down to four, these to all tokens. Training counts a
+token once per document. Scoring counts it wherever it stands, but a positive one at most once in `NEAR` words: repeating
+it there says nothing new. One linear scan finds every
 maximal segment of a document (Ruzzo and Tompa); a segment's score becomes an E-value of the extreme-value law that
 the best segments of clean documents of that length follow, and a document's evidence is that of its
 significant segments together, put on a scale of 0 to 1 by the labelled documents.
@@ -28,6 +29,8 @@ SAMPLE = 6000
 PRIOR, MIN_DOCS = 10.0, 3
 #: Score of every token without one of its own, so that segments end.
 DRIFT = -0.2
+#: Words from a counted positive token in which the same one has the drift's score: more than most scores outlast.
+NEAR = 25
 #: A segment is significant if fewer than this many as good are expected in a clean document of its length.
 SIGNIFICANT = 0.05
 TOXIC_FROM = 0.7
@@ -79,18 +82,24 @@ def maximal_segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(first, end, high - low) for first, end, low, high in held]
 
 
-def segments_of(words: list[str], scores: TokenScores) -> list[tuple[int, int, float]]:
-    """Maximal segments of a document's words; documents without a positive token have none."""
+def counted_scores(words: list[str], scores: TokenScores) -> list[float]:
+    """Scores of a document's words, with repeats near a counted one damped to the drift."""
     each = list(map(scores.__getitem__, words))
-    met: set[str] = set()
+    last: dict[str, int] = {}
     for k, score in enumerate(each):
         if score > 0:
-            if words[k] in met:
+            if k - last.get(words[k], -NEAR) < NEAR:
                 each[k] = DRIFT
-            met.add(words[k])
-    if not met:
-        return []
+            else:
+                last[words[k]] = k
+    return each
+
+
+def segments_of(each: list[float]) -> list[tuple[int, int, float]]:
+    """Maximal segments of a document's counted scores; documents without a positive token have none."""
     positive = [k for k, score in enumerate(each) if score > 0]
+    if not positive:
+        return []
     # runs of negative scores are one item: the scan is over the positive tokens
     totals = np.concatenate([[0.0], np.cumsum(each)])
     marks = [x for k in positive for x in (k, k + 1)]
@@ -166,13 +175,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityM
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = TokenScores(scored)
         for batch in text_steps(batches):
-            words = [_WORDS(t.lower()) for t in texts_of(batch)]
+            each = [counted_scores(_WORDS(t.lower()), scores) for t in texts_of(batch)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "toxic": batch.column("toxic").cast(pa.int32()),
-                    "n": pa.array(map(len, words), pa.int64()),
-                    "positive": pa.array([sum(scores[x] > 0 for x in set(w)) for w in words], pa.int64()),
-                    "segments": pa.array([[s for _, _, s in segments_of(w, scores)] for w in words], pa.list_(pa.float64())),
+                    "n": pa.array(map(len, each), pa.int64()),
+                    "positive": pa.array([sum(x > 0 for x in e) for e in each], pa.int64()),
+                    "segments": pa.array([[s for _, _, s in segments_of(e)] for e in each], pa.list_(pa.float64())),
                 }
             )
 
@@ -247,7 +256,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             out = []
             for text in texts_of(batch):
                 words = _WORDS(text.lower())
-                segments = segments_of(words, scores)
+                segments = segments_of(counted_scores(words, scores))
                 limit = np.log(model.scale * max(len(words), 1)) - np.log(SIGNIFICANT)
                 strong = [{"first": a, "end": b, "score": float(s)} for a, b, s in segments if model.rate * s > limit]
                 out.append((model.score(model.evidence(len(words), segments)), len(strong), strong))

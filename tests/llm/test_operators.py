@@ -455,6 +455,22 @@ def test_maximal_segments_by_force():
         assert all(s == pytest.approx(sum(x[a:b])) for a, b, s in got)
 
 
+def test_every_toxic_passage_is_found(spark):
+    toxic = ["".join(x) + "zzz" for x in itertools.product("abc", "def", "gh")][:14]
+    model = toxicity.ToxicityModel({w: 3.0 for w in toxic}, 1.0, 0.05, 1.0, -3.0)
+    quiet = ["plain"] * 400
+    scattered = [w for x in toxic for w in (x, *quiet[:60])]
+    texts = {0: scattered, 1: scattered + toxic, 2: toxic + quiet + toxic, 3: toxic[:1] * 400, 4: (toxic + quiet[:20]) * 3}
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    places = {k: [(p["first"], p["end"]) for p in r["passages"]] for k, r in got.items()}
+    n = len(scattered)
+    assert places[0] == [] and places[1] == [(n, n + 14)] and places[2] == [(0, 14), (414, 428)]
+    # one word again and again says nothing new; copies with little between them are one passage, to the end of the last
+    assert places[3] == [] and places[4] == [(0, 82)]
+    assert got[1]["score"] > 0.9 > 0.1 > got[0]["score"] and got[2]["n_segments"] == 2
+
+
 def test_toxicity_held_out(spark):
     path = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{path}/labels.parquet").filter("toxic is not null")
