@@ -8,7 +8,8 @@ the integral inverted. Demand beyond a source's size starts a second round of th
 Positions within a source need running totals, which no single task could make for a source with a third of all
 rows. The hash's leading bits cut a source into 1024 parts of 1024 parts each: totals are run over the parts of
 a source, over the parts of a part, and over the rows of one smallest part, none of which grows beyond a millionth
-of a source's rows (or 1024). Only ids, sources and sizes are shuffled, never texts.
+of a source's rows (or 1024). Equal rows are numbered first, in 1024 salted parts of a key, and their numbers hashed, so
+that they are dealt like other rows. Only ids, sources and sizes are shuffled, never texts.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.25), (
 SHARE, ROUNDS = 1.5, 2
 
 _PART_BITS = 10
+_SALTS = 1024
 
 
 def _before(value: str, by: list[str], order: list[str]) -> Column:
@@ -83,6 +85,20 @@ def _inverse(reached: Column, schedule: Sequence[tuple[float, float]]) -> Column
     return out
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows (doc_id, source, text_hash, and a written `tag` that no two share) with `number`, counting equal rows from 0.
+
+    Rows are dealt by key and salt of the tag; the salts of a key, at most `_SALTS`, follow one another.
+    """
+    key = (F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.coalesce("source", F.lit("")), F.col("source").isNull())
+    rows = rows.withColumns({"same": F.xxhash64(*key, F.coalesce("text_hash", F.lit(0))), "salt": F.pmod(F.xxhash64("tag"), F.lit(_SALTS))})
+    inner = F.row_number().over(Window.partitionBy("same", "salt").orderBy("tag")) - 1
+    starts = rows.groupBy("same", "salt").agg(F.count("*").alias("n")).withColumn("ahead", _before("n", ["same"], ["salt"]))
+    starts = starts.filter("ahead > 0").select("same", "salt", "ahead")
+    numbered = rows.withColumn("inner", inner).join(starts, ["same", "salt"], "left")
+    return numbered.withColumn("number", F.col("inner") + F.coalesce("ahead", F.lit(0))).drop("same", "salt", "inner", "ahead")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -96,12 +112,25 @@ def mix(
 
     A source's takes add up to its target, rounded to a whole word: the document in which the demand ends is taken
     up to there. Sources without words have target 0; a document without words has no takes. A NULL source is a
-    source of its own. Equal rows are documents of their own, one behind the other. An empty table gives no row.
+    source of its own. Equal rows are documents of their own, each with a place of its own. An empty table gives no row.
     Other columns are left out.
     """
+    return _mixed(docs.withColumn("tag", F.monotonically_increasing_id()), weights, schedules, share, rounds).drop("tag")
+
+
+def _mixed(
+    docs: DataFrame,
+    weights: Sequence[float] = WEIGHTS,
+    schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES,
+    share: float = SHARE,
+    rounds: int = ROUNDS,
+) -> DataFrame:
+    """As `mix`, with the column `tag`, which no two rows share."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), size.alias("size"), F.xxhash64("text").alias("text_hash"))
-    mixed = F.xxhash64("doc_id", "text_hash", F.lit("order"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), size.alias("size"), F.xxhash64("text").alias("text_hash"), "tag")
+    rows = _numbered(staged(rows, "tagged_sizes"))
+    mixed = F.when(F.col("number") == 0, F.xxhash64("doc_id", "text_hash", F.lit("order")))
+    mixed = mixed.otherwise(F.xxhash64("doc_id", "text_hash", F.lit("order"), "number"))
     high = F.shiftrightunsigned(mixed, 64 - _PART_BITS)
     low = F.shiftrightunsigned(mixed, 64 - 2 * _PART_BITS).bitwiseAND((1 << _PART_BITS) - 1)
     rows = staged(rows.withColumns({"mixed": mixed, "high": high, "low": low}), "sizes")
@@ -120,7 +149,7 @@ def mix(
     laid = rows.withColumn("inner", _before("size", ["source", "high", "low"], order)).alias("r")
     same = F.col("r.source").eqNullSafe(F.col("p.source")) & (F.col("r.high") == F.col("p.high")) & (F.col("r.low") == F.col("p.low"))
     laid = laid.join(fine.alias("p"), same).select(
-        "r.doc_id", "r.source", "r.text_hash", "r.size", "source_size", "target", "place",
+        "r.doc_id", "r.source", "r.text_hash", "r.size", "r.tag", "source_size", "target", "place",
         (F.col("start") + F.col("inner")).alias("start"), F.round("target").cast("long").alias("demand"),
     )
 
@@ -136,7 +165,7 @@ def mix(
         takes.append(F.when(words > 0, F.struct(F.lit(k).alias("round"), time.alias("position"), words.alias("words"))))
     laid = laid.withColumn("takes", F.filter(F.array(*takes), lambda t: t.isNotNull()))
     taken = F.aggregate("takes", F.lit(0).cast("long"), lambda total, t: total + t["words"])
-    return laid.select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.alias("taken"), "takes")
+    return laid.select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.alias("taken"), "takes", "tag")
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
@@ -149,19 +178,13 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of `docs` (all columns) in training order, each as often as the mix takes it.
 
     Whole documents are kept: a document that the mix takes in part is kept where at least half of it is
-    taken. Documents without words train nothing and are left out. Several takes of equal rows are dealt
-    over them in any order, which cannot be told apart.
+    taken. Documents without words train nothing and are left out. Rows are written with a tag, by which each meets
+    its own takes.
     """
-    # equal rows share their key: each gets every n-th of the key's takes
-    key = {"id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "no_id": F.col("doc_id").isNull()}
-    takes = mix(docs, **how).withColumns(key).withColumn("kept", F.filter("takes", lambda t: t["words"] * 2 >= F.col("size")))
-    takes = takes.groupBy("id", "no_id", "text_hash").agg(
-        F.array_sort(F.flatten(F.collect_list("kept.position"))).alias("positions"), F.count("*").cast("int").alias("rows")
-    )
-    key["text_hash"] = F.xxhash64("text")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), *(v.alias(k) for k, v in key.items()))
-    joined = rows.join(takes.filter(F.size("positions") > 0), list(key))
-    number = F.row_number().over(Window.partitionBy(*key).orderBy("text_hash")) - 1
-    joined = joined.withColumn("number", F.when(F.col("rows") > 1, number).otherwise(F.lit(0)))
-    own = F.filter("positions", lambda _, k: k % F.col("rows") == F.col("number"))
-    return joined.select("row", F.explode(own).alias("position")).orderBy("position").select("row.*")
+    row = F.struct(*docs.columns).alias("row")
+    tagged = staged(docs.select(row, F.monotonically_increasing_id().alias("tag")), "tagged")
+    takes = _mixed(tagged.select("row.doc_id", "row.source", "row.text", "tag"), **how)
+    kept = F.filter("takes", lambda t: t["words"] * 2 >= F.col("size"))["position"]
+    takes = takes.select("tag", kept.alias("positions")).filter(F.size("positions") > 0)
+    joined = tagged.join(takes, "tag").select("row", F.explode("positions").alias("position"))
+    return joined.orderBy("position").select("row.*")

@@ -150,6 +150,27 @@ def test_mixing_schedules(spark):
         assert np.abs(np.array(got) - want).max() < 2e-3
 
 
+def test_equal_rows_are_dealt_like_others(spark):
+    # 6000 equal rows without an id, in several tasks, among 200 others
+    equal = spark.range(0, 6000, 1, 5).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.lit("one two three").alias("text"))
+    others = spark.range(200).select("id", F.lit("a"), F.concat(F.lit("text "), F.col("id").cast("string")))
+    docs = equal.union(others)
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 6200 and sum(r["taken"] for r in rows) == round(rows[0]["target"])
+    # others lie among the equal rows, not on both sides of a block of them
+    order = sorted(rows, key=lambda r: r["takes"][0]["position"])
+    places = [k for k, r in enumerate(order) if r["doc_id"] is not None]
+    assert max(np.diff([0, *places, 6200])) < 600
+    numbered = mixing._numbered(docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("tag")))
+    assert sorted(r["number"] for r in numbered.filter("doc_id is null").collect()) == list(range(6000))
+    mixed = mixing.mixed_documents(docs)
+    want = sum(t["words"] * 2 >= r["size"] for r in rows for t in r["takes"])
+    assert mixed.count() == want and mixed.columns == ["doc_id", "source", "text"]
+    # no array of a key's positions
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+
+
 def test_mixed_documents_are_the_takes(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     docs = docs.union(docs.filter("doc_id < 5"))
