@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,8 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 AROUND = 3
 #: Words, padding included, in one batch of the decoder.
 BATCH_WORDS = 100_000
+#: Words from which a window is decoded in pieces of so many, each going on from the scores of the one before.
+PIECE_WORDS = 20_000
 
 Span = tuple[str, int, int]
 
@@ -33,7 +38,7 @@ Span = tuple[str, int, int]
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
@@ -87,13 +92,13 @@ _OPEN, _CLOSE = "\"'<[{", ".,;:!?>]}\"'"
 _SHAPE = ((re.compile(r"[a-zà-ÿ]+"), "a"), (re.compile(r"[A-ZÀ-Þ]+"), "A"))
 
 
-def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Places of the words in the surroundings of telling words; surroundings that touch are one window."""
-    out: list[list[tuple[int, int]]] = []
+def _places(text: str) -> Iterator[tuple[int, int, int]]:
+    """Window (a number) and place of each word in the surroundings of telling words, in order."""
+    window = -1
     behind = 0  # words that begin before are in a window already
     found = _TELLING.search(text)
     while found:
-        first, words = found.start(), []
+        first = found.start()
         for _ in range(AROUND + 1):
             while first > behind and not text[first - 1].isspace():
                 first -= 1
@@ -102,8 +107,8 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
                 first -= 1
             if first <= behind:
                 break
-        at, left = begin, None
-        joins = bool(out) and not text[behind:begin].strip()
+        at, left, last = begin, None, None
+        joins = window >= 0 and not text[behind:begin].strip()
         for m in _WORD.finditer(text, at):
             if m.end() > found.start() and _TELLING.search(text, m.start(), m.end()):
                 left = AROUND
@@ -111,14 +116,17 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
                 left -= 1
             if left is not None and left < 0:
                 break
-            words.append(m.span())
-        if joins:
-            out[-1] += words
-        elif words:
-            out.append(words)
-        behind = words[-1][1] if words else found.end()
+            if last is None and not joins:
+                window += 1
+            last = m.end()
+            yield window, m.start(), last
+        behind = found.end() if last is None else last
         found = _TELLING.search(text, behind)
-    return out
+
+
+def windows(text: str) -> list[list[tuple[int, int]]]:
+    """Places of the words in the surroundings of telling words; surroundings that touch are one window."""
+    return [[(a, b) for _, a, b in group] for _, group in groupby(_places(text), itemgetter(0))]
 
 
 def core(text: str, begin: int, end: int) -> tuple[int, int]:
@@ -352,24 +360,101 @@ def _holds(kind: str, value: str) -> bool:
     return 9 <= len(digits) <= 15 and not re.search(r"[A-Za-z@$%#&]", value)
 
 
+def decoded(text: str, cores: Iterable[tuple[int, int]], field: Field) -> Iterator[tuple[tuple[int, int], int]]:
+    """Each word of one sequence with its label, as `viterbi` of the whole sequence has it. Features and scores are held for
+    a piece, and the ways back for the words whose label still depends on what follows."""
+    words, score = iter(cores), None
+    held: list[tuple[int, int]] = []
+    back = np.zeros((0, len(LABELS)), np.int8)
+
+    def settled(last: int, label: int) -> Iterator[tuple[tuple[int, int], int]]:
+        labels = [label]
+        for t in range(last, 0, -1):
+            labels.append(int(back[t, labels[-1]]))
+        return zip(held[: last + 1], reversed(labels), strict=True)
+
+    before: list[tuple[int, int]] = []
+    piece = list(islice(words, PIECE_WORDS))
+    while piece:
+        following = list(islice(words, PIECE_WORDS))
+        each = features([text[a:b] for a, b in (*before, *piece, *following[:1])])[len(before) :][: len(piece)]
+        emissions = field.emissions([each])[0][0]
+        new = np.zeros((len(piece), len(LABELS)), np.int8)
+        for t, emission in enumerate(emissions):
+            if score is None:
+                score = emission + _START
+            else:
+                ways = score[:, None] + field.transitions
+                new[t], score = ways.argmax(0), ways.max(0) + emission
+        held += piece
+        back = np.concatenate([back, new])
+        # the last word whose label is the same whatever the last label is
+        at, labels = len(held) - 1, np.arange(len(LABELS))
+        while at > 0 and labels.min() < labels.max():
+            labels = back[at, labels]
+            at -= 1
+        if labels.min() == labels.max():
+            yield from settled(at, int(labels[0]))
+            held, back = held[at + 1 :], back[at + 1 :]
+        before, piece = (before + piece)[-2:], following
+    if held:
+        yield from settled(len(held) - 1, int(score.argmax()))
+
+
+class _Taken:
+    """The places that spans take."""
+
+    def __init__(self, spans: list[Span]):
+        places = sorted((a, b) for _, a, b in spans)
+        self.begins = [a for a, _ in places]
+        self.ends = list(accumulate((b for _, b in places), max))
+
+    def free(self, begin: int, behind: int) -> bool:
+        k = bisect_left(self.begins, behind)
+        return k == 0 or self.ends[k - 1] <= begin
+
+
+def _labelled_spans(text: str, labelled: Iterable[tuple[tuple[int, int], int]], taken: _Taken) -> list[Span]:
+    """The free spans of a B and the I of its kind behind it that have what their kind needs."""
+    out: list[Span] = []
+    kind, begin, behind = "", 0, 0
+    for (a, b), label in chain(labelled, [((0, 0), 0)]):
+        name = LABELS[label]
+        if kind and name == f"I-{kind}":
+            behind = b
+            continue
+        if kind and begin < behind and taken.free(begin, behind) and _holds(kind, text[begin:behind]):
+            out.append((kind, begin, behind))
+        kind, begin, behind = (name[2:], a, b) if name[0] == "B" else ("", 0, 0)
+    return out
+
+
 def added_spans(texts: list[str], base: list[list[Span]], field: Field) -> list[list[Span]]:
     """Spans that the field finds besides the base ones, none overlapping any of them."""
-    each = [(k, w) for k, text in enumerate(texts) for w in windows(text)]
-    cores = [[core(texts[k], a, b) for a, b in w] for k, w in each]
-    tags = field.tags([features([texts[k][a:b] for a, b in c]) for (k, _), c in zip(each, cores, strict=True)]) if each else []
     out: list[list[Span]] = [[] for _ in texts]
-    for (k, _), c, labels in zip(each, cores, tags, strict=True):
-        at = 0
-        while at < len(labels):
-            name, end = LABELS[labels[at]], at + 1
-            if name[0] == "B":
-                while end < len(labels) and LABELS[labels[end]] == f"I-{name[2:]}":
-                    end += 1
-                begin, behind = c[at][0], c[end - 1][1]
-                free = all(behind <= a or b <= begin for _, a, b in base[k])
-                if begin < behind and free and _holds(name[2:], texts[k][begin:behind]):
-                    out[k].append((name[2:], begin, behind))
-            at = end
+    taken = [_Taken(b) for b in base]
+    batch: list[tuple[int, list[tuple[int, int]]]] = []
+
+    def decode() -> None:
+        tags = field.tags([features([texts[k][a:b] for a, b in c]) for k, c in batch]) if batch else []
+        for (k, c), labels in zip(batch, tags, strict=True):
+            out[k] += _labelled_spans(texts[k], zip(c, labels.tolist(), strict=True), taken[k])
+        batch.clear()
+
+    size = 0
+    for k, text in enumerate(texts):
+        for _, group in groupby(_places(text), itemgetter(0)):
+            cores = (core(text, a, b) for _, a, b in group)
+            first = list(islice(cores, PIECE_WORDS))
+            if len(first) < PIECE_WORDS:
+                batch.append((k, first))
+                size += len(first)
+            if size >= BATCH_WORDS or len(first) == PIECE_WORDS:
+                decode()
+                size = 0
+            if len(first) == PIECE_WORDS:
+                out[k] += _labelled_spans(text, decoded(text, chain(first, cores), field), taken[k])
+    decode()
     return out
 
 

@@ -3,7 +3,10 @@
 import itertools
 import random
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -588,6 +591,38 @@ def test_viterbi_by_force():
         assert tuple(found[: lengths[k]]) == max(itertools.product(range(n), repeat=int(lengths[k])), key=worth)
 
 
+def test_long_windows_are_decoded_in_pieces(monkeypatch):
+    field = crf_pii.default_field()
+    rng = random.Random(10)
+    values = [t for t, spans in crf_pii.labelled_table(5) if spans]
+    text = " ".join(rng.choice(values) if rng.random() < 0.2 else str(rng.randrange(10**6)) for _ in range(4000))
+    words = [w for window in crf_pii.windows(text) for w in window]
+    cores = [crf_pii.core(text, *w) for w in words]
+    whole = field.tags([crf_pii.features([text[a:b] for a, b in cores])])[0].tolist()
+    base = crf_pii.base_spans(text)
+    want = crf_pii.added_spans([text], [base], field)
+    assert want[0]
+    for piece in (1, 2, 7, 500):
+        monkeypatch.setattr(crf_pii, "PIECE_WORDS", piece)
+        assert list(crf_pii.decoded(text, cores, field)) == list(zip(cores, whole, strict=True))
+        assert crf_pii.added_spans([text], [base], field) == want
+
+
+def test_memory_of_a_long_table_of_numbers():
+    # a million numbers, in a process of its own: features of all words at once were gigabytes
+    code = """
+import random, resource
+from pitchflow.llm import crf_pii
+field, rng = crf_pii.default_field(), random.Random(3)
+text = " ".join(str(rng.randrange(1000)) for _ in range(1_000_000))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+crf_pii.added_spans([text], [crf_pii.base_spans(text)], field)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    ran = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=Path(crf_pii.__file__).parents[2])
+    assert int(ran.stdout) < 300, ran.stderr
+
+
 def test_windows_hold_every_telling_word():
     rng = random.Random(15)
     for _ in range(500):
