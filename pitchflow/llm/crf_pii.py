@@ -42,6 +42,7 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_BYTE = re.compile(r"[0-9]{1,3}\Z").match
 
 
 def luhn(digits: str) -> bool:
@@ -161,7 +162,7 @@ def features(words: list[str]) -> list[list[str]]:
         if 13 <= len(digits) <= 19:
             own.append(f"luhn={luhn(digits)}")
         if word.count(".") == 3:
-            own.append(f"parts={all(p.isdigit() and len(p) < 4 and int(p) < 256 for p in word.split('.'))}")
+            own.append(f"parts={all(_BYTE(p) and int(p) < 256 for p in word.split('.'))}")
         for name, other in (("-1", k - 1), ("+1", k + 1), ("-2", k - 2)):
             inside = 0 <= other < len(words)
             own.append(f"{name}shape={shapes[other] if inside else ''}")

@@ -24,6 +24,7 @@ ROWS = [
     (9, "word", "fr", ""),
     (10, "no\x00null " + "x" * 100_000, None, "c"),
     (8, "other text under the same id with a few words of its own", "fr", "c"),
+    (11, "see 1.2.3.\u00b2 there, 1.2.3.\u2460 and \u0661\u0662.\u0663.\u0664.\u0665 or \u0967.2.3.4 +\uff11 \uff12\uff13 10.20.30.40", "en", "d"),
 ]
 
 
@@ -85,6 +86,7 @@ def test_defined_results(spark, folders):
     assert mixed[3]["size"] == 0 and mixed[3]["taken"] == 0 and mixed[9]["size"] == 1
     personal = {r["doc_id"]: r for r in queries.op10_crf_personal_data(spark, folders["odd"]).collect()}
     assert personal[3]["spans"] == "" and personal[3]["n_card"] == 0
+    assert (personal[11]["n_ip"], personal[11]["n_phone"]) == (1, 0)
     rules = {r["doc_id"]: r for r in queries.op4_divergence_rules(spark, folders["odd"]).collect()}
     assert rules[3]["base_failed"] and not rules[3]["kept"] and rules[5]["n_words"] == 280_000
 
@@ -104,4 +106,4 @@ def test_stages_keep_the_columns(spark, folders, name, stage):
 def test_near_duplicate_stage_keeps_one_of_equal_rows(spark, folders):
     docs = spark.read.parquet(f"{folders['odd']}/documents.parquet")
     kept = sorted(str(r["doc_id"]) for r in corpus_pipeline.near_duplicates(spark, docs, folders["odd"]).collect())
-    assert kept == sorted(["1", "2", "3", "4", "5", "7", "None", "None", "8", "8", "9", "10"])
+    assert kept == sorted(["1", "2", "3", "4", "5", "7", "None", "None", "8", "8", "9", "10", "11"])
