@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, pstable, ss_packing, toxicity
+from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, ss_packing, toxicity
 from pitchflow.llm.common import remainder
 from pitchflow.session import configure, scratch_path
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 BYTE_END, WORD_END = 0, 2
+#: Tokens that a document may have.
+TOKEN_LIMIT = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +94,13 @@ def op10_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_pii.find(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op12_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document, and how much of it the limit takes."""
+    counted = prefix_tokens.with_prefix_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_TOKENIZER), TOKEN_LIMIT)
+    over = (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    return counted.select("doc_id", "n_bytes", "n_tokens", over, "fit_chars")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents."""
     import corpus_pipeline
@@ -102,7 +112,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_curriculum_mixing, op3_packed_ids, op4_divergence_rules, op5_tensored_minhash, op6_multiprobe_search,
-        op7_toxic_segments, op8_ecoc_language, op9_sum_of_squares_packing, op10_crf_personal_data, pipeline,
+        op7_toxic_segments, op8_ecoc_language, op9_sum_of_squares_packing, op10_crf_personal_data,
+        op12_prefix_token_counts, pipeline,
     )
 }
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, pstable, queries, ss_packing, toxicity
+from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, ss_packing, toxicity
 from pitchflow.llm.components import connected_components
 from pitchflow.llm.tokens import encoder
 
@@ -653,3 +653,53 @@ def test_pipeline_stages_by_force(spark, documents):
         assert not [x for x in lines.get(doc_id, "").split("\n") if x.strip() in seen & long_lines]
         seen |= long_lines
     assert corpus_pipeline.run(spark, path).agg(F.sum("length")).first()[0] > 0
+
+
+# ---- 12 prefix token counts
+
+PIECES = ["a", "b", "the", " ", "  ", "\n", "▁", "é", "日", "²", "\x1f", "\x00", "<s>", " t", "ing", "  \n", "0", "..", "𝒳", "ß", "\t", "е", " с"]
+
+
+@pytest.fixture(scope="module")
+def piece_model():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(queries.PIECE_TOKENIZER))
+
+
+def test_every_prefix_has_its_exact_count(documents, piece_model, monkeypatch):
+    counts = prefix_tokens.PrefixCounter(public_tokenizers.path(queries.PIECE_TOKENIZER))
+    rng = random.Random(3)
+    texts = [t[:600] for _, t, _, _ in documents[::25]] + ["x" * 300, "é" * 120, " " * 40, "", "\n"]
+    texts += ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 25))) for _ in range(1500)]
+    for step in (2_000_000, 7):  # 7: texts are cut where a chunk begins
+        monkeypatch.setattr(prefix_tokens, "STEP_CHARS", step)
+        for text, found in zip(texts, counts.prefix_counts(texts), strict=True):
+            assert found.tolist() == [len(piece_model.encode(text[:k])) for k in range(len(text) + 1)], text
+
+
+def test_pairs_of_pieces_go_together_as_the_library_has_it(piece_model):
+    counts = prefix_tokens.PrefixCounter(public_tokenizers.path(queries.PIECE_TOKENIZER))
+    rng = random.Random(4)
+    starts = [k for k, p in enumerate(counts.pieces) if p.startswith("▁") and p.strip("▁")]
+    for _ in range(4000):
+        a, b = rng.choice(starts), rng.randrange(len(counts.pieces))
+        text = (counts.pieces[a] + counts.pieces[b])[1:]
+        want = piece_model.encode(text.replace("▁", " "), out_type=str) == [counts.pieces[a], counts.pieces[b]]
+        assert counts.pair_goes(a, b) == want, text
+
+
+def test_token_counts_and_budgets(spark, documents, piece_model):
+    found = {r["doc_id"]: r for r in queries.op12_prefix_token_counts(spark, SMALL).collect()}
+    for doc_id, text, _, _ in documents:
+        n = len(piece_model.encode(text))
+        assert tuple(found[doc_id])[:4] == (doc_id, len(text.encode()), n, n > 4096)
+        assert found[doc_id]["fit_chars"] == (len(text) if n <= 4096 else found[doc_id]["fit_chars"])
+    docs = spark.createDataFrame([(d, t[:700]) for d, t, _, _ in documents[:8]], "doc_id long, text string")
+    counted = prefix_tokens.with_prefix_counts(docs, public_tokenizers.path(queries.PIECE_TOKENIZER), 10)
+    texts = {d: t[:700] for d, t, _, _ in documents}
+    for budget, rows in ((10, counted), (57, prefix_tokens.fit_budget(counted, 57)), (0, prefix_tokens.fit_budget(counted, 0))):
+        for r in rows.collect():
+            text = texts[r["doc_id"]]
+            fitting = [k for k in range(len(text) + 1) if len(piece_model.encode(text[:k])) <= budget]
+            assert r["fit_chars"] == fitting[-1], (budget, r["doc_id"])
