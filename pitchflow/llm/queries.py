@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, ss_packing, toxicity
+from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, skyband, ss_packing, toxicity
 from pitchflow.llm.common import remainder
 from pitchflow.session import configure, scratch_path
 
@@ -101,6 +101,11 @@ def op12_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", over, "fit_chars")
 
 
+def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that each has too many of."""
+    return skyband.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over all documents."""
     import corpus_pipeline
@@ -113,12 +118,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_line_dedup, op2_curriculum_mixing, op3_packed_ids, op4_divergence_rules, op5_tensored_minhash, op6_multiprobe_search,
         op7_toxic_segments, op8_ecoc_language, op9_sum_of_squares_packing, op10_crf_personal_data,
-        op12_prefix_token_counts, pipeline,
+        op12_prefix_token_counts, op13_divergence_audit, pipeline,
     )
 }
 
 # Near duplicates as a plain join of shingles and a recursive walk: exact, and quadratic in the documents of a
-# shingle, which the small tables allow. The other operators' results are not SQL-expressible.
+# shingle, which the small tables allow. The audit from every (group, kept term) with its count. The other operators'
+# results are not SQL-expressible.
 ORACLES: dict[str, str] = {
     "op5_tensored_minhash": r"""
 WITH RECURSIVE words AS (
@@ -143,6 +149,41 @@ reach AS (
 ), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
-"""
+""",
+    "op13_divergence_audit": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents
+), terms AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM docs
+), kept AS (SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+occurring AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+  SELECT o.lang, o.source, k.term, k.lang_n, coalesce(c.n, 0) AS n,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY o.lang, o.source) AS total,
+         count(*) OVER (PARTITION BY o.lang, o.source) AS v
+  FROM occurring o JOIN kept k ON k.lang = o.lang
+  LEFT JOIN counts c ON c.lang = o.lang AND c.source = o.source AND c.term = k.term
+), langs AS (SELECT lang, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v)::HUGEINT AS q
+  FROM cells JOIN langs USING (lang)
+), summed AS (
+  SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+  FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), every AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value
+  FROM occurring x JOIN occurring y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN summed s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+""",
 }
-

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, ss_packing, toxicity
+from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, skyband, ss_packing, toxicity
 from pitchflow.llm.components import connected_components
 from pitchflow.llm.tokens import encoder
 
@@ -703,3 +703,55 @@ def test_token_counts_and_budgets(spark, documents, piece_model):
             text = texts[r["doc_id"]]
             fitting = [k for k in range(len(text) + 1) if len(piece_model.encode(text[:k])) <= budget]
             assert r["fit_chars"] == fitting[-1], (budget, r["doc_id"])
+
+
+# ---- 13 divergence audit
+
+
+def test_skyband_holds_what_fewer_than_k_dominate():
+    rng = random.Random(5)
+    for k, high in ((1, 4), (3, 8), (10, 60)):
+        terms = rng.sample([f"{a}{b}".encode() for a in "abcdéz" for b in range(200)], 700)
+        points = np.array([(n := rng.randint(1, high), n + rng.randint(0, high)) for _ in terms])
+        want = {
+            x for x in range(len(terms))
+            if sum(points[y, 0] >= points[x, 0] and points[y, 1] <= points[x, 1] and terms[y] < terms[x] for y in range(len(terms))) < k
+        }
+        assert set(skyband.skyband(points, terms, k).tolist()) == want
+
+
+def audit_by_force(rows, min_docs, top):
+    docs = [(lang or "", source or "", re.findall("[A-Za-z\u0080-\U0010ffff]+", text or "")) for _, text, lang, source in rows]
+    out = set()
+    for lang in {x[0] for x in docs}:
+        mine = [(s, [re.sub("[A-Z]", lambda m: m.group().lower(), w) for w in ws]) for x, s, ws in docs if x == lang]
+        held = [t for t in {w for _, ws in mine for w in ws} if sum(t in ws for _, ws in mine) >= min_docs]
+        n = {s: {t: sum(ws.count(t) for x, ws in mine if x == s) for t in held} for s in {x for x, _ in mine}}
+        whole = {t: sum(n[s][t] for s in n) for t in held}
+        p = {s: {t: 1 + 10**9 * (c[t] + 2) // (sum(c.values()) + 2 * len(held)) for t in held} for s, c in n.items()}
+        q = {t: 1 + 10**9 * (whole[t] + 2) // (sum(whole.values()) + 2 * len(held)) for t in held}
+        for s in n:
+            f = lambda a, b: (a - b) ** 2 // (a + b)
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in held), o.encode()) for o in n if o != s]
+            terms = [(-f(p[s][t], q[t]), t.encode()) for t in held if n[s][t] and p[s][t] > q[t]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out |= {(lang, s, part, item.decode(), -v, k + 1) for k, (v, item) in enumerate(found)}
+    return out
+
+
+def test_audit_against_force(spark, documents):
+    rng = random.Random(6)
+    rows = [(d, "".join(c if rng.random() > 0.1 else "É" for c in t[:300]), lang, s) for d, t, lang, s in documents]
+    rows += [(1, "Zzz zzz ÀZz", None, None), (1, None, "de", "only"), (None, "", "xx", "a"), (None, "a a", "xx", "b"), (7, "no", "yy", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").selectExpr("*", "1 AS n", "2 AS place", "3 AS term")
+    want = audit_by_force([r[:4] for r in rows], 4, 3)
+    found = [tuple(r) for r in skyband.audit(docs, 4, 3).collect()]
+    assert set(found) == want and len(found) == len(want)
+    # sources in tiles of three, terms in many shares
+    counts = skyband.term_counts(docs.selectExpr("coalesce(lang, '') AS lang", "coalesce(source, '') AS source", "text"), 4)
+    sums = counts.groupBy("lang", "source").agg(F.sum("n").alias("group_total"), F.count("*").alias("kept_rows"))
+    terms = counts.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("n_terms"))
+    groups = sums.join(terms, "lang")
+    pairs = {tuple(r) for r in skyband.source_pairs(counts, groups, 3, 40).collect()}
+    known = {(r["lang"], r["source"]) for r in groups.collect()}
+    assert pairs == {(lang, s, item, v) for lang, s, part, item, v, _ in want if part == "pair" and (lang, s) in known and (lang, item) in known}
