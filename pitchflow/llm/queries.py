@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, skyband, ss_packing, toxicity
+from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, skyband, ss_packing, sync_runs, toxicity
 from pitchflow.llm.common import remainder
 from pitchflow.session import configure, scratch_path
 
@@ -94,6 +96,32 @@ def op10_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_pii.find(table(spark, sf_dir, "documents")).drop("found")
 
 
+def with_periods(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places of the words that a document's text is read as: every tenth one repeats a stretch to its end."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 or not n:
+        return None
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([np.arange(a), a + np.arange(n - a) % p])
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of each document and digests of them and of the text without the repeats."""
+    found = sync_runs.collapse_runs(table(spark, sf_dir, "documents"), with_periods)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("div(1000 * best.length, best.period)").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document, and how much of it the limit takes."""
     counted = prefix_tokens.with_prefix_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_TOKENIZER), TOKEN_LIMIT)
@@ -118,7 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_line_dedup, op2_curriculum_mixing, op3_packed_ids, op4_divergence_rules, op5_tensored_minhash, op6_multiprobe_search,
         op7_toxic_segments, op8_ecoc_language, op9_sum_of_squares_packing, op10_crf_personal_data,
-        op12_prefix_token_counts, op13_divergence_audit, pipeline,
+        op11_periodic_runs, op12_prefix_token_counts, op13_divergence_audit, pipeline,
     )
 }
 

@@ -6,6 +6,8 @@ import re
 import subprocess
 import sys
 import zlib
+from fractions import Fraction
+from hashlib import sha256
 from pathlib import Path
 
 import duckdb
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, skyband, ss_packing, toxicity
+from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, skyband, ss_packing, sync_runs, toxicity
 from pitchflow.llm.components import connected_components
 from pitchflow.llm.tokens import encoder
 
@@ -755,3 +757,79 @@ def test_audit_against_force(spark, documents):
     pairs = {tuple(r) for r in skyband.source_pairs(counts, groups, 3, 40).collect()}
     known = {(r["lang"], r["source"]) for r in groups.collect()}
     assert pairs == {(lang, s, item, v) for lang, s, part, item, v, _ in want if part == "pair" and (lang, s) in known and (lang, item) in known}
+
+
+# ---- 11 periodic runs
+
+
+def runs_by_force(words):
+    """Every maximal stretch of a period, smallest periods first."""
+    out = {}
+    for q in range(1, len(words) // 4 + 1):
+        same = [words[k] == words[k + q] for k in range(len(words) - q)]
+        at = 0
+        for equal, group in itertools.groupby(same):
+            end = at + len(list(group))
+            if equal and end + q - at >= max(6, 4 * q):
+                out.setdefault((at, end + q), q)
+            at = end
+    return sorted((b, e, q) for (b, e), q in out.items())
+
+
+def repeating(rng, n, letters):
+    words = []
+    while len(words) < n:
+        kind = rng.random()
+        if kind < 0.4 or not words:
+            words += [rng.randrange(letters) for _ in range(rng.randint(1, 12))]
+        elif kind < 0.8:
+            stretch = [rng.randrange(letters) for _ in range(rng.choice([1, 2, 3, 4, 5, 7, 8, 9, 13, 16, 17, 31, 33, 40]))]
+            words += (stretch * rng.randint(1, 9))[rng.randrange(3) :]
+        else:
+            at = rng.randrange(len(words))
+            words += words[at : at + rng.randint(1, 60)] * rng.randint(1, 6)
+    return words[:n]
+
+
+def test_runs_against_all_periods():
+    rng = random.Random(7)
+    for _ in range(150):
+        sequences = [repeating(rng, rng.randint(0, 400), rng.choice([1, 2, 3, 10, 100])) for _ in range(rng.randint(1, 6))]
+        found = sync_runs.runs_of_texts([np.array(s, np.int64) for s in sequences])
+        for words, runs in zip(sequences, found, strict=True):
+            assert [(b, e, q) for b, e, q in map(tuple, runs.tolist())] == [r for r in runs_by_force(words) if r[1] - r[0] >= 6]
+
+
+@pytest.mark.parametrize("words", [[0] * 300_000, list(range(100_000)) * 4, ([0] * 50 + [1]) * 5_000, [0] * 99_999 + [1] + [0] * 99_999])
+def test_long_texts_of_runs(words):
+    runs = sync_runs.find_runs(np.array(words, np.int64))
+    assert (len(words) == 255_000 and len(runs) == 5_001) or len(runs) in (1, 2)
+    for begin, end, q in runs[:50].tolist():
+        assert words[begin : end - q] == words[begin + q : end] and end - begin >= 4 * q
+
+
+def test_run_query_against_force(spark, documents, tmp_path):
+    rng = random.Random(8)
+    rows = [(d, t[:1500]) for d, t, _, _ in documents]
+    rows += [(1000 + k, " ".join("abcdefgh"[w] for w in repeating(rng, 200, 8)).replace(" ", rng.choice(["\n", "  ", "\x0b"]))) for k in range(120)]
+    rows += [(5000, None), (5001, ""), (5002, "a a a a a"), (5003, "a a a a a a"), (None, "b " * 40), (5003, "a a a a a a")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = [tuple(r) for r in queries.op11_periodic_runs(spark, str(tmp_path)).collect()]
+    want = []
+    planted = 0
+    for doc_id, text in rows:
+        words = WORDS.findall(text or "")
+        h = zlib.crc32(str(doc_id).encode())
+        if doc_id is not None and h % 10 == 0 and words:
+            planted += 1
+            g, whole = h // 10, list(words)
+            a = g % len(whole)
+            p = 1 + (len(whole) - a) // (3 + g % 8)
+            words = [whole[i] if i < a else whole[a + (i - a) % p] for i in range(len(whole))]
+        runs = [r for r in runs_by_force(words) if r[1] - r[0] >= 6]
+        best = min(runs, key=lambda r: (-Fraction(r[1] - r[0], r[2]), r[0], r[2]), default=None)
+        numbers = (best[0], best[1] - best[0], best[2], 1000 * (best[1] - best[0]) // best[2]) if best else (None,) * 4
+        listed = "".join(f"{b},{e - b},{q}\n" for b, e, q in runs)
+        kept = " ".join(w for k, w in enumerate(words) if not any(b + q <= k < e for b, e, q in runs))
+        want.append((doc_id, len(runs), *numbers, sha256(listed.encode()).hexdigest(), sha256(kept.encode()).hexdigest()))
+    assert planted > 20 and sorted(found, key=str) == sorted(want, key=str)
