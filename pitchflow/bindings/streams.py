@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitchflow import functions as P
@@ -255,3 +256,117 @@ def stream_publish(t):
         P.number(p, "$.event.k").alias("k"),
         P.jget(p, "$.ingested_at_utc", "string").alias("ingested_at_utc"),
     )
+
+
+# Halves of the rounds, in the order in which they come: none more than one round late.
+MIXED = [(0, 0), (1, 1), (0, 1), (2, 0), (1, 0), (3, 1), (2, 1), (4, 0), (3, 0), (4, 1)]
+
+
+def _poll_rounds(root: str, **settings) -> streaming.PollRounds:
+    return streaming.PollRounds(f"{root}/rounds", "fixture_id", "minute", "pos", "poll", **settings)
+
+
+def _write_halves(t, root: str) -> None:
+    """The rounds in halves, one file each, in mixed order."""
+    t.events.selectExpr(*POLLS).write.parquet(f"{root}/all")
+    stored = t.spark.read.parquet(f"{root}/all").withColumn("half", F.pmod(F.xxhash64("pos"), F.lit(2)))
+    for poll, half in MIXED:
+        here = stored.filter((F.col("poll") == poll) & (F.col("half") == half))
+        here.drop("half").coalesce(1).write.mode("append").parquet(f"{root}/polls")
+
+
+def _polls(t, path: str):
+    schema = t.events.selectExpr(*POLLS).schema
+    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
+def _emitted(t, root: str):
+    out = t.spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/rounds/out")
+    return out.select("fixture_id", "poll", "pos", "minute", "event_type")
+
+
+@query("stream_late_rounds", EMITTED)
+def stream_late_rounds(t):
+    """Halves of rounds in mixed order, up to one round late: the same events as from whole rounds in order."""
+    root = scratch_path(t.spark, "late")
+    _write_halves(t, root)
+    rounds = _poll_rounds(root, lateness=1)
+    rounds.run(_polls(t, f"{root}/polls"), f"{root}/checkpoint").awaitTermination()
+    rounds.finish(t.spark)
+    return _emitted(t, root)
+
+
+@query(
+    "stream_polls_to_fact",
+    f"""
+    SELECT fixture_id, CAST(minute AS BIGINT) AS event_elapsed_min, event_type, 'fixture.live.events' AS topic,
+           CAST(1 AS BIGINT) AS times FROM ({EMITTED})
+    """,
+)
+def stream_polls_to_fact(t):
+    """Polls to closed rounds, to the log, to the live fact; publishing runs three times, twice under a new checkpoint."""
+    root = scratch_path(t.spark, "published")
+    _write_halves(t, root)
+    rounds = _poll_rounds(root, lateness=1)
+    rounds.run(_polls(t, f"{root}/polls"), f"{root}/checkpoint").awaitTermination()
+    rounds.finish(t.spark)
+
+    def messages(events):
+        event = F.struct(F.struct(F.col("minute").alias("elapsed")).alias("time"), F.col("event_type").alias("type"))
+        return streaming.live_messages(events.withColumn("event", event), _loaded_at(), ["poll", "pos"])
+
+    options = {"topic": "fixture.live.events", "partitions": "3"}
+    for checkpoint in ("publish", "publish", "publish_again"):
+        streaming.publish_rounds(
+            rounds, t.spark, messages, "json", options, f"{root}/{checkpoint}", f"{root}/log", ["poll", "pos"]
+        ).awaitTermination()
+        log = S.read_log(t.spark, "json", {"recursiveFileLookup": "true"}, f"{root}/log")
+        streaming.stream_to_fact(log, f"{root}/raw", f"{root}/fact", f"{root}/land", loaded_at=_loaded_at()).awaitTermination()
+    fact = t.spark.read.parquet(f"{root}/fact")
+    times = F.count(F.lit(1)).over(Window.partitionBy("topic", "partition", "offset")).alias("times")
+    return fact.select("fixture_id", "event_elapsed_min", "event_type", "topic", times)
+
+
+@query("stream_bad_round", EMITTED.replace("AS BIGINT) AS poll, event_type FROM events)", "AS BIGINT) AS poll, event_type FROM events WHERE day(ts) NOT BETWEEN 15 AND 21)"))
+def stream_bad_round(t):
+    """One round of five that cannot be read: the stream is started again, leaves it out, lists it and goes on."""
+    root = scratch_path(t.spark, "bad")
+    polls = t.events.selectExpr(*POLLS)
+    polls.write.parquet(f"{root}/all")
+    stored = t.spark.read.schema(polls.schema).parquet(f"{root}/all")
+    for poll in range(5):
+        lines = stored.filter(F.col("poll") == poll).select(F.to_json(F.struct("*")).alias("value"))
+        cut = F.expr("left(value, length(value) - 2)") if poll == 2 else F.col("value")
+        lines.select(cut.alias("value")).coalesce(1).write.mode("append").text(f"{root}/polls")
+    stream = t.spark.readStream.schema(polls.schema).option("mode", "FAILFAST").option("maxFilesPerTrigger", "1").json(f"{root}/polls")
+    rounds = _poll_rounds(root, attempts=2)
+    restarts = streaming.keep_running(t.spark, lambda: rounds.run(stream, f"{root}/checkpoint"))
+    rounds.finish(t.spark)
+    left_out = rounds.failures(t.spark).select("batch_id", F.size("files").alias("n")).collect()
+    if restarts != 1 or [tuple(r) for r in left_out] != [(2, 1)]:
+        raise AssertionError(f"restarts {restarts}, left out {left_out}")
+    return _emitted(t, root)
+
+
+@query(
+    "stream_unseen_events",
+    """
+    SELECT user_id AS fixture_id, event_id AS pos, CAST(json_extract_string(props, '$.k') AS BIGINT) AS minute, event_type,
+           CAST((day(ts) - 1) // 7 AS BIGINT) AS poll
+    FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) <> 0
+    """,
+)
+def stream_unseen_events(t):
+    """The lossless rule: each poll repeats all events so far, and each event comes out once, with the first poll that had it."""
+    root = scratch_path(t.spark, "unseen")
+    polls = t.events.selectExpr(*POLLS)
+    polls.write.parquet(f"{root}/all")
+    stored = t.spark.read.schema(polls.schema).parquet(f"{root}/all")
+    for poll in range(5):
+        so_far = stored.filter(F.col("poll") <= poll).withColumn("poll", F.lit(poll).cast("bigint"))
+        so_far.coalesce(1).write.mode("append").parquet(f"{root}/polls")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("poll") * 20)
+    fresh = streaming.unseen_events(_polls(t, f"{root}/polls"), ["fixture_id", "pos", "minute", "event_type"], at, "3 days", "minute")
+    writer = fresh.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    writer.start(f"{root}/out").awaitTermination()
+    return t.spark.read.schema(polls.schema).parquet(f"{root}/out").select("fixture_id", "pos", "minute", "event_type", "poll")

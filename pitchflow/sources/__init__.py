@@ -10,7 +10,7 @@ from pitchflow.sources.envelope import (
     read_envelope,
     read_landed,
 )
-from pitchflow.sources.log import LOG_SCHEMA, read_log, write_log
+from pitchflow.sources.log import LOG_SCHEMA, append_log, read_log, write_log
 from pitchflow.sources.raw import (
     SOURCES,
     SourceSpec,
@@ -27,6 +27,7 @@ __all__ = [
     "ENDPOINTS",
     "LOG_SCHEMA",
     "SOURCES",
+    "append_log",
     "EndpointSpec",
     "SourceSpec",
     "append_raw",

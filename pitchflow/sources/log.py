@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 # Columns of a log message in files; a Kafka source has the same ones with bytes and a timestamp.
@@ -42,3 +43,28 @@ def write_log(
     writer = out.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint)
     writer = writer.outputMode("append").trigger(availableNow=True)
     return writer.start(path) if path else writer.start()
+
+
+# Offsets that one append may use in a partition of a log of files.
+APPEND_BITS = 32
+
+
+def append_log(
+    messages: DataFrame, fmt: str, options: Mapping[str, str], path: str | None, name: str, order: Sequence[str]
+) -> None:
+    """Append a table of messages (key, value) to the log: a topic, or a folder `name` below `path`.
+
+    In files the messages of a key share a partition (`partitions`, 4 if not in the options, of the topic `topic`) and stand there by
+    `order`; `name` begins with the append's number, which gives its offsets. Appending `name` again replaces it by the
+    same messages at the same offsets, while a topic receives them once more.
+    """
+    if fmt == "kafka":
+        messages.selectExpr("key", "value").write.format(fmt).options(**options).save()
+        return
+    number = int("".join(filter(str.isdigit, name)))
+    partition = F.pmod(F.xxhash64("key"), F.lit(int(options.get("partitions", "4")))).cast("int")
+    place = F.row_number().over(Window.partitionBy("partition").orderBy(*order, "key", "value"))
+    rows = messages.withColumn("partition", partition).withColumn("offset", F.lit(number << APPEND_BITS) + place - 1)
+    stamp = F.unix_millis(F.current_timestamp()).alias("timestamp")
+    rows = rows.select(F.lit(options.get("topic", "log")).alias("topic"), "partition", "offset", "key", "value", stamp)
+    rows.write.mode("overwrite").format(fmt).save(f"{path}/{name}")

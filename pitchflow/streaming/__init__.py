@@ -7,13 +7,19 @@ from pitchflow.streaming.live import (
     new_events,
     next_cursor,
 )
+from pitchflow.streaming.rounds import PollRounds, keep_running, publish_rounds, rounds_emitted, unseen_events
 
 __all__ = [
+    "PollRounds",
     "emit_new_events",
+    "keep_running",
     "live_messages",
     "log_to_raw_rows",
     "new_events",
     "next_cursor",
+    "publish_rounds",
+    "rounds_emitted",
     "stream_to_fact",
     "stream_to_raw",
+    "unseen_events",
 ]

@@ -8,7 +8,7 @@ cursor keeps what each fixture had before its newest round, and a later part of
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,9 +120,9 @@ def _cursor_before(spark: SparkSession, path: str, version: str, schema: str) ->
     return spark.createDataFrame([], schema)
 
 
-def live_messages(events: DataFrame, at: Column | None = None) -> DataFrame:
-    """Log messages of new events (fixture_id, event): key, value = {ingested_at_utc, fixture_id, event}."""
+def live_messages(events: DataFrame, at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Log messages of new events (fixture_id, event): key, value = {ingested_at_utc, fixture_id, event}, and columns to keep."""
     now = F.current_timestamp() if at is None else at
     stamp = F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     body = F.struct(stamp.alias("ingested_at_utc"), "fixture_id", "event")
-    return events.select(F.col("fixture_id").cast("string").alias("key"), F.to_json(body).alias("value"))
+    return events.select(F.col("fixture_id").cast("string").alias("key"), F.to_json(body).alias("value"), *keep)

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -243,3 +244,137 @@ def test_new_checkpoint_and_second_topic(spark, tmp_path):
     for table in ("raw2", "fact2"):
         found = spark.read.parquet(str(tmp_path / table)).groupBy("topic", "offset").count().collect()
         assert len(found) == 30 and all(r["count"] == 1 for r in found)
+
+
+def poll_rounds(tmp_path, **settings):
+    return streaming.PollRounds(str(tmp_path / "rounds"), "fixture_id", "minute", "pos", "poll", **settings)
+
+
+def take_in(spark, tmp_path, rounds, options=None):
+    stream = spark.readStream.schema(SCHEMA).options(**{"maxFilesPerTrigger": "1"} | (options or {})).json(str(tmp_path / "polls"))
+    rounds.run(stream, str(tmp_path / "ckpt")).awaitTermination()
+
+
+def rounds_out(spark, tmp_path):
+    if not (tmp_path / "rounds" / "out").exists():
+        return []
+    out = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(str(tmp_path / "rounds" / "out"))
+    return sorted((tuple(r) for r in out.collect()), key=lambda r: (r[0] is None, r))
+
+
+def test_parts_of_rounds_in_any_order_within_the_lateness(spark, tmp_path):
+    rng = random.Random(21)
+    polls = {p: [(rng.randrange(3), i, rng.choice([None, 0, *range(1, 60)])) for i in range(30)] for p in range(6)}
+    polls[3] += [(7, 100 + i, m) for i, m in enumerate([5, 50, 20])]
+    polls[4] += [(7, 100 + i, m) for i, m in enumerate([30, 21, 20])]
+    parts = [(p, half) for p in sorted(polls) for half in (polls[p][::2], polls[p][1::2])]
+    parts.sort(key=lambda x: x[0] + rng.random() * 2)  # no part comes behind one that is more than two rounds later
+    rounds = poll_rounds(tmp_path, lateness=2)
+    for k, (p, events) in enumerate(parts):
+        write_poll(spark, tmp_path / "polls", p, events)
+        if k % 4 == 0:
+            take_in(spark, tmp_path, rounds)
+    take_in(spark, tmp_path, rounds)
+    closed = {r[1] for r in rounds_out(spark, tmp_path)}
+    assert closed <= {0, 1, 2} and closed
+    rounds.finish(spark)
+    rounds.finish(spark)  # nothing is left to close
+    assert rounds_out(spark, tmp_path) == brute_force(polls)
+    assert not (tmp_path / "rounds" / "late").exists()
+    assert not list((tmp_path / "rounds" / "parts").iterdir())
+    assert rounds.failures(spark).count() == 0
+
+
+def test_a_part_that_is_too_late_is_kept_aside(spark, tmp_path):
+    rounds = poll_rounds(tmp_path)
+    for poll in (1, 2, 3):
+        write_poll(spark, tmp_path / "polls", poll, [(1, poll, 10 * poll)])
+    write_poll(spark, tmp_path / "polls", 1, [(1, 9, 12)])
+    write_poll(spark, tmp_path / "polls", None, [(1, 9, 13)])
+    take_in(spark, tmp_path, rounds)
+    rounds.finish(spark)
+    assert rounds_out(spark, tmp_path) == [(1, 1, 1, 10), (1, 2, 2, 20), (1, 3, 3, 30)]
+    late = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(str(tmp_path / "rounds" / "late"))
+    assert {tuple(r) for r in late.collect()} == {(1, 1, 9, 12), (1, None, 9, 13)}
+
+
+def test_a_batch_of_rounds_that_runs_again(spark, tmp_path):
+    """Without its commit a batch runs again: after its manifest it does nothing, before it it is replaced."""
+
+    class Stopped(streaming.PollRounds):
+        def _tidy(self, *args):
+            """Stopped before the manifest, a batch removes nothing."""
+
+    rounds = Stopped(str(tmp_path / "rounds"), "fixture_id", "minute", "pos", "poll")
+    polls = {1: [(1, 0, 10), (2, 0, 5)], 2: [(1, 0, 10), (1, 1, 12)], 3: [(1, 0, 40), (None, 1, 3)]}
+    for poll, events in polls.items():
+        df = spark.createDataFrame([(f, poll, p, m) for f, p, m in events], SCHEMA)
+        df.coalesce(1).write.mode("append").json(str(tmp_path / "polls"))
+        take_in(spark, tmp_path, rounds)
+    before = rounds_out(spark, tmp_path)
+    commits = tmp_path / "ckpt" / "commits"
+
+    def uncommit():
+        for f in list(commits.glob("2")) + list(commits.glob(".2.crc")):
+            f.unlink()
+
+    uncommit()
+    take_in(spark, tmp_path, rounds)
+    assert rounds_out(spark, tmp_path) == before
+    uncommit()
+    for f in (tmp_path / "rounds" / "closed" / "0000000002-0").iterdir():
+        f.unlink()
+    take_in(spark, tmp_path, rounds)
+    assert rounds_out(spark, tmp_path) == before
+    rounds.finish(spark)
+    assert rounds_out(spark, tmp_path) == [(1, 1, 0, 10), (1, 2, 1, 12), (1, 3, 0, 40), (2, 1, 0, 5), (None, 3, 1, 3)]
+
+
+def test_a_failure_that_passes_is_tried_again(spark, tmp_path):
+    """The second attempt of a batch succeeds: nothing is left out, and the query was started once more."""
+    for poll in (1, 2, 3):
+        write_poll(spark, tmp_path / "polls", poll, [(1, 0, 10 * poll)])
+    rounds = poll_rounds(tmp_path, attempts=3)
+    flag = tmp_path / "broken"
+    flag.touch()
+
+    class Broken(streaming.PollRounds):
+        def _land(self, batch, batch_id):
+            if batch_id == 1 and flag.exists():
+                flag.unlink()
+                raise OSError("storage is away")
+            super()._land(batch, batch_id)
+
+    broken = Broken(rounds.root, "fixture_id", "minute", "pos", "poll", attempts=3)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", "1").json(str(tmp_path / "polls"))
+    assert streaming.keep_running(spark, lambda: broken.run(stream, str(tmp_path / "ckpt"))) == 1
+    broken.finish(spark)
+    assert [r[1] for r in rounds_out(spark, tmp_path)] == [1, 2, 3]
+    assert broken.failures(spark).count() == 0
+
+
+def test_errors_without_progress_end_the_loop(spark, tmp_path):
+    write_poll(spark, tmp_path / "polls", 1, [(1, 0, 10)])
+
+    def start():
+        def fail(batch, batch_id):
+            raise OSError("always")
+
+        stream = spark.readStream.schema(SCHEMA).json(str(tmp_path / "polls"))
+        return stream.writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+
+    with pytest.raises(RuntimeError, match="3 errors"):
+        streaming.keep_running(spark, start, restarts=2)
+
+
+def test_same_minute_events_of_a_later_poll_come_out_once(spark, tmp_path):
+    first = [(1, 0, 10), (2, 0, 5)]
+    second = [(1, 0, 10), (1, 1, 10), (2, 0, 5)]  # a second event in minute 10
+    for poll, events in ((1_700_000_000, first), (1_700_000_020, second), (1_700_000_040, second + [(2, 1, 0)])):
+        write_poll(spark, tmp_path / "polls", poll, events)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", "1").json(str(tmp_path / "polls"))
+    fresh = streaming.unseen_events(stream, ["fixture_id", "pos", "minute"], F.timestamp_seconds("poll"), "3 days", "minute")
+    writer = fresh.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ckpt"))
+    writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    got = sorted((r.fixture_id, r.pos, r.poll - 1_700_000_000) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, 0, 0), (1, 1, 20), (2, 0, 0)]
