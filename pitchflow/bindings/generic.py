@@ -574,6 +574,31 @@ def null_safe_not_in(t):
     return fresh.select("o_orderkey", "o_custkey", "o_orderstatus")
 
 
+@query(
+    "not_in_null_keys",
+    """
+    WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS o_custkey,
+                      CASE WHEN o_orderkey % 70 <> 1 THEN o_orderstatus END AS o_orderstatus FROM orders),
+    c AS (SELECT CASE WHEN c_custkey % 500 <> 0 THEN c_custkey END AS k,
+                 CASE WHEN c_custkey % 500 = 0 THEN 'P' WHEN c_custkey % 40 = 0 THEN NULL WHEN c_acctbal < 0 THEN 'F' ELSE 'O' END AS s
+          FROM customer WHERE c_custkey % 3 <> 1)
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM o WHERE NOT EXISTS
+      (SELECT 1 FROM c WHERE (o_custkey = k OR o_custkey IS NULL OR k IS NULL) AND (o_orderstatus = s OR o_orderstatus IS NULL OR s IS NULL))
+    """,
+)
+def not_in_null_keys(t):
+    """NOT IN over two keys with NULLs on both sides, as SQL has it."""
+    custkey = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey")).alias("o_custkey")
+    status = F.when(F.col("o_orderkey") % 70 != 1, F.col("o_orderstatus")).alias("o_orderstatus")
+    known_status = (
+        F.when(F.col("c_custkey") % 500 == 0, "P").when(F.col("c_custkey") % 40 == 0, F.lit(None)).when(F.col("c_acctbal") < 0, "F").otherwise("O")
+    )
+    known = t.customer.filter("c_custkey % 3 <> 1").select(
+        F.when(F.col("c_custkey") % 500 != 0, F.col("c_custkey")).alias("o_custkey"), known_status.alias("o_orderstatus")
+    )
+    return O.not_in(t.orders.select("o_orderkey", custkey, status), known, ["o_custkey", "o_orderstatus"])
+
+
 # --- events and increments -------------------------------------------------------------------------
 
 EVENT_FACT = """

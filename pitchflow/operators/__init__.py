@@ -3,7 +3,7 @@
 from pitchflow.operators.dedup import distinct_by, first_n_by, group_max, latest_by
 from pitchflow.operators.flatten import flatten
 from pitchflow.operators.grouping import batch_keys, collect_nested, compose_payload, rank_within, sorted_set
-from pitchflow.operators.incremental import unseen, upsert
+from pitchflow.operators.incremental import not_in, unseen, upsert
 from pitchflow.operators.joins import lookup, match_latest, spread_join, unmatched
 from pitchflow.operators.pivot import pivot_max, rank_pivot
 from pitchflow.operators.union import union_padded, unpivot_sides
@@ -22,6 +22,7 @@ __all__ = [
     "live_today",
     "lookup",
     "match_latest",
+    "not_in",
     "pending_work",
     "pivot_max",
     "rank_pivot",

@@ -232,3 +232,29 @@ def test_live_today(spark):
         typed = df.withColumn("at", F.col("at").cast(kind))
         got = O.live_today(typed, "at", "s", dt.date(2025, 8, 16))
         assert rows(got.select("id", "feed_type")) == [(2, "live"), (3, "live")]
+
+
+@pytest.mark.parametrize("seed,share", [(1, 0.0), (2, 0.1), (3, 0.4), (4, 0.9)])
+def test_not_in_follows_sql(spark, seed, share):
+    """Three keys with NULLs on both sides; a row stays if each target row differs in a key that neither lacks."""
+    rng = random.Random(seed)
+
+    def key():
+        return tuple(None if rng.random() < share else rng.randrange(3) for _ in range(3))
+
+    src = [(i, *key()) for i in range(60)]
+    kinds = "a int, b int, c int"
+    for n in (0, 1, 6):
+        target = [key() for _ in range(n)]
+        want = [r for r in src if all(any(x is not None and y is not None and x != y for x, y in zip(r[1:], t, strict=True)) for t in target)]
+        found = O.not_in(spark.createDataFrame(src, "i int, " + kinds), spark.createDataFrame(target, kinds), ["a", "b", "c"])
+        assert rows(found) == sorted(want, key=repr)
+
+
+def test_not_in_is_joined_by_keys(spark):
+    src, known = spark.range(5).selectExpr("id AS k"), spark.range(3).selectExpr("id AS k")
+    never = O.not_in(src, known, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in never and never.count("LeftAnti") == 1  # keys without NULLs need one join
+    src, known = (df.selectExpr("if(k < 9, k, null) AS k") for df in (src, known))
+    plan = O.not_in(src, known, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and plan.count("BroadcastNestedLoopJoin") == 2  # for one row at most
