@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pitchflow import functions as P
 from pitchflow import sources as S
 from pitchflow.bindings.registry import query
-from pitchflow.session import scratch_path
+from pitchflow.session import child_names, scratch_path
 
 # One request per order: one to three fixtures, the first of some without an id, some responses missing.
 RESPONSE = """
@@ -239,6 +239,51 @@ def csv_payload(t):
     )
 
 
+def _name_as_csv(spark, path: str) -> None:
+    """Give the text files of a folder the suffix of CSV files."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in child_names(spark, path):
+        if name.endswith(".txt"):
+            fs.rename(hadoop(f"{path}/{name}"), hadoop(f"{path}/{name.removesuffix('.txt')}.csv"))
+
+
+@query(
+    "csv_records",
+    """
+    SELECT p_partkey AS key, p_type AS unnamed, p_brand AS last_a, p_name || chr(10) || '"' || p_type || '", ' || p_size AS name,
+           CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size AS VARCHAR) END AS beyond
+    FROM part
+    """,
+)
+def csv_records(t):
+    """Records over several lines under a header with a line break, a repeated, an empty and a quoted name; some have cells beyond it."""
+    path = scratch_path(t.spark, "records")
+    quoted = "concat('\"', replace(concat(p_name, '\\n', '\"', p_type, '\", ', p_size), '\"', '\"\"'), '\"')"
+    cells = f"concat_ws(',', p_partkey, concat('\"', p_type, '\"'), 'first', {quoted}, p_brand, if(p_partkey % 7 <> 0, p_size, null))"
+    lines = t.part.selectExpr(f"{cells} AS value", "p_partkey % 5 = 0 AS by_system")
+    header = F.lit('c`d,,A,"Na\nme","A"\n')
+    for by_system, end in ((True, "\r"), (False, "")):
+        rows = lines.filter(F.col("by_system") == by_system)
+        # the first row of a task stands below the header of its file, and behind a blank line
+        first = F.monotonically_increasing_id() % F.lit(1 << 33) == 0
+        below = F.when(first, F.concat(header, F.lit("\n"), "value")).otherwise(F.col("value"))
+        rows.select(F.concat(below, F.lit(end)).alias("value")).write.text(f"{path}/{by_system}")
+        _name_as_csv(t.spark, f"{path}/{by_system}")
+    found = S.read_csv_payload(t.spark, path).select(F.variant_get("payload", "$", "map<string,variant>").alias("m"))
+
+    def named(name: str, kind: str = "string"):
+        return F.variant_get(F.element_at("m", F.lit(name)), "$", kind)
+
+    return found.select(
+        named("c`d", "bigint").alias("key"),
+        named("").alias("unnamed"),
+        named("A").alias("last_a"),
+        named("Na\nme").alias("name"),
+        F.variant_get(F.element_at("m", F.lit("null")), "$[0]", "string").alias("beyond"),
+    )
+
+
 @query(
     "tabular_payload",
     "SELECT s_suppkey AS key, s_name AS name, 'csv' AS suffix FROM supplier UNION ALL"

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,3 +247,93 @@ def test_page_landed_twice_counts_as_it_is_merged(spark):
     counts = spark.createDataFrame([(1, 1, 2, 1), (1, 1, 2, 3), (1, 2, 2, 1)], "k long, page long, total long, n_items long")
     assert [tuple(r) for r in sources.page_status(counts, ["k"]).collect()] == [(1, 2, 4, True)]
     assert [r["k"] for r in sources.page_errors(df, ["k"]).collect()] == [2]
+
+
+ODD_CSV = {
+    "header_break": b'"Na\nme",Age\nBob,31\n',
+    "repeated": b"A,B,A\n1,2,3\n",
+    "empty_name": b"A,,C\n1,2,3\n",
+    "beyond": b"A,B\n1,2,3,4\n5\n6,7,,\n",
+    "backtick": b"c`d,e.f,$g\n1,2,3\n",
+    "blank": b"\n\r\n\nA,B\n\n1,2\n\r\n3,4",
+    "quotes": b'A,B\n"x ""y"" z",5" pipe\n"a"b"c,d\n"","\n"\n"",""\n',
+    "breaks": b'A,B\r\n"one\r\n\r\ntwo, ""three""\n",x\r\n,y\r\n"z\n,\n,"" ","\n"\r\n',
+    "only_header": b"A,B\n",
+    "open": b'A,B\n1,2\n3,"4\n5,6',
+    "bom": "\ufeffÄ,B\n日,\U0001d4b3\n".encode(),
+}
+
+
+def records_by_reader(data):
+    """As a plain CSV reader has them: the last of equal names, cells beyond the header under null, empty cells NULL unless quoted."""
+    import csv
+    import io
+
+    text = data.decode("utf-8-sig")
+    rows = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    if not rows:
+        return []
+    out = []
+    for r in rows[1:]:
+        named = dict(zip(rows[0], r + [""] * (len(rows[0]) - len(r)), strict=False))
+        named = {k: v or None for k, v in named.items()}
+        if len(r) > len(rows[0]):
+            named["null"] = [x or None for x in r[len(rows[0]) :]]
+        out.append(named)
+    return out
+
+
+def payloads(df):
+    import json
+
+    out = {}
+    for r in df.selectExpr("source_file", "to_json(payload) AS p").collect():
+        out.setdefault(r["source_file"], []).append(json.loads(r["p"]))
+
+    def plain(value):  # the plain reader cannot tell an empty cell from one of two quotes
+        return [x or None for x in value] if isinstance(value, list) else value or None
+
+    return {k: sorted(json.dumps({a: plain(b) for a, b in x.items()}, sort_keys=True) for x in v) for k, v in out.items()}
+
+
+def wanted(files):
+    import json
+
+    every = {f"{name}.csv": sorted(json.dumps(x, sort_keys=True) for x in records_by_reader(data)) for name, data in files.items()}
+    return {k: v for k, v in every.items() if v}
+
+
+def test_csv_records_as_a_reader_has_them(spark, tmp_path):
+    for name, data in ODD_CSV.items():
+        (tmp_path / f"{name}.csv").write_bytes(data)
+    assert payloads(S.read_csv_payload(spark, str(tmp_path))) == wanted(ODD_CSV)
+
+
+def test_csv_records_across_blocks(spark, tmp_path):
+    """Blocks of some hundred bytes: records and quotes go over their borders."""
+    rng = random.Random(12)
+
+    def cell():
+        text = "".join(rng.choice(["a", "b c", ",", "\n", '"', "\r\n", "é", "1", "x" * 40]) for _ in range(rng.randint(0, 6)))
+        plain = not any(c in text for c in ',\n\r"')
+        return text if plain and rng.random() < 0.7 else '"' + text.replace('"', '""') + '"'
+
+    files = {}
+    for k in range(4):
+        names = [f"c{j}" for j in range(rng.randint(1, 4))]
+        lines = [",".join(cell() for _ in range(max(1, len(names) + rng.choice([0, 0, 0, 1, -1])))) for _ in range(150)]
+        files[f"f{k}"] = (rng.choice(["\n", "\r\n"]).join([",".join(names), *lines]) + "\n").encode()
+        (tmp_path / f"f{k}.csv").write_bytes(files[f"f{k}"])
+    sizes = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        found = payloads(S.read_csv_payload(spark, str(tmp_path)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = wanted(files)
+    assert {k: len(v) for k, v in found.items()} == {k: len(v) for k, v in want.items()}
+    for name in want:
+        assert [x for x in found[name] if x not in want[name]] == [x for x in want[name] if x not in found[name]]
