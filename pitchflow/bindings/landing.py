@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitchflow import functions as P
@@ -338,3 +341,41 @@ def json_export_roundtrip(t):
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
     path = S.export_json(rows, scratch_path(t.spark, "export"), "20250816_142300")
     return t.spark.read.schema(rows.schema).json(path)
+
+
+@query(
+    "ledger_resume",
+    """
+    SELECT c_custkey, c_nationkey, c_mktsegment, CAST(1 AS BIGINT) AS times, c_nationkey % 2 = 0 AS early FROM customer
+    """,
+)
+def ledger_resume(t):
+    """A load of customers by nation and segment that stops in its third slice, behind rows that were never committed, goes on, and
+    meets a second load of the same items: every customer is there once."""
+    root = scratch_path(t.spark, "ledger")
+    load = S.LedgerLoad(root, ("c_nationkey", "c_mktsegment"))
+    entities = t.customer.select("c_nationkey", "c_mktsegment")
+    calls = []
+
+    def fetch(work, stop_at=None):
+        calls.append(1)
+        if len(calls) == stop_at:
+            raise InterruptedError("stopped")
+        return t.customer.select("c_custkey", "c_nationkey", "c_mktsegment").join(work, list(load.keys), "left_semi")
+
+    even = load.pending(entities.filter("c_nationkey % 2 = 0"))
+    load.run(even, fetch, 2)
+    early = load.done(t.spark).select("attempt").distinct()
+    stopped = load.pending(entities)
+    with suppress(InterruptedError):
+        load.run(stopped, lambda work: fetch(work, 5), 4)
+    load.write(fetch(stopped), "never-committed")
+    again = load.pending(entities)
+    load.run(again, fetch, 2)
+    load.run(stopped, fetch, 1)  # by another process that had read its work before
+    if load.pending(entities).take(1) or load.clear_stopped(t.spark) != ["never-committed"]:
+        raise AssertionError("items are pending, or other rows than those of the stopped attempt were left")
+    times = F.count(F.lit(1)).over(Window.partitionBy("c_custkey")).alias("times")
+    by = load.done(t.spark).join(early.withColumn("early", F.lit(True)), "attempt", "left")
+    by = by.select(*load.keys, F.coalesce("early", F.lit(False)).alias("early"))
+    return load.read(t.spark).join(by, list(load.keys)).select("c_custkey", "c_nationkey", "c_mktsegment", times, "early")

@@ -13,15 +13,21 @@ LIVE_CODES = ("1H", "2H", "HT", "ET", "BT", "P", "INT")
 LIVE_ZONE = "Asia/Bangkok"
 
 
+def work_items(entities: DataFrame, expand: Mapping[str, Sequence] | None = None) -> DataFrame:
+    """Every entity x every value of each `expand` list."""
+    work = entities.distinct()
+    for name, values in (expand or {}).items():
+        work = work.withColumn(name, F.explode(F.lit(list(values))))
+    return work
+
+
 def pending_work(entities: DataFrame, ledger: DataFrame, expand: Mapping[str, Sequence] | None = None) -> DataFrame:
     """Work items not in the ledger: every entity x every value of each `expand` list, minus done.
 
     The lists are configuration (seasons, endpoints), so they expand each entity row in place; no
     join of two tables makes the key space. Any kind of interrupted load resumes from here.
     """
-    work = entities.distinct()
-    for name, values in (expand or {}).items():
-        work = work.withColumn(name, F.explode(F.lit(list(values))))
+    work = work_items(entities, expand)
     return work.join(ledger.select(*work.columns).distinct(), work.columns, "left_anti")
 
 

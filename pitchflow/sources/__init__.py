@@ -10,6 +10,7 @@ from pitchflow.sources.envelope import (
     read_envelope,
     read_landed,
 )
+from pitchflow.sources.ledger import LedgerLoad
 from pitchflow.sources.log import LOG_SCHEMA, append_log, read_log, write_log
 from pitchflow.sources.raw import (
     SOURCES,
@@ -24,6 +25,7 @@ from pitchflow.sources.raw import (
 from pitchflow.sources.tabular import read_csv_payload, read_tabular_payload
 
 __all__ = [
+    "LedgerLoad",
     "ENDPOINTS",
     "LOG_SCHEMA",
     "SOURCES",
