@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.session import scratch_path
+from pitchflow.session import delete_path, scratch_path
 
 #: A word, as every operator here counts it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +27,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for df in tables:
+        for path in {str(file).rsplit("/", 1)[0] for file in df.inputFiles()}:
+            delete_path(df.sparkSession, path)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Let at most `BATCH_ROWS` whole texts go to a Python worker at once, unless the session asks for fewer: the default
     of 10,000 rows is a hundred megabytes of ordinary texts, and a gigabyte of long ones."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import staged
+from pitchflow.llm.common import dropped, staged
 
 
 def _sign(edges: DataFrame) -> tuple:
@@ -38,10 +38,15 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = staged(ends.filter("a <> b").distinct(), "edges")
     sign = _sign(edges)
     while sign[0]:
-        edges = staged(_small_star(staged(_large_star(edges), "edges")), "edges")
+        large = staged(_large_star(edges), "edges")
+        dropped(edges)
+        edges = staged(_small_star(large), "edges")
+        dropped(large)
         before, sign = sign, _sign(edges)
         if sign == before:
             break
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = edges.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
-    return staged(nodes.union(roots), "components")
+    found = staged(nodes.union(roots), "components")
+    dropped(edges)
+    return found

@@ -5,11 +5,11 @@ key is a pair of one sketch from either: 32 sketches make 256 tables of six minh
 share a key with probability (1 - (1 - s ** HASHES) ** SKETCHES) ** 2: at 0.8, two different texts are missed with
 probability 2e-5, at 0.85 with 5e-7, and a missed link splits a component only if no other path joins it.
 
-Nothing is quadratic in a group of copies. Equal sets are one node. A node is first compared with one other alone, the
-smallest hub (smallest node of a table key) it meets; then with the hubs of its other keys that are still
-in another component; last, where a node is in another component than the hub of its key, with the nodes of
-other components in that key, unless their distances to the hub show that they cannot be linked (Jaccard distance obeys
-the triangle inequality).
+No pair of documents is a row unless one of them may be linked with what it is held against. Equal sets are one node. A node is first
+compared with one other alone, the smallest hub (smallest node of a table key) it meets; then with the hubs of its other
+keys that are still in another component. What is then in another component than one of its hubs is held against all that meet that
+hub: tasks have bounded blocks of either side, first with the codes of some minhashes and then, for the nodes left, with their
+whole sets, and return links only. No member is left out for its distance to the hub: chains may reach it.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
+from pitchflow.llm.common import dropped, small_batches, staged, text_steps, texts_of
 from pitchflow.llm.components import connected_components
 
 SKETCHES = 16
@@ -31,8 +31,8 @@ HASHES = 3
 CODES = ("code0", "code1", "code2")
 #: So many of the 48 differ at most if two documents may be linked (more do with 2e-5 at similarity 0.8).
 LINK_CODES = 21
-#: More than this rule out a similarity of 0.6 (7e-5), and so a link with what is linked with the hub.
-FAR_CODES = 31
+#: Shingles in a block of nodes that a task holds against another block (one document at least).
+BLOCK_SHINGLES = 400_000
 
 _SEEDS = np.random.default_rng(20240517).integers(1, 2**63, (2 * SKETCHES * HASHES, 2), np.uint64) | np.uint64(1)
 _FOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -117,21 +117,27 @@ def _plausible(a: str, b: str, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (_differing(a, b) <= LINK_CODES)
 
 
+def _sets(nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, set) of the documents whose doc_id is in `nodes`."""
+    texts = docs.join(nodes.distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    return staged(texts.mapInArrow(_set_rows(size), "node long, set array<long>"), "sets")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets have 100 * |intersection| >= percent * |union|."""
     pairs = staged(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = docs.join(nodes, "doc_id", "left_semi").select("doc_id", "text")
-    sets = staged(sets.mapInArrow(_set_rows(size), "node long, set array<long>"), "sets")
+    sets = _sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), docs, size)
     a, b = (sets.select(F.col("node").alias(k), F.col("set").alias(f"set_{k}")) for k in "ab")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     both = pairs.join(a, "a").join(b, "b").withColumn("shared", shared)
     linked = F.col("shared") * 100 >= (F.size("set_a") + F.size("set_b") - F.col("shared")) * percent
-    return staged(both.filter(linked).select("a", "b").distinct(), "links")
+    links = staged(both.filter(linked).select("a", "b").distinct(), "links")
+    dropped(pairs, sets)
+    return links
 
 
-def _table_members(nodes: DataFrame) -> DataFrame:
-    """(key, x, y, node, hub) for the table keys that several nodes share; x and y are the places of its sketches.
+def _met_hubs(nodes: DataFrame) -> DataFrame:
+    """(hub, node): the smallest node of each table key that several nodes share, and the others that share it.
 
     A node can only share a key if it shares a sketch of either collection, so keys are formed from
     shared sketches alone.
@@ -146,19 +152,98 @@ def _table_members(nodes: DataFrame) -> DataFrame:
         )
     )
     keys = sides.select("node", F.explode("first").alias("x"), "second").select("node", "x", F.explode("second").alias("y"))
-    places = [F.col(f"{side}.place").cast("byte").alias(side) for side in "xy"]
-    keys = staged(keys.select(F.xxhash64("x", "y").alias("key"), *places, "node"), "table_keys")
+    keys = staged(keys.select(F.xxhash64("x", "y").alias("key"), "node"), "table_keys")
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("members")).filter("members > 1")
-    return staged(keys.join(hubs.drop("members"), "key"), "table_members")
+    met = keys.join(hubs.drop("members"), "key").filter("node <> hub").select("hub", "node").distinct()
+    met = staged(met, "met_hubs")
+    dropped(keys)
+    return met
+
+
+def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of codes that differ, of each row of `a` and each of `b`."""
+    out = np.zeros((len(a), len(b)), np.uint8)
+    ones = np.uint64(0x1111111111111111)
+    for k in range(a.shape[1]):
+        x = a[:, k, None] ^ b[None, :, k]
+        x |= x >> np.uint64(1)
+        x |= x >> np.uint64(2)
+        out += np.bitwise_count(x & ones)
+    return out
+
+
+def _codes_of(table: pa.Table) -> np.ndarray:
+    return np.stack([table.column(c).to_numpy().view(np.uint64) for c in CODES], 1)
+
+
+def _apart(mine: pa.Table, others: pa.Table) -> np.ndarray:
+    """Which pairs are of different components; of two nodes that are both odd, only the one way round."""
+    node, component = (mine.column(c).to_numpy()[:, None] for c in ("node", "component"))
+    right = component != others.column("component").to_numpy()[None, :]
+    return right & (~others.column("odd").to_numpy(zero_copy_only=False)[None, :] | (node < others.column("node").to_numpy()[None, :]))
+
+
+def _possible(percent: int):
+    """Nodes of two blocks, odd ones and any, that may be linked with one of the other block by size and codes."""
+
+    def rows(mine: pa.Table, others: pa.Table) -> pa.Table:
+        n, m = mine.column("n").to_numpy()[:, None], others.column("n").to_numpy()[None, :]
+        found = [np.zeros(0, np.int64)]
+        for at in range(0, mine.num_rows, 256):
+            some = mine.slice(at, 256)
+            near = _apart(some, others) & (_differ(_codes_of(some), _codes_of(others)) <= LINK_CODES)
+            near &= np.minimum(n[at : at + 256], m) * 100 >= np.maximum(n[at : at + 256], m) * percent
+            found += [some.column("node").to_numpy()[near.any(1)], others.column("node").to_numpy()[near.any(0)]]
+        nodes = np.unique(np.concatenate(found))
+        hub = (mine if mine.num_rows else others).column("hub")[0].as_py()
+        return pa.Table.from_arrays([pa.array([hub] * len(nodes), pa.int64()), pa.array(nodes)], names=["hub", "node"])
+
+    return rows
+
+
+def _linked_blocks(percent: int):
+    """Links (a, b) of two blocks by their whole sets: of each odd node, one with each other component."""
+
+    def rows(mine: pa.Table, others: pa.Table) -> pa.Table:
+        ends: list[tuple[int, int]] = []
+        if mine.num_rows and others.num_rows:
+            sets = others.column("set").combine_chunks()
+            flat, starts = sets.flatten().to_numpy(), sets.offsets.to_numpy()[:-1] - sets.offsets.to_numpy()[0]
+            tokens, flat = np.unique(flat, return_inverse=True)
+            m = np.diff(sets.offsets.to_numpy())
+            nodes, components = others.column("node").to_numpy(), others.column("component").to_numpy()
+            apart = _apart(mine, others)
+            own = mine.column("set").combine_chunks()
+            for k, node in enumerate(mine.column("node").to_pylist()):
+                tokens_of = own[k].values.to_numpy()
+                at = np.minimum(np.searchsorted(tokens, tokens_of), len(tokens) - 1)
+                marked = np.zeros(len(tokens), np.int32)
+                marked[at[tokens[at] == tokens_of]] = 1
+                shared = np.add.reduceat(marked[flat], starts).astype(np.int64)
+                linked = np.flatnonzero(apart[k] & (shared * 100 >= (len(tokens_of) + m - shared) * percent))
+                one = linked[np.unique(components[linked], return_index=True)[1]]
+                ends += [(min(node, x), max(node, x)) for x in nodes[one].tolist()]
+        a, b = zip(*ends, strict=True) if ends else ((), ())
+        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows
 
 
-def _first_key(a: str, b: str) -> Column:
-    """Whether the key is the first that two nodes share, by the places of their sketches: each pair is made once."""
-    return _first_common(f"{a}.first", f"{b}.first", F.col(f"{a}.x")) & _first_common(f"{a}.second", f"{b}.second", F.col(f"{a}.y") - SKETCHES)
+def _in_blocks(members: DataFrame, columns: tuple[str, ...], sizes: DataFrame, compare, kinds: str) -> DataFrame:
+    """Hold each hub's odd members against all of its members, both dealt into the blocks of `sizes` (hub, odd_blocks, blocks)."""
+    dealt = members.join(sizes, "hub")
+    place = F.xxhash64("node")
+    mine = dealt.filter("odd").select("hub", F.pmod(place, "odd_blocks").alias("i"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("j"), *columns)
+    others = dealt.select("hub", F.explode(F.expr("sequence(0, odd_blocks - 1)")).alias("i"), F.pmod(place, "blocks").alias("j"), *columns)
+    # new names for the columns of one side: both come from one table
+    others = others.select(*(F.col(c).alias(c) for c in others.columns))
+    return mine.groupBy("hub", "i", "j").cogroup(others.groupBy("hub", "i", "j")).applyInArrow(compare, kinds)
 
 
-def _first_common(a: str, b: str, place: Column) -> Column:
-    return F.array_position(F.zip_with(a, b, lambda u, v: u == v), True) == place + 1
+def _sizes(members: DataFrame) -> DataFrame:
+    """(hub, odd_blocks, blocks) of hubs with odd members, by the shingles of either kind."""
+    blocks = [F.ceil(F.sum(x) / BLOCK_SHINGLES).alias(name) for name, x in (("odd_blocks", F.when(F.col("odd"), F.col("n"))), ("blocks", F.col("n")))]
+    return members.groupBy("hub").agg(*blocks).filter("odd_blocks > 0")
 
 
 def _placed(rows: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
@@ -188,7 +273,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         ),
         "nodes",
     )
-    members = _table_members(nodes)
+    met = _met_hubs(nodes)
     small = nodes.select("node", "n", *CODES)
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -197,7 +282,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         return _confirmed(both.filter(_plausible("x", "y", percent)).select("a", "b"), docs, size, percent)
 
     # every node against the smallest hub it meets
-    by_hub = staged(members.filter("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).count(), "by_hub")
+    by_hub = met.select(F.col("hub").alias("a"), F.col("node").alias("b"))
     links = linked(by_hub.groupBy("b").agg(F.min("a").alias("a")))
     found = connected_components(links)
 
@@ -206,26 +291,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     links = links.union(linked(others.select("a", "b")))
     found = connected_components(links)
 
-    # what is not in its hub's component, against the others of the key
-    placed = _placed(_placed(members, found, "node", "component"), found, "hub", "hub_component")
-    # the sketches' first 32 bits tell well enough which are common
-    short = F.transform("sketches", lambda k: F.shiftright(k, 32).cast("int"))
-    sides = [F.slice(short, 1, SKETCHES).alias("first"), F.slice(short, SKETCHES + 1, SKETCHES).alias("second")]
-    placed = placed.join(nodes.select("node", "n", *CODES, *sides), "node")
-    hubs = small.select(F.col("node").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in CODES))
-    odd = placed.filter("component <> hub_component").join(hubs, "hub")
-    member = ("key", "x", "y", "node", "component", "n", *CODES, "first", "second")
-    odd = odd.select(*member, F.struct(*CODES).alias("own"), F.struct(*(F.col(f"hub_{c}").alias(c) for c in CODES)).alias("of_hub"))
-    odd = odd.withColumn("far", _differing("own", "of_hub") > FAR_CODES).drop("own", "of_hub")
-    odd = staged(odd, "odd_members")
-    near = placed.filter("component = hub_component and node <> hub").join(odd.filter("not far").select("key").distinct(), "key", "left_semi")
-    apart = (F.col("x.component") != F.col("y.component")) & _plausible("x", "y", percent)
-    apart = apart & _first_key("x", "y")
-    x, y, z = odd.alias("x"), odd.alias("y"), near.select(*member).alias("y")
-    among = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & apart)
-    across = x.filter("not far").join(z, (F.col("x.key") == F.col("y.key")) & apart)
-    ends = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
-    rest = _confirmed(among.select(*ends).union(across.select(*ends)).distinct(), docs, size, percent)
+    # what is not in a hub's component, against all that meet the hub
+    every = met.union(met.select("hub", F.col("hub").alias("node")).distinct())
+    placed = _placed(_placed(every, found, "node", "component"), found, "hub", "hub_component")
+    placed = placed.withColumn("odd", F.col("component") != F.col("hub_component")).join(small, "node")
+    unsettled = placed.filter("odd").select("hub").distinct()
+    members = staged(placed.join(unsettled, "hub", "left_semi").select("hub", "node", "component", "odd", "n", *CODES), "hub_members")
+    columns = ("node", "component", "odd", "n")
+    possible = _in_blocks(members, (*columns, *CODES), _sizes(members), _possible(percent), "hub long, node long")
+    left = staged(members.join(possible.distinct(), ["hub", "node"], "left_semi").select("hub", *columns), "left_members")
+    sets = _sets(left.select(F.col("node").alias("doc_id")), docs, size)
+    rest = _in_blocks(left.join(sets, "node"), (*columns, "set"), _sizes(left), _linked_blocks(percent), "a long, b long")
+    rest = staged(rest.distinct(), "links")
+    dropped(met, members, left, sets)
     components = connected_components(links.union(rest)) if rest.take(1) else found
 
     by_set = nodes.select("set_id", "node").join(components, "node", "left")

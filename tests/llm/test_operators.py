@@ -833,3 +833,43 @@ def test_run_query_against_force(spark, documents, tmp_path):
         kept = " ".join(w for k, w in enumerate(words) if not any(b + q <= k < e for b, e, q in runs))
         want.append((doc_id, len(runs), *numbers, sha256(listed.encode()).hexdigest(), sha256(kept.encode()).hexdigest()))
     assert planted > 20 and sorted(found, key=str) == sorted(want, key=str)
+
+
+# ---- 5, links far from a hub
+
+
+@pytest.mark.parametrize("block", [400_000, 3_000])
+def test_chains_far_from_their_hub_lose_no_link(spark, monkeypatch, block):
+    """Variants of one text and chains of edits that lead away from it: every link between two texts joins their components."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block)
+    rng = random.Random(31)
+    fresh = (f"w{k}" for k in itertools.count())
+    base = [next(fresh) for _ in range(200)]
+
+    def edited(words, n=17):
+        at = rng.randrange(len(words) - n)
+        return words[:at] + [next(fresh) for _ in range(n)] + words[at + n :]
+
+    texts = [base] + [edited(base, rng.randint(3, 30)) for _ in range(250)]
+    for _ in range(25):
+        step = base
+        for _ in range(5):
+            step = edited(step)
+            texts.append(step)
+    sets = [{tuple(x) for x in itertools.pairwise(t)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(k):
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2, 80).collect()}
+    assert found == {k: find(k) for k in range(len(texts))}
+    assert len(set(found.values())) > 1
