@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pitchflow.llm.common import small_batches, text_steps, texts_of
 
@@ -133,21 +134,22 @@ def fit(languages: list[str], counts: np.ndarray, labels: np.ndarray) -> Languag
 
 def train(labelled: DataFrame, sample: int = SAMPLE) -> LanguageModel:
     """Fit on a bounded sample of (doc_id, text, lang): of each language as many whole documents as `sample` allows for
-    all, those with the smallest hashes. Rows with a NULL lang or no text are left out; without any
-    the model knows no language."""
+    all, one at least, those with the smallest hashes. Of more than `MAX_LANGUAGES` values of lang, those with the most documents
+    are learned. Rows with a NULL lang or no text are left out; without any the model knows no language."""
     some = small_batches(labelled).filter("lang is not null and length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    sizes = some.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    sizes = some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return LanguageModel([], np.ones((0, 1)), *[np.zeros(1)] * 4, 1.0)
-    # the hash cuts each language to about its part of the sample, without sorting it
-    part = sample / len(sizes)
-    languages = [r["lang"] for r in sizes]
-    rates = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, part / r["count"])))))
+    sizes.sort(key=lambda r: r["lang"])
+    languages, wanted = [r["lang"] for r in sizes], -(-sample // len(sizes))
+    # a first cut by the hash leaves each language some more than wanted, and a small one whole; the smallest hashes of those count
+    rates = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, (3 * wanted + 20) / r["count"])))))
     place = F.create_map(*(x for k, lang in enumerate(languages) for x in (F.lit(lang), F.lit(k))))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) / F.lit(float(1 << 20)) < rates[F.col("lang")]
-    chosen = some.filter(drawn).select("text", place[F.col("lang")].alias("label"))
+    mark = F.xxhash64("doc_id", F.lit("sample"))
+    drawn = F.pmod(mark, F.lit(1 << 20)) / F.lit(float(1 << 20)) < rates[F.col("lang")]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id", F.xxhash64("text")))
+    chosen = some.filter(drawn).withColumn("mark", F.pmod(mark, F.lit(1 << 20))).withColumn("rank", rank)
+    chosen = chosen.filter(F.col("rank") <= wanted).select("text", place[F.col("lang")].alias("label"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_steps(batches):

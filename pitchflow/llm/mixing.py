@@ -174,17 +174,18 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
     return each.orderBy("position", "doc_id", "text_hash", "round")
 
 
-def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+def mixed_documents(docs: DataFrame, written: bool = False, **how) -> DataFrame:
     """The documents of `docs` (all columns) in training order, each as often as the mix takes it.
 
     Whole documents are kept: a document that the mix takes in part is kept where at least half of it is
-    taken. Documents without words train nothing and are left out. Rows are written with a tag, by which each meets
-    its own takes.
+    taken. Documents without words train nothing and are left out. A row meets its own takes by its place in the table's files;
+    `written` says that `docs` are the rows of one Parquet table as they were read, otherwise they are written first.
     """
-    row = F.struct(*docs.columns).alias("row")
-    tagged = staged(docs.select(row, F.monotonically_increasing_id().alias("tag")), "tagged")
-    takes = _mixed(tagged.select("row.doc_id", "row.source", "row.text", "tag"), **how)
+    table = docs if written else staged(docs, "documents")
+    tag = F.struct("_metadata.file_path", "_metadata.row_index").alias("tag")
+    takes = _mixed(table.select("doc_id", "source", "text", tag), **how)
     kept = F.filter("takes", lambda t: t["words"] * 2 >= F.col("size"))["position"]
     takes = takes.select("tag", kept.alias("positions")).filter(F.size("positions") > 0)
-    joined = tagged.join(takes, "tag").select("row", F.explode("positions").alias("position"))
+    rows = table.select(F.struct(*docs.columns).alias("row"), tag)
+    joined = rows.join(takes, "tag").select("row", F.explode("positions").alias("position"))
     return joined.orderBy("position").select("row.*")

@@ -873,3 +873,25 @@ def test_chains_far_from_their_hub_lose_no_link(spark, monkeypatch, block):
     found = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2, 80).collect()}
     assert found == {k: find(k) for k in range(len(texts))}
     assert len(set(found.values())) > 1
+
+
+# ---- 8, many languages
+
+
+@pytest.mark.parametrize("languages,known", [(300, 300), (520, 500)])
+def test_every_language_is_learned(spark, languages, known):
+    rows = [(k * 100 + i, f"word{k} other{k} text of {k} and {i}", f"l{k:03d}") for k in range(languages) for i in range(40 if languages == 300 else 2)]
+    rows += [(10**6 + k, f"word{k} once more", f"l{k:03d}") for k in range(known)] + [(None, "no id", "l000"), (7, None, "l000"), (8, "x", None)]
+    model = ecoc.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == [f"l{k:03d}" for k in range(known)]
+
+
+def test_the_nearest_codeword_by_weighted_losses(spark, documents):
+    """Decoding by force: of each text the language with the least weighted loss over all bits."""
+    labelled = spark.createDataFrame([(d, t, lang) for d, t, lang, _ in documents], "doc_id long, text string, lang string")
+    model = ecoc.train(labelled)
+    texts = [t for _, t, _, _ in documents[:40] if re.search(r"[^\W\d_]", t)]
+    for text, lang in zip(texts, model.decide(texts)[0], strict=True):
+        margins = model._margins(ecoc.trigram_counts([text]).astype(np.float32))[0]
+        losses = [sum(w * np.exp(-min(max(m * bit, -3), 3)) for m, bit, w in zip(margins, row, weights, strict=True)) for row, weights in zip(model.code, model.weights, strict=True)]
+        assert lang == model.languages[int(np.argmin(losses))]
