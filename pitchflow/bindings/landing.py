@@ -321,6 +321,24 @@ def source_freshness(t):
     return S.source_freshness(tables, F.lit("2024-02-01").cast("timestamp"))
 
 
+@query(
+    "marked_freshness",
+    """
+    SELECT 'events' AS source, date_trunc('second', max(ts)) AS loaded_at,
+           epoch(TIMESTAMP '2024-02-01' - date_trunc('second', max(ts)))::BIGINT AS lag_seconds, count(*) AS n_rows FROM events
+    """,
+)
+def marked_freshness(t):
+    """Freshness of a table appended in three loads, from the rows that the appends committed, and not from the table."""
+    path = scratch_path(t.spark, "marked")
+    rows = t.events.selectExpr("event_id", "cast(ts AS string) AS ingested_at", "props AS payload")
+    for k in range(3):
+        S.append_raw(rows.filter(F.col("event_id") % 3 == k), f"{path}/raw", marks=f"{path}/marks")
+    found = S.marked_freshness(t.spark, {"events": f"{path}/marks"}, F.lit("2024-02-01").cast("timestamp"))
+    counted = t.spark.read.parquet(f"{path}/marks").agg(F.sum("n").alias("n_rows")).withColumn("source", F.lit("events"))
+    return found.join(counted, "source")
+
+
 @query(
     "raw_append_roundtrip",
     "SELECT event_id, date_trunc('second', ts) AS ingested_at, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k"

@@ -20,6 +20,7 @@ from pitchflow.sources.raw import (
     raw_rows,
     read_raw,
     resolve_source,
+    marked_freshness,
     source_freshness,
 )
 from pitchflow.sources.tabular import read_csv_payload, read_tabular_payload
@@ -46,6 +47,7 @@ __all__ = [
     "read_raw",
     "read_tabular_payload",
     "resolve_source",
+    "marked_freshness",
     "source_freshness",
     "write_log",
 ]

@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchflow.functions import to_ntz_seconds
+from pitchflow.session import path_exists
 
 
 @dataclass(frozen=True)
@@ -88,12 +89,15 @@ def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(SOURCES[key].schema).parquet(f"{root}/{key}")
 
 
-def append_raw(df: DataFrame, path: str, payload: str = "payload", loaded_at: Column | None = None) -> None:
+def append_raw(
+    df: DataFrame, path: str, payload: str = "payload", loaded_at: Column | None = None, marks: str | None = None
+) -> None:
     """Append rows to a RAW table: `payload` as strict JSON, `ingested_at` as whole UTC seconds.
 
     Text payloads must parse, or the append fails and leaves the table as it was. `ingested_at`
     comes from the rows or, where they lack it, from `loaded_at` (default: now). No rows, no files'
-    worth of work.
+    worth of work. With `marks`, the newest load time and the number of rows, counted while they are written, are committed there
+    as one row, after the rows: `marked_freshness` reads these alone.
     """
     out = df
     if "ingested_at" not in df.columns:
@@ -101,7 +105,28 @@ def append_raw(df: DataFrame, path: str, payload: str = "payload", loaded_at: Co
     out = out.withColumn("ingested_at", to_ntz_seconds(F.col("ingested_at")))
     if not isinstance(df.schema[payload].dataType, T.VariantType):
         out = out.withColumn(payload, F.parse_json(payload))
-    out.write.mode("append").parquet(path)
+    if marks is None:
+        out.write.mode("append").parquet(path)
+        return
+    seen = Observation()
+    out.observe(seen, F.max("ingested_at").alias("loaded_at"), F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    found = seen.get
+    row = (found.get("loaded_at"), found.get("n") or 0)
+    df.sparkSession.createDataFrame([row], MARK).coalesce(1).write.mode("append").parquet(marks)
+
+
+#: What an append commits besides its rows.
+MARK = "loaded_at timestamp_ntz, n bigint"
+
+
+def marked_freshness(spark: SparkSession, marks: Mapping[str, str], as_of: Column) -> DataFrame:
+    """As `source_freshness`, from the marks that the appends of each source committed: one row is read per append.
+
+    An append that stopped before its mark counts from the next one on. A source without a mark has NULL.
+    """
+    none = spark.createDataFrame([], MARK)
+    tables = {name: spark.read.schema(MARK).parquet(path) if path_exists(spark, path) else none for name, path in marks.items()}
+    return source_freshness({name: (df, "loaded_at") for name, df in tables.items()}, as_of)
 
 
 def export_json(df: DataFrame, prefix: str, stamp: str) -> str:

@@ -174,6 +174,18 @@ def test_freshness(spark):
     assert rows(got) == [("a", dt.datetime(2025, 8, 2), 86400), ("b", None, None)]
 
 
+def test_freshness_from_marks_equals_the_scan(spark, tmp_path):
+    path, marks = str(tmp_path / "raw_league"), str(tmp_path / "marks")
+    day = F.lit("2025-08-09 00:00:00").cast("timestamp")
+    df = spark.createDataFrame([("2025-08-01 10:00:00.7", 1, "{}"), ("2025-08-03 10:00:00", 2, "{}"), (None, 3, "{}")], "ingested_at string, k long, payload string")
+    for part in (df, df.limit(0), df.filter("k < 2"), df.filter("k = 3"), df.filter("k > 9")):
+        S.append_raw(part, path, marks=marks)
+        scanned = S.source_freshness({"raw_league": (spark.read.parquet(path), "ingested_at")}, day)
+        assert rows(S.marked_freshness(spark, {"raw_league": marks}, day)) == rows(scanned)
+    assert [r["n"] for r in spark.read.parquet(marks).orderBy("n").collect()] == [0, 0, 1, 1, 3]
+    assert rows(S.marked_freshness(spark, {"none": str(tmp_path / "nothing")}, day)) == [("none", None, None)]
+
+
 def test_export_json(spark, tmp_path):
     path = S.export_json(spark.createDataFrame([(1, None)], "a int, b string"), str(tmp_path / "teams"), "20250816_142300")
     assert path.endswith("teams_20250816_142300")
