@@ -6,22 +6,21 @@ floor((a x + b) / w) with Gaussian a. A query visits, besides its own bucket, th
 in the order of their estimated success: values near a cell's border first (the order of perturbation sets is
 made once, from the expected distances; each query's own distances say which values they mean).
 
-Buckets are dealt over blocks of bounded size: the buckets of a table by their hash, and the rows of one bucket
-over several blocks where there are more than a block holds. A query goes to the blocks that hold any of its buckets,
-once each, and a task works on one block at a time: per bucket one product of the queries that visit it with its rows.
+Rows are dealt by hash over shards of bounded size, each with its own tables, so k and the number of visits do not grow
+with the data, and a bucket that many rows share is spread over all shards. A query goes to each shard once; there, its
+tables' candidates are merged and scored exactly. Shards are searched in waves, each `WAVE` times as many as all before,
+and a later wave returns only what comes up to the last of a query's best so far.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,13 +30,15 @@ from pitchflow.llm.common import staged
 TABLES = 6
 #: Cell width, in standard deviations of a unit vector's projection.
 WIDTH = 2.5
-#: Rows of a cell on average, from which the number of functions follows, and the rows of a block.
-BUCKET_ROWS, BLOCK_ROWS = 16, 4096
-#: Queries that meet a block at once; more of them are dealt over copies of the block.
-QUERY_ROWS = 8192
+#: Rows of a cell on average, from which the number of functions follows, and the rows of a shard.
+BUCKET_ROWS, SHARD_ROWS = 16, 65536
+#: Queries that meet a shard in one task, and at once; more of them are dealt over copies of the shard.
+QUERY_ROWS, STEP_ROWS = 2048, 64
 #: Part of a table's cells (2 ** functions) that a query visits.
 PROBED = 0.3
-MIN_FUNCTIONS, MAX_FUNCTIONS = 4, 20
+MIN_FUNCTIONS = 4
+#: Shards of a wave, against all before it.
+WAVE = 3
 
 
 @lru_cache(maxsize=8)
@@ -99,192 +100,162 @@ class Hashes:
         distances = np.hstack([below, 1 - below])  # to the lower borders, to the upper ones
         order = distances.argsort(1, kind="stable")
         steps = np.hstack([-self.odd[table], self.odd[table]])
-        out = np.empty((len(vectors), self.probes), np.int64)
         with np.errstate(over="ignore"):
             base = (cells.astype(np.int64) * self.odd[table]).sum(1)
-            for k, places in enumerate(probe_order(self.functions, self.probes)):
-                out[:, k] = base + steps[order[:, list(places)]].sum(1) if places else base
-        return out[:, : k + 1]
+            return base[:, None] + steps[order] @ probe_matrix(self.functions, self.probes).T
 
 
-def _vectors(column) -> np.ndarray:
-    """Binary rows (little-endian doubles) as a matrix."""
-    return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
+@lru_cache(maxsize=8)
+def probe_matrix(functions: int, probes: int) -> np.ndarray:
+    """The sets of `probe_order` as rows of 0 and 1."""
+    sets = probe_order(functions, probes)
+    out = np.zeros((len(sets), 2 * functions), np.int64)
+    for k, places in enumerate(sets):
+        out[k, list(places)] = 1
+    return out
+
+
+@lru_cache(maxsize=64)
+def hashes(dims: int, rows: int, norm: float) -> Hashes:
+    """The functions of a shard with up to `rows` rows."""
+    functions = max(MIN_FUNCTIONS, math.ceil(math.log2(max(rows / BUCKET_ROWS, 1))))
+    return Hashes(dims, functions, math.ceil(PROBED * 2**functions), norm)
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
     """(vec_id, vector) of the rows that take part, each once: an id, and a vector that is not NULL, not empty, not zero and
-    has no NULL or non-finite component. Of several lengths the commonest counts (of equally common ones the longest)."""
+    has no NULL or non-finite component."""
     vector = F.col("embedding").cast("array<double>")
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), vector.alias("vector")).filter("vec_id is not null and size(vector) > 0")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = staged(rows.filter(finite & F.exists("vector", lambda x: x != 0)), "vectors")
-    common = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.filter(F.size("vector") == (common["n"] if common else 0)).dropDuplicates(["vec_id", "vector"])
+    return rows.filter(finite & F.exists("vector", lambda x: x != 0)).dropDuplicates(["vec_id", "vector"])
 
 
-def _best_of_block(queries: pd.DataFrame, rows: pd.DataFrame, top: int) -> pd.DataFrame:
-    """Of each query, the best rows (ties at the end included) among those in a bucket it visits (visits NULL: all)."""
-    out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+def _vectors(column) -> np.ndarray:
+    """Binary rows (little-endian doubles) as a matrix."""
+    return np.frombuffer(b"".join(column), "<f8").reshape(len(column), -1)
+
+
+def _met(q: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]], functions: Hashes) -> np.ndarray:
+    """Which rows share a visited bucket with each query, in any table."""
+    met = np.zeros((len(q), len(tables[0][1])), bool)
+    for table, (buckets, member) in enumerate(tables):
+        visits = functions.visits(q, table)
+        place = np.minimum(np.searchsorted(buckets, visits), len(buckets) - 1)
+        hit = np.zeros((len(q), len(buckets)), bool)
+        who, which = np.nonzero(buckets[place] == visits)
+        hit[who, place[who, which]] = True
+        met |= hit[:, member]
+    return met
+
+
+def _best_of_shard(queries: pd.DataFrame, rows: pd.DataFrame, top: int, whole: bool) -> pd.DataFrame:
+    """Of each query, the `top` best rows (ties to the smaller vec_id) in a bucket it visits, or of the whole shard, that
+    come up to the query's bound (NULL: none)."""
+    out: dict[str, list] = {"dims": [], "query_id": [], "vec_id": [], "score": []}
     if len(queries) and len(rows):
         x, ids = _vectors(rows["vector"]), rows["vec_id"].to_numpy()
-        buckets, member = np.unique(rows["bucket"].to_numpy(), return_inverse=True)
-        by_bucket = np.split(np.argsort(member, kind="stable"), np.cumsum(np.bincount(member))[:-1])
-        for at in range(0, len(queries), 512):
-            part = queries.iloc[at : at + 512]
-            q = _vectors(part["vector"])
-            near = np.full((len(part), len(x)), -np.inf)
-            if part["visits"].iloc[0] is None:
-                near[:] = q @ x.T
-            else:
-                visits = [np.asarray(v, np.int64) for v in part["visits"]]
-                who, which = np.repeat(np.arange(len(part)), [len(v) for v in visits]), np.concatenate(visits)
-                place = np.searchsorted(buckets, which)
-                known = buckets[np.minimum(place, len(buckets) - 1)] == which
-                who, place = who[known], place[known]
-                order = np.argsort(place, kind="stable")
-                who, place = who[order], place[order]
-                for k, here in zip(*np.unique(place, return_index=True), strict=True):
-                    visitors = who[here : np.searchsorted(place, k, "right")]
-                    near[np.ix_(visitors, by_bucket[k])] = q[visitors] @ x[by_bucket[k]].T
-            query_ids = part["query_id"].to_numpy()
+        dims, size, norm = (queries[k].iloc[0] for k in ("dims", "shard_rows", "norm"))
+        functions = hashes(int(dims), int(size), float(norm))
+        tables = [] if whole else [np.unique(functions.buckets(x, t), return_inverse=True) for t in range(TABLES)]
+        for at in range(0, len(queries), STEP_ROWS):
+            part = queries.iloc[at : at + STEP_ROWS]
+            q, query_ids = _vectors(part["vector"]), part["query_id"].to_numpy()
+            near = q @ x.T
+            if not whole:
+                near[~_met(q, tables, functions)] = -np.inf
             near[query_ids[:, None] == ids[None]] = -np.inf
+            least = part["bound"].to_numpy(float, na_value=-np.inf)
             if len(x) > top:
-                least = np.partition(near, len(x) - top, axis=1)[:, len(x) - top]
-            else:
-                least = np.full(len(part), -np.inf)
-            keep = (near > -np.inf) & (near >= np.maximum(least - 1e-9 * np.abs(least).clip(1), -1e308)[:, None])
-            a, b = np.nonzero(keep)
-            out["query_id"].append(query_ids[a])
-            out["vec_id"].append(ids[b])
+                least = np.fmax(least, np.partition(near, len(x) - top, axis=1)[:, len(x) - top])
+            # products of matrices are rounded otherwise than sums of rows: a little more is scored exactly
+            a, b = np.nonzero((near > -np.inf) & (near >= np.maximum(least - 1e-9 * np.abs(least).clip(1), -1e308)[:, None]))
             # summed row by row, so that equal vectors have equal scores wherever they stand
-            out["score"].append((q[a] * x[b]).sum(1))
+            score = (q[a] * x[b]).sum(1)
+            order = np.lexsort((ids[b], -score, a))
+            place = np.arange(len(order)) - np.searchsorted(a[order], a[order])
+            keep = order[place < top]
+            out["query_id"].append(query_ids[a[keep]])
+            out["vec_id"].append(ids[b[keep]])
+            out["score"].append(score[keep])
+            out["dims"].append(np.full(len(keep), dims, np.int32))
     if not out["score"]:
-        return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+        return pd.DataFrame({"dims": np.zeros(0, np.int32), "query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
     return pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
 
 
-_KEY = ["tab", "block", "part", "chunk"]
+_KEY = ["dims", "shard", "chunk"]
+_FOUND = "dims int, query_id long, vec_id long, score double"
 
 
-def _searched(queries: DataFrame, rows: DataFrame, top: int) -> DataFrame:
-    """Best rows of each query per block, by the block's key."""
+def _searched(queries: DataFrame, rows: DataFrame, top: int, whole: bool) -> DataFrame:
+    """Each query's best rows among all shards, in waves; `whole` compares it with all rows of them."""
 
     def best(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        return _best_of_block(q, x, top)
-
-    return queries.groupBy(*_KEY).cogroup(rows.groupBy(*_KEY)).applyInPandas(best, "query_id long, vec_id long, score double")
+        return _best_of_shard(q, x, top, whole)
+
+    sizes = queries.groupBy("dims").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("chunks"))
+    rows = rows.join(sizes, "dims").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    queries = queries.join(sizes, "dims").withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int"))
+    shards = queries.agg(F.max("shards")).first()[0] or 0
+    found, end = None, 0
+    while end < shards:
+        begin, end = end, end + max(1, WAVE * end)
+        sent = queries.filter(f"shards > {begin}")
+        if found is None:
+            sent = sent.withColumn("bound", F.lit(None).cast("double"))
+        else:
+            bounds = found.groupBy("dims", "query_id").agg(F.when(F.count("*") >= top, F.min("score")).alias("bound"))
+            sent = sent.join(bounds, ["dims", "query_id"], "left")
+        sent = sent.withColumn("shard", F.explode(F.sequence(F.lit(begin), F.least(F.lit(end), "shards") - 1)))
+        sent = sent.select(*_KEY, "query_id", "vector", "shard_rows", "norm", "bound")
+        wave = rows.filter(f"shard >= {begin} and shard < {end}").select(*_KEY, "vec_id", "vector")
+        wave = sent.groupBy(*_KEY).cogroup(wave.groupBy(*_KEY)).applyInPandas(best, _FOUND)
+        found = staged(_top(wave if found is None else found.union(wave), top, "dims", "query_id").drop("rank"), "found")
+    return found
+
+
+def _top(found: DataFrame, top: int, *key: str) -> DataFrame:
+    """The best answers by key with their rank; an answer met twice counts once, with its larger score."""
+    found = found.groupBy(*key, "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).filter(f"rank <= {top}").select(*key, "vec_id", "score", "rank")
 
 
 def nearest(embeddings: DataFrame, top: int = 20, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): of each row whose vec_id is divisible by `every`, the `top` rows with the largest
     inner product that the search finds, nearest first, ties to the smaller vec_id; all other rows, if fewer.
 
-    Rows as in `usable` take part. A repeated row counts once, and rows of a query's own id are never its answer.
-    Of equal vectors only the `top` + 1 smallest ids are indexed, as no other can be in an answer, so a
-    vector that many rows share is no hot bucket. A query that finds fewer than it should is compared with all rows,
-    block by block. An empty table gives no row. Other columns are left out.
+    Rows as in `usable` take part; those of each vector length are searched by themselves, as no inner product joins two
+    lengths. A repeated row counts once, and rows of a query's own id are never its answer; an id with several vectors
+    has the best of their answers. Of equal vectors only the `top` + 1 smallest ids are indexed, as no other can be in an
+    answer. A query that finds fewer than it should is compared with all rows, shard by shard. An empty table gives no
+    row. Other columns are left out.
     """
-    rows = staged(usable(embeddings), "usable")
-    n, norm, dims = rows.agg(
-        F.count("*"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)), F.max(F.size("vector"))
-    ).first()
-    spark = embeddings.sparkSession
-    if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    functions = min(MAX_FUNCTIONS, max(MIN_FUNCTIONS, math.ceil(math.log2(max(n / BUCKET_ROWS, 1)))))
-    hashes = Hashes(dims, functions, math.ceil(PROBED * 2**functions), math.sqrt(norm))
-    blocks = math.ceil(n / BLOCK_ROWS)
-
-    binary = pa.binary()
-
-    def packed(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Array]:
-        lists = batch.column("vector")
-        vectors = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
-        return vectors, pa.array([v.astype("<f8").tobytes() for v in vectors], binary)
-
-    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                vectors, data = packed(batch)
-                for table in range(TABLES):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "tab": pa.array([table] * len(vectors), pa.int32()),
-                            "bucket": pa.array(hashes.buckets(vectors, table), pa.int64()),
-                            "vec_id": batch.column("vec_id"),
-                            "vector": data,
-                        }
-                    )
-
-    def visiting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                vectors, data = packed(batch)
-                for table in range(TABLES):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "tab": pa.array([table] * len(vectors), pa.int32()),
-                            "query_id": batch.column("vec_id"),
-                            "vector": data,
-                            "visits": pa.array(list(hashes.visits(vectors, table)), pa.list_(pa.int64())),
-                        }
-                    )
-
-    same = Window.partitionBy("vector").orderBy("vec_id")
-    candidates = staged(rows.withColumn("place", F.row_number().over(same)).filter(f"place <= {top + 1}").drop("place"), "candidates")
-    index = staged(candidates.mapInArrow(indexed, "tab int, bucket long, vec_id long, vector binary"), "index")
-    queries = rows.filter(F.col("vec_id") % every == 0)
-    n_queries = queries.count()
-    chunks = max(1, math.ceil(n_queries / QUERY_ROWS))
-
-    # a bucket with more rows than a block holds has parts of its own, behind part 0 of its block
-    block = F.pmod(F.xxhash64("bucket"), F.lit(blocks)).alias("block")
-    large = index.groupBy("tab", "bucket").count().filter(f"count > {BLOCK_ROWS}")
-    large = large.select("tab", "bucket", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("parts"))
-    part = F.coalesce(F.pmod(F.xxhash64("vec_id"), F.col("parts")) + 1, F.lit(0)).cast("int").alias("part")
-    every_chunk = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk")
-    placed = index.join(large, ["tab", "bucket"], "left").select("tab", "bucket", "vec_id", "vector", block, part)
-    placed = placed.select("*", every_chunk)
-
-    visits = staged(queries.mapInArrow(visiting, "tab int, query_id long, vector binary, visits array<long>"), "visits")
-    each = visits.select("tab", "query_id", F.explode("visits").alias("bucket"))
-    filled = index.select("tab", "bucket").distinct().join(large, ["tab", "bucket"], "left")
-    each = each.join(filled, ["tab", "bucket"]).select("tab", "query_id", "bucket", block, F.coalesce("parts", F.lit(0)).alias("parts"))
-    parts = F.when(F.col("parts") == 0, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.col("parts")))
-    each = each.select("tab", "query_id", "bucket", "block", F.explode(parts).alias("part"))
-    grouped = each.groupBy("tab", "block", "part", "query_id").agg(F.collect_list("bucket").alias("visits"))
-    chunk = F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk")
-    sent = grouped.join(visits.select("tab", "query_id", "vector"), ["tab", "query_id"]).select(*_KEY[:3], chunk, "query_id", "vector", "visits")
-    found = staged(_searched(sent, placed, top).dropDuplicates(["query_id", "vec_id"]), "found")
+    data = F.pandas_udf(lambda vectors: vectors.map(lambda v: np.asarray(v, "<f8").tobytes()), "binary")("vector")
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    rows = usable(embeddings).select("vec_id", F.size("vector").alias("dims"), F.sqrt(squares).alias("norm"), data.alias("vector"))
+    rows = staged(rows, "usable")
+    same = Window.partitionBy("dims", "vector").orderBy("vec_id")
+    candidates = staged(rows.withColumn("place", F.row_number().over(same)).filter(f"place <= {top + 1}").drop("place", "norm"), "candidates")
+    # per length: the largest norm, and the shards of its rows
+    lengths = rows.groupBy("dims").agg(F.max("norm").alias("norm"))
+    lengths = lengths.join(candidates.groupBy("dims").agg(F.count("*").alias("n"), F.countDistinct("vec_id").alias("ids")), "dims")
+    lengths = lengths.withColumn("shards", F.ceil(F.col("n") / SHARD_ROWS).cast("int"))
+    lengths = staged(lengths.withColumn("shard_rows", F.ceil(F.col("n") / F.col("shards"))), "lengths")
+    shard = F.pmod(F.xxhash64("vec_id", "vector"), F.col("shards")).cast("int").alias("shard")
+    index = candidates.join(lengths, "dims").select("dims", shard, "vec_id", "vector")
+    queries = rows.filter(F.col("vec_id") % every == 0).drop("norm").withColumnRenamed("vec_id", "query_id").join(lengths, "dims")
+    found = _searched(queries, index, top, whole=False)
+    if found is None:
+        return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
 
     # a candidate of the query's own id is no answer, so a query in the index should find one less
-    n_candidates = candidates.count()
-    met = found.groupBy(F.col("query_id").alias("vec_id")).count()
-    own = candidates.select("vec_id").distinct().withColumn("own", F.lit(1))
-    short = queries.join(met, "vec_id", "left").join(own, "vec_id", "left")
-    should = F.least(F.lit(top), F.lit(n_candidates) - F.coalesce("own", F.lit(0)))
-    short = staged(short.filter(F.coalesce("count", F.lit(0)) < should).select("vec_id", "vector"), "short")
-    n_short = short.count()
-    if n_short:
-        found = found.union(_against_all(short, candidates, n_short, blocks, top)).dropDuplicates(["query_id", "vec_id"])
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(f"rank <= {top}").select("query_id", "rank", "vec_id", "score")
-
-
-def _against_all(queries: DataFrame, candidates: DataFrame, n_queries: int, blocks: int, top: int) -> DataFrame:
-    """Queries against all candidates, in blocks."""
-    chunks = max(1, math.ceil(n_queries / QUERY_ROWS))
-    data = F.udf(lambda v: np.asarray(v, "<f8").tobytes(), "binary", useArrow=True)("vector").alias("vector")
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long")
-    rows = candidates.select(
-        F.lit(0).alias("tab"), block.alias("block"), F.lit(0).alias("part"), F.lit(0).cast("long").alias("bucket"), "vec_id", data,
-        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
-    )
-    chunk = F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk")
-    sent = queries.select(
-        F.lit(0).alias("tab"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"), F.lit(0).alias("part"),
-        chunk, F.col("vec_id").alias("query_id"), data, F.lit(None).cast("array<long>").alias("visits"),
-    )
-    return _searched(sent, rows, top)
+    met = found.groupBy("dims", "query_id").agg(F.count("*").alias("met"))
+    own = candidates.select("dims", F.col("vec_id").alias("query_id"), F.lit(1).alias("own")).distinct()
+    short = queries.join(met, ["dims", "query_id"], "left").join(own, ["dims", "query_id"], "left")
+    should = F.least(F.lit(top), F.col("ids") - F.coalesce("own", F.lit(0)))
+    short = staged(short.filter(F.coalesce("met", F.lit(0)) < should).drop("met", "own"), "short")
+    again = _searched(short, index, top, whole=True)
+    answers = _top(found if again is None else found.union(again), top, "query_id")
+    return answers.select("query_id", "rank", "vec_id", "score")
