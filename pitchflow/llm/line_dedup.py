@@ -1,10 +1,11 @@
 """Line dedup by pairwise alignment: what a later document has in common with an earlier one goes.
 
-Overlaps are found through hashes of rare lines: a line with at least `min_words` words, or so many lines from
-there on that together have them, so that ordinary short lines are no evidence. Each such run names the
-first document that has it, and every later document with the run is aligned with that one alone: the number
-of pairs is bounded by the number of lines, whatever the size of a group of copies, and every run that a document
-shares with any earlier one is in one of its pairs.
+Overlaps are found through hashes of lines: a line with at least `min_words` words, or the fewest lines from there on, or
+up to there, that together have them, so that ordinary short lines are no evidence. Each such run names the first
+document that has it. A rare run, in at most `RARE` documents, makes a pair of every later one with the first, and
+each pair is aligned by patience diff: a document's lines go to few others, however many share a licence or a copied text
+with it. A common run needs no alignment: where a later document has it, its lines are a block of their own. Runs
+taken from both sides cover every block to its last line, so nothing is lost by either way.
 """
 
 from __future__ import annotations
@@ -23,23 +24,25 @@ from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
 
 #: Words that a common block has at least.
 MIN_WORDS = 10
+#: Documents that hold a run for which they are aligned; those with a commoner run lose it without.
+RARE = 16
 
 
 def line_runs(text: str, min_words: int) -> tuple[list[int], list[int], list[int], list[int]]:
-    """Of the lines that have a word: place in the text, hash, number of words, and the hashes of runs of
-    `min_words` words or more, each the shortest from its first line on."""
-    places, hashes, words, runs = [], [], [], []
+    """Of the lines that have a word: place in the text, hash, number of words, and the hashes of their `windows`."""
+    places, hashes, words = [], [], []
     for place, line in enumerate(text.encode("utf-8", "surrogatepass").split(b"\n")):
         if parts := line.split():
             places.append(place)
             hashes.append(xxhash.xxh3_64_intdigest(b" ".join(parts)) - (1 << 63))
             words.append(len(parts))
-    for begin, end in _runs(words, min_words):
-        if end - begin == 1:
-            runs.append(hashes[begin])
-        else:
-            runs.append(xxhash.xxh3_64_intdigest(b"".join(h.to_bytes(8, "little", signed=True) for h in hashes[begin:end])) - (1 << 63))
-    return places, hashes, words, runs
+    return places, hashes, words, [_run_hash(hashes, begin, end) for begin, end in windows(words, min_words)]
+
+
+def _run_hash(hashes: list[int], begin: int, end: int) -> int:
+    if end - begin == 1:
+        return hashes[begin]
+    return xxhash.xxh3_64_intdigest(b"".join(h.to_bytes(8, "little", signed=True) for h in hashes[begin:end])) - (1 << 63)
 
 
 def _runs(words: list[int], min_words: int) -> Iterator[tuple[int, int]]:
@@ -55,6 +58,13 @@ def _runs(words: list[int], min_words: int) -> Iterator[tuple[int, int]]:
         held -= own
 
 
+def windows(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """The shortest runs of `min_words` words or more from each line on, and up to each line."""
+    n = len(words)
+    back = ((n - end, n - begin) for begin, end in _runs(words[::-1], min_words))
+    return sorted({*_runs(words, min_words), *back})
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Patience diff: pairs (place in a, place in b) of equal lines, increasing in both.
 
@@ -123,28 +133,34 @@ def _from_left(a: list[int], b: list[int], i: int, i_end: int, j: int, j_end: in
 def common_blocks(earlier: list[int], later: list[int], words: list[int], min_words: int) -> list[int]:
     """Places in `later` (hashes of lines with their words) of the aligned blocks with `min_words` words or more.
 
-    What is left of `later` is aligned again until nothing more is found, so moved and repeated blocks go too. Blocks
-    that cross what the alignment prefers are aligned around a run they share.
+    Where the alignment leaves lines of `earlier`, one pass by its runs finds the blocks that are moved, repeated, or
+    cross what it prefers, so that all of every common block goes.
     """
     gone: list[int] = []
-    left = list(range(len(later)))
-    while left:
-        matched = patience(earlier, [later[k] for k in left])
-        found, block = [], []
-        for at, (i, j) in enumerate(matched):
-            block.append(left[j])
-            following = matched[at + 1] if at + 1 < len(matched) else None
-            if following is None or following[0] != i + 1 or left[following[1]] != left[j] + 1:
-                if sum(words[k] for k in block) >= min_words:
-                    found += block
-                block = []
-        found = found or _crossing(earlier, later, words, left, min_words)
-        if not found:
-            break
-        gone += found
-        kept = set(found)
-        left = [k for k in left if k not in kept]
-    return sorted(gone)
+    block: list[int] = []
+    last = -1
+    for i, j in patience(earlier, later):
+        if block and (i != last + 1 or j != block[-1] + 1):
+            if sum(words[k] for k in block) >= min_words:
+                gone += block
+            block = []
+        block.append(j)
+        last = i
+    if sum(words[k] for k in block) >= min_words:
+        gone += block
+    aligned, known = set(gone), set(earlier)
+    if any(x in known and k not in aligned for k, x in enumerate(later)):
+        aligned.update(common_runs(later, words, min_words, _runs_among(earlier, dict(zip(later, words, strict=True)), min_words)))
+    return sorted(aligned)
+
+
+def common_runs(lines: list[int], words: list[int], min_words: int, common: set[int]) -> list[int]:
+    """Places of the lines in a run whose hash is among `common`."""
+    out: list[int] = []
+    for begin, end in windows(words, min_words):
+        if _run_hash(lines, begin, end) in common:
+            out += range(max(begin, out[-1] + 1 if out else 0), end)
+    return out
 
 
 def _neighbours(places: list[int]) -> Iterator[list[int]]:
@@ -159,25 +175,13 @@ def _neighbours(places: list[int]) -> Iterator[list[int]]:
         yield stretch
 
 
-def _crossing(earlier: list[int], later: list[int], words: list[int], left: list[int], min_words: int) -> list[int]:
-    """Places of `later`, among those left, in blocks around runs that `earlier` has anywhere."""
-    size = dict(zip(later, words, strict=True))
-    first: dict[tuple[int, ...], int] = {}
-    for stretch in _neighbours([k for k, x in enumerate(earlier) if x in size]):
-        for begin, end in _runs([size[earlier[k]] for k in stretch], min_words):
-            first.setdefault(tuple(earlier[stretch[0] + begin : stretch[0] + end]), stretch[0] + begin)
-    found: list[int] = []
-    for stretch in _neighbours(left):
-        at, done = stretch[0], stretch[0]
-        for begin, end in _runs([words[k] for k in stretch], min_words):
-            place = first.get(tuple(later[at + begin : at + end]))
-            if place is not None and at + begin >= done:
-                done = at + end
-                place += end - begin
-                while done <= stretch[-1] and place < len(earlier) and later[done] == earlier[place]:
-                    done, place = done + 1, place + 1
-                found += range(at + begin, done)
-    return found
+def _runs_among(lines: list[int], size: dict[int, int], min_words: int) -> set[int]:
+    """Hashes of the runs made of lines with a known number of words."""
+    out: set[int] = set()
+    for stretch in _neighbours([k for k, x in enumerate(lines) if x in size]):
+        here = lines[stretch[0] : stretch[-1] + 1]
+        out.update(_run_hash(here, begin, end) for begin, end in windows([size[x] for x in here], min_words))
+    return out
 
 
 def _line_rows(min_words: int):
@@ -210,6 +214,18 @@ def _block_rows(min_words: int):
     return rows
 
 
+def _run_rows(min_words: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_steps(batches):
+            columns = (batch.column(k).to_pylist() for k in ("common", "lines", "words", "places"))
+            gone = [[p[k] for k in common_runs(x, w, min_words, set(c))] for c, x, w, p in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_pydict(
+                {k: batch.column(k) for k in ("doc_id", "text_hash", "firsts")} | {"gone": pa.array(gone, pa.list_(pa.int32()))}
+            )
+
+    return rows
+
+
 def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
     """Texts without the lines at the given places; NULL where none is given."""
     out = []
@@ -227,7 +243,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     (sorted doc_ids of the earlier documents it had blocks with).
 
     A block is a run of lines, blank ones aside, that an earlier document (by doc_id) has too, with `min_words` words
-    or more. NULL and empty texts stay as they are, as do rows with a NULL doc_id. Equal rows are cut alike;
+    or more; every copy of it in the later document goes. NULL and empty texts stay as they are, as do rows with a NULL doc_id. Equal rows are cut alike;
     rows under one doc_id are never cut for one another. A text whose lines all go becomes empty or blank.
     Columns called n_deleted or overlaps in the input are replaced.
     """
@@ -240,16 +256,26 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = staged(some.mapInArrow(_line_rows(min_words), kinds), "lines")
 
     each = lines.select("doc_id", F.explode("runs").alias("run"))
-    firsts = each.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    pairs = each.join(firsts.select("run", "first"), "run").filter("doc_id <> first").select("doc_id", "first").distinct()
+    firsts = each.groupBy("run").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    shared = each.join(firsts.filter("first < last").select("run", "first", "n"), "run").filter("doc_id <> first")
+    rare = F.col("n") <= RARE
+    shared = shared.groupBy("doc_id").agg(
+        F.collect_set(F.when(rare, F.col("first"))).alias("pairs"),
+        F.collect_set(F.when(~rare, F.col("run"))).alias("common"),
+        F.collect_set(F.when(~rare, F.col("first"))).alias("firsts"),
+    )
+    shared = staged(shared, "shared")
 
     later = lines.select("doc_id", "text_hash", "places", "lines", "words")
     earlier = lines.select(F.col("doc_id").alias("first"), F.col("lines").alias("earlier")).dropDuplicates()
-    aligned = pairs.join(later, "doc_id").join(earlier, "first")
+    aligned = shared.select("doc_id", F.explode("pairs").alias("first")).join(later, "doc_id").join(earlier, "first")
     aligned = aligned.mapInArrow(_block_rows(min_words), "doc_id long, text_hash long, first long, gone array<int>")
-    cuts = aligned.filter(F.size("gone") > 0).groupBy("doc_id", "text_hash").agg(
+    aligned = aligned.select("doc_id", "text_hash", F.array("first").alias("firsts"), "gone")
+    common = shared.filter(F.size("common") > 0).select("doc_id", "common", "firsts").join(later, "doc_id")
+    common = common.mapInArrow(_run_rows(min_words), "doc_id long, text_hash long, firsts array<long>, gone array<int>")
+    cuts = aligned.union(common).filter(F.size("gone") > 0).groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"),
-        F.array_sort(F.collect_set("first")).alias("overlaps"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("firsts")))).alias("overlaps"),
     )
     cuts = staged(cuts, "cuts")
     out = rows.join(cuts, ["doc_id", "text_hash"], "left")

@@ -5,6 +5,7 @@ import random
 import re
 import subprocess
 import sys
+import time
 import zlib
 from fractions import Fraction
 from hashlib import sha256
@@ -58,7 +59,10 @@ def blocks_by_force(docs, min_words):
     return out
 
 
-def test_line_dedup_against_all_pairs(spark):
+@pytest.mark.parametrize("rare", [0, 3, 16])
+def test_line_dedup_against_all_pairs(spark, monkeypatch, rare):
+    """The same blocks go, whether their runs make pairs or are cut as common ones."""
+    monkeypatch.setattr(line_dedup, "RARE", rare)
     rng = random.Random(1)
     pool = [" ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(50)) for _ in range(rng.randint(4, 14))) for _ in range(40)]
     docs = []
@@ -73,12 +77,33 @@ def test_line_dedup_against_all_pairs(spark):
     got = {r["doc_id"]: r["text"] for r in found.collect()}
     force = blocks_by_force(docs, 10)
     for doc_id, text in docs:
-        lines = text.split("\n")
-        kept = got[doc_id].split("\n") if got[doc_id] else []
-        # never a line that no earlier document shares in a block; never a long shared line left
-        assert [x for k, x in enumerate(lines) if k not in force[doc_id] and x] == [x for x in kept if x in {y for k, y in enumerate(lines) if k not in force[doc_id]} and x]
-        earlier = {x for _, t in docs[:doc_id] for x in t.split("\n")}
-        assert not [x for x in kept if len(x.split()) >= 10 and x in earlier]
+        assert got[doc_id] == "\n".join(x for k, x in enumerate(text.split("\n")) if k not in force[doc_id])
+
+
+def test_common_blocks_by_force():
+    rng = random.Random(4)
+    for _ in range(2000):
+        size = [rng.choice((1, 2, 3, 5, 12)) for _ in range(8)]
+        earlier, later = ([rng.randrange(8) for _ in range(rng.randrange(12))] for _ in "ab")
+        words, gone = [size[x] for x in later], set()
+        for i, j in itertools.product(range(len(later)), range(len(earlier))):
+            n = 0
+            while i + n < len(later) and j + n < len(earlier) and later[i + n] == earlier[j + n]:
+                n += 1
+            if sum(words[i : i + n]) >= 10:
+                gone |= set(range(i, i + n))
+        assert line_dedup.common_blocks(earlier, later, words, 10) == sorted(gone)
+
+
+def test_repeated_lines_take_linear_time():
+    """A long line 200,000 times, alone and between own lines."""
+    begin = time.perf_counter()
+    n = 200_000
+    assert line_dedup.common_blocks([7], [7] * n, [12] * n, 10) == list(range(n))
+    later = [x for k in range(n) for x in (7, 100 + k)]
+    assert line_dedup.common_blocks([7, 8, 7], later, [12] * (2 * n), 10) == list(range(0, 2 * n, 2))
+    assert line_dedup.common_blocks([7] * n, later, [12] * (2 * n), 10) == list(range(0, 2 * n, 2))
+    assert time.perf_counter() - begin < 30
 
 
 def test_patience_is_increasing_and_equal():
