@@ -8,6 +8,7 @@ from pitchflow import plans
 from pitchflow import quality as Q
 from pitchflow.bindings import derived
 from pitchflow.bindings.registry import ORACLES, Tables, query
+from pitchflow.session import scratch_path
 
 NULLED = "CASE WHEN event_type <> 'error' THEN value END"
 
@@ -81,14 +82,27 @@ def dq_relationships_large(t):
     """,
 )
 def dq_report(t):
-    checks = [
+    return Q.run_checks(_events(t), _event_checks(), "events")
+
+
+def _event_checks():
+    return [
         Q.not_null("value"),
         Q.accepted_range("value", max_value=60, severity="warn"),
         Q.not_null("event_id"),
         Q.unique_combination(["user_id"], severity="warn"),
         Q.unique_combination(["event_id"]),
     ]
-    return Q.run_checks(_events(t), checks, "events")
+
+
+@query("dq_incremental_report", ORACLES["dq_report"])
+def dq_incremental_report(t):
+    """The same report from three loads, one of them added twice."""
+    spark = t.events.sparkSession
+    states = Q.check_states(scratch_path(spark, "states"), _event_checks(), "events", ranges=16)
+    for load, kind in (("a", "event_type = 'click'"), ("b", "event_type = 'error'"), ("b", "event_type = 'error'"), ("c", "event_type not in ('click', 'error')")):
+        states.add(_events(t).filter(kind), load)
+    return states.report(spark)
 
 
 # Failure conditions, over the SQL twin of the staging model, of the checks that are not plain

@@ -145,3 +145,41 @@ def test_fixture_and_statistics_checks(spark):
     negative = {"team": {"id": 1}, "fixtures": {"played": {"total": -1}}, "goals": {"for": {"total": {"total": 0}}}}
     got = staged_failures(plans.stg_team_statistics(raw(spark, [(AT, 1, 2025, negative)])), "stg_team_statistics")
     assert got == {("accepted_range", "fixtures_played_total"): 1}
+
+
+def test_states_of_loads_equal_a_full_run(spark, tmp_path):
+    checks = [Q.not_null("b"), Q.unique_combination(["a"]), Q.unique_combination(["a", "b"], "warn", where="a > 0"), Q.accepted_range("a", 0, 5)]
+    loads = {
+        "one": [(1, None), (2, 2), (2, 2), (None, 1)],
+        "none": [],
+        "two": [(1, None), (7, 1), (None, 3)],
+        "three": [(1, None), (-1, 1), (-1, 1)],
+    }
+    states, rows = Q.check_states(str(tmp_path), checks, "m", ranges=4), []
+    for load, more in loads.items():
+        rows += more
+        states.add(spark.createDataFrame(more, "a int, b int"), load)
+        full = Q.run_checks(spark.createDataFrame(rows, "a int, b int"), checks, "m")
+        assert sorted(states.report(spark).collect()) == sorted(full.collect())
+        states.drop_old(spark)
+    states.add(spark.createDataFrame(loads["one"], "a int, b int"), "one")
+    assert sorted(states.report(spark).collect()) == sorted(full.collect())
+
+
+def test_stopped_load_is_not_counted(spark, tmp_path):
+    states = Q.check_states(str(tmp_path), [Q.unique_combination(["a"])], "m", ranges=4)
+    rows = spark.createDataFrame([(1,), (2,)], "a int")
+    states.add(rows, "one")
+    states._merge(rows, 0, states.checks[0], "two")  # stopped before its summary
+    assert [r.failures for r in states.report(spark).collect()] == [0]
+    states.add(rows, "two")
+    assert [r.failures for r in states.report(spark).collect()] == [2]
+
+
+def test_load_reads_touched_ranges_only(spark, tmp_path):
+    states = Q.check_states(str(tmp_path), [Q.unique_combination(["a"])], "m", ranges=64)
+    states.add(spark.range(1000).selectExpr("id AS a"), "one")
+    states.add(spark.createDataFrame([(5,)], "a bigint"), "two")
+    written = [p.name for p in (tmp_path / "groups" / "check=0" / "load=two" / "all").iterdir() if p.name.startswith("key_range")]
+    assert len(written) == 1
+    assert [r.failures for r in states.report(spark).collect()] == [1]
