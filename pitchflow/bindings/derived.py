@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Rows of a table that one task turns into payloads.
+TASK_ROWS = 20_000
+
 BASE = "TIMESTAMP_NTZ'2025-01-01 00:00:00'"
 
 
@@ -16,6 +19,15 @@ def _seconds(n: str) -> str:
     return f"{BASE} + make_dt_interval(0, 0, 0, {n})"
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """The same rows dealt over as many tasks as their number asks for.
+
+    A payload is many times the size of its row, and a small file or a row group is read by one task, however many rows it
+    has: without this, that task would build, parse and sort all payloads. The count comes from the files' footers.
+    """
+    return table.repartition(max(1, -(-table.count() // TASK_ROWS)))
+
+
 def raw_league(customer: DataFrame) -> DataFrame:
     return customer.selectExpr(
         f"CASE WHEN c_mktsegment <> 'MACHINERY' THEN {_seconds('c_custkey')} END AS ingested_at",
@@ -91,7 +103,7 @@ def raw_player_trophies(part: DataFrame) -> DataFrame:
     one = """struct(p_partkey div 2 AS id, transform(sequence(1, p_size), i ->
                struct(concat(p_brand, '-', i) AS league, cast(2000 + i AS string) AS season,
                       CASE WHEN i = p_size THEN 'Winner' ELSE '2nd Place' END AS place)) AS trophies)"""
-    return part.selectExpr(
+    return spread(part).selectExpr(
         f"{_seconds('p_partkey')} AS ingested_at",
         "cast(p_size AS bigint) AS league_id",
         "2025 AS season",

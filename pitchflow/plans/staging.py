@@ -354,7 +354,8 @@ def stg_player_trophies(raw: DataFrame) -> DataFrame:
     A payload is one player `{id, trophies}` or a batch `{response: [players]}`. At most 20 trophies
     of a player count, in list order; equal positions from several ingests go by ingest time, then
     season and content. The payload of a player is the largest by JSON text: it travels once per
-    list, with the first trophy, which sorts before the others of its list.
+    list, with the first trophy, which sorts before the others of its list. A list's trophies have
+    different positions, so those beyond its first 20 can never count and are not unfolded.
     """
     rows = parsed(raw, "payload", "_p")
     p = F.col("_p")
@@ -367,7 +368,7 @@ def stg_player_trophies(raw: DataFrame) -> DataFrame:
         parts = [jget(t, f"$.{f}", "string").alias(f"_{f}") for f in fields]
         return F.struct(pos.alias("_pos"), text.alias("_text"), *parts)
 
-    listed = F.transform(elements(player, "$.trophies"), trophy)
+    listed = F.transform(F.slice(elements(player, "$.trophies"), 1, TROPHIES_PER_PLAYER), trophy)
     lists = people.select(*_KEYS, number(player, "$.id").alias("player_id"), listed.alias("_trophies"))
     trophies = _each(lists, (*_KEYS, "player_id"), "_trophies", "_trophy").select(*_KEYS, "player_id", "_trophy.*")
     order = [F.col(c) for c in ("_pos", "ingested_at", "season", "league_id", "_league", "_season", "_place")]

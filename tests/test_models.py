@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitchflow import plans
+from pitchflow.bindings import derived
 
 AT = dt.datetime(2025, 8, 1, 12, 0, 0)
 LATER = dt.datetime(2025, 8, 2, 12, 0, 0)
@@ -374,3 +375,16 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert plans.current_table(spark, path).count() == 5
     with pytest.raises(FileNotFoundError):
         plans.current_table(spark, str(tmp_path / "none"))
+
+
+def test_payloads_of_one_small_file_are_built_by_several_tasks(spark):
+    n = 2 * derived.TASK_ROWS + 1
+    part = spark.range(0, n, 1, 1).selectExpr(
+        "id AS p_partkey", "'p' AS p_name", "'b' AS p_brand", "'LARGE' AS p_type", "cast(id % 30 + 1 AS int) AS p_size", "1.0D AS p_retailprice"
+    )
+    raw_ = derived.raw_player_trophies(part)
+    assert raw_.rdd.getNumPartitions() == 3 and raw_.select("ingested_at").distinct().count() == n
+    # a player's lists of up to 30 trophies: only the first 20 of a list are unfolded
+    staged = plans.stg_player_trophies(derived.raw_player_trophies(part.limit(60)))
+    assert "slice(" in staged._jdf.queryExecution().optimizedPlan().toString() and staged.count() == 30
+    assert derived.raw_player_trophies(part.limit(0)).count() == 0
