@@ -268,11 +268,12 @@ def _poll_rounds(root: str, **settings) -> streaming.PollRounds:
 
 def _write_halves(t, root: str) -> None:
     """The rounds in halves, one file each, in mixed order."""
-    t.events.selectExpr(*POLLS).write.parquet(f"{root}/all")
+    derived.spread(t.events).selectExpr(*POLLS).write.parquet(f"{root}/all")
     stored = t.spark.read.parquet(f"{root}/all").withColumn("half", F.pmod(F.xxhash64("pos"), F.lit(2)))
     for poll, half in MIXED:
         here = stored.filter((F.col("poll") == poll) & (F.col("half") == half))
-        here.drop("half").coalesce(1).write.mode("append").parquet(f"{root}/polls")
+        # one file, but not one task that reads all rounds for it
+        here.drop("half").repartition(1).write.mode("append").parquet(f"{root}/polls")
 
 
 def _polls(t, path: str):

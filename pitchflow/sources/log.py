@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pitchflow.session import delete_path, scratch_path
+
 # Columns of a log message in files; a Kafka source has the same ones with bytes and a timestamp.
 LOG_SCHEMA = "topic string, partition int, offset bigint, key string, value string, timestamp bigint"
 
@@ -61,10 +63,33 @@ def append_log(
     if fmt == "kafka":
         messages.selectExpr("key", "value").write.format(fmt).options(**options).save()
         return
+    spark = messages.sparkSession
     number = int("".join(filter(str.isdigit, name)))
     partition = F.pmod(F.xxhash64("key"), F.lit(int(options.get("partitions", "4")))).cast("int")
-    place = F.row_number().over(Window.partitionBy("partition").orderBy(*order, "key", "value"))
-    rows = messages.withColumn("partition", partition).withColumn("offset", F.lit(number << APPEND_BITS) + place - 1)
+    placed = _places(messages.withColumn("partition", partition), [*order, "key", "value"], scratch := scratch_path(spark, "append"))
+    rows = placed.withColumn("offset", F.lit(number << APPEND_BITS) + F.col("_place"))
     stamp = F.unix_millis(F.current_timestamp()).alias("timestamp")
     rows = rows.select(F.lit(options.get("topic", "log")).alias("topic"), "partition", "offset", "key", "value", stamp)
     rows.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
+    delete_path(spark, scratch)
+
+
+def _places(rows: DataFrame, order: Sequence[str], scratch: str) -> DataFrame:
+    """`rows` with their place from 0 within `partition` by `order`, as `_place`.
+
+    A log has few partitions, so a window over them would sort the whole log in as few tasks. The rows are dealt into ranges of
+    (partition, order) instead, as many as the shuffle has, and written to `scratch` in that order with a running number; a row's place is its
+    number's distance from the first one of its partition and range, and what the partition has in earlier ranges.
+    """
+    spark = rows.sparkSession
+    by = ["partition", *order]
+    dealt = rows.repartitionByRange(*by).sortWithinPartitions(*by)
+    dealt = dealt.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    dealt.write.parquet(scratch)
+    dealt = spark.read.schema(dealt.schema).parquet(scratch)
+    ranges = dealt.groupBy("partition", "_range").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("partition").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
+    ranges = ranges.select("partition", "_range", shift.alias("_shift"))
+    joined = dealt.join(ranges, ["partition", "_range"])
+    return joined.withColumn("_place", F.col("_row") + F.col("_shift"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from pitchflow import plans, streaming
 from pitchflow import sources as S
+from pitchflow.sources import log
+
 
 def at():
     return F.lit("2025-08-16 10:00:00").cast("timestamp")
@@ -378,3 +380,28 @@ def test_same_minute_events_of_a_later_poll_come_out_once(spark, tmp_path):
     writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
     got = sorted((r.fixture_id, r.pos, r.poll - 1_700_000_000) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(1, 0, 0), (1, 1, 20), (2, 0, 0)]
+
+
+def test_appended_messages_are_numbered_by_ranges_of_a_partition(spark, tmp_path):
+    rows = [(None if i % 11 == 0 else i % 40, f"k{i % 5}", f"v{i % 60}") for i in range(500)]
+    messages = spark.createDataFrame(rows, "pos int, key string, value string")
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        placed = log._places(messages.withColumn("partition", F.lit(0)), ["pos", "key", "value"], f"{tmp_path}/placed").collect()
+    finally:
+        spark.conf.unset(conf)
+    # one partition of the log, and no task that sorts all of it
+    assert len({r["_range"] for r in placed}) > 1
+    first = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    assert [tuple(r)[:3] for r in sorted(((r["pos"], r["key"], r["value"], r["_place"]) for r in placed), key=lambda r: r[3])] == first
+    assert sorted(r["_place"] for r in placed) == list(range(500))
+    for _ in range(2):
+        S.append_log(messages, "json", {"partitions": "2"}, f"{tmp_path}/log", "0000000007-0", ["pos"])
+        got = spark.read.schema(S.LOG_SCHEMA).json(f"{tmp_path}/log/0000000007-0").collect()
+        for partition in (0, 1):
+            here = sorted((r for r in got if r["partition"] == partition), key=lambda r: r["offset"])
+            keys = {r["key"] for r in here}
+            assert [r["offset"] - (70 << 32) for r in here] == list(range(len(here)))
+            assert [(r["key"], r["value"]) for r in here] == [r[1:] for r in first if r[1] in keys]
+        assert len(got) == 500
