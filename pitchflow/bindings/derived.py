@@ -261,7 +261,7 @@ LIVE_MESSAGE = """to_json(struct(
 
 def live_log(events: DataFrame) -> DataFrame:
     """Log messages of the live topic; views carry text that is not JSON."""
-    return events.selectExpr(
+    return spread(events).selectExpr(
         "'fixture.live.events' AS topic",
         "cast(user_id % 4 AS int) AS partition",
         "event_id AS offset",

@@ -16,6 +16,8 @@ from pitchflow.plans.models import EVENT_KEYS
 from pitchflow.plans.staging import stg_kafka_fixture_live_events
 
 DRAIN = {"availableNow": True}
+#: Rows of a file: its payloads are read by one task.
+FILE_ROWS = 1 << 16
 
 
 def log_to_raw_rows(messages: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -52,7 +54,7 @@ def _land(rows: DataFrame, near: DataFrame, path: str, stream_id: str, batch_id:
     if stored is not None:
         rows = unseen(rows, stored.filter(~_of_batch(stream_id, batch_id)), EVENT_KEYS)
     marked = in_ranges(rows, "offset").withColumns({"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")})
-    writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS)
     writer.partitionBy("offset_range", "batch_id", "stream_id").parquet(path)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pitchflow import plans, streaming
 from pitchflow import sources as S
 from pitchflow.sources import log
+from pitchflow.streaming import landing
 
 
 def at():
@@ -405,3 +406,14 @@ def test_appended_messages_are_numbered_by_ranges_of_a_partition(spark, tmp_path
             assert [r["offset"] - (70 << 32) for r in here] == list(range(len(here)))
             assert [(r["key"], r["value"]) for r in here] == [r[1:] for r in first if r[1] in keys]
         assert len(got) == 500
+
+
+def test_landed_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FILE_ROWS", 10, raising=False)
+    events = spark.range(0, 45, 1, 1).selectExpr("'t' AS topic", "0 AS partition", "id AS offset", "'k' AS key", "'{\"fixture_id\": 1}' AS value", "1L AS timestamp")
+    events.coalesce(1).write.json(f"{tmp_path}/log")
+    stream = S.read_log(spark, "json", {}, f"{tmp_path}/log")
+    streaming.stream_to_fact(stream, f"{tmp_path}/raw", f"{tmp_path}/fact", f"{tmp_path}/checkpoint", loaded_at=at()).awaitTermination()
+    for table in ("raw", "fact"):
+        files = spark.read.parquet(f"{tmp_path}/{table}").groupBy(F.input_file_name()).count().collect()
+        assert sum(r["count"] for r in files) == 45 and max(r["count"] for r in files) <= 10
