@@ -388,3 +388,12 @@ def test_payloads_of_one_small_file_are_built_by_several_tasks(spark):
     staged = plans.stg_player_trophies(derived.raw_player_trophies(part.limit(60)))
     assert "slice(" in staged._jdf.queryExecution().optimizedPlan().toString() and staged.count() == 30
     assert derived.raw_player_trophies(part.limit(0)).count() == 0
+
+
+def test_live_events_of_one_small_file_are_built_by_several_tasks(spark):
+    n = derived.TASK_ROWS + 1
+    events = spark.range(0, n, 1, 1).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id % 7 AS user_id", "'click' AS event_type", "1.0D AS value", "'{}' AS props"
+    )
+    for made in (derived.kafka_fixture_live_events(events), derived.live_log(events)):
+        assert made.rdd.getNumPartitions() == 2 and made.select("offset").distinct().count() == n
