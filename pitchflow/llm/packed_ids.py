@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from pitchflow.llm.common import small_batches, staged, text_steps, texts_of
+from pitchflow.llm.common import gathered, small_batches, staged, text_steps
 from pitchflow.llm.tokens import encoder
 
 MAGIC = b"PFI1"
@@ -37,6 +37,8 @@ BLOCK_IDS = 4096
 SEGMENT_IDS = 1 << 20
 #: Characters of text for a file, from which the number of files follows.
 FILE_CHARS = 32_000_000
+#: Bytes of text encoded in one step, unless one text has more.
+ENCODED_BYTES = 24_000_000
 
 
 def bits_for(vocab_size: int) -> int:
@@ -128,8 +130,9 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         to_ids = encoder(tokenizer)
         width = bits_for(max(to_ids.vocab_size, end_id + 1))
         pieces, held = [], 0
-        for batch in text_steps(batches):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), to_ids.encode(texts_of(batch)), strict=True):
+        for batch in gathered(text_steps(batches), ENCODED_BYTES):
+            flat, lengths = to_ids.encode_column(batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), np.split(flat, np.cumsum(lengths)[:-1]), strict=True):
                 ids, at = np.append(ids, np.uint32(end_id)), 0
                 while at < len(ids):
                     part = ids[at : at + SEGMENT_IDS - held]

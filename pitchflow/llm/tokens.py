@@ -2,7 +2,7 @@
 
 Both tokenizers split a text at white space before they merge bytes, so a text's ids are those of its
 chunks in order. Each worker encodes a chunk once and keeps its ids in a bounded table; the ids of a
-batch are then gathered with numpy.
+batch are then gathered with numpy. Arrow columns are cut and looked up by Arrow's kernels (`encode_column`).
 """
 
 from __future__ import annotations
@@ -10,17 +10,24 @@ from __future__ import annotations
 import gc
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache, partial
 from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks in a generation of a worker's table, and punctuation runs it keeps (speed only, never the ids).
 CACHE_CHUNKS = 300_000
 CACHE_TAILS = 10_000
 #: Characters encoded in one step, unless a single text has more.
 STEP_CHARS = 2_000_000
+#: Pieces of Arrow columns whose ids a worker keeps, and the bytes of a piece that is kept (speed only, never the ids).
+KEPT_PIECES = 1_000_000
+KEPT_BYTES = 100
 
 # Python counts these as white space, the tokenizers do not: texts with one are encoded whole.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -31,6 +38,11 @@ _BYTE_CHARS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not
 # A single space between two other characters starts a new chunk whatever stands around it.
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
+# White space of the tokenizers' expressions besides spaces and line breaks; the classes of Python and Arrow are others.
+_OTHER_WHITE = r"\t\x0b-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Stands between the pieces of a text for a moment; a text that has it is encoded the other way.
+_MARK = "\x1e"
+
 
 class _Table(dict):
     """Slot of each chunk, and the ids of all slots in one flat array.
@@ -100,6 +112,48 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
 
 
+class _Pieces:
+    """Ids of the pieces met before, as far as the limits allow; those met least are forgotten first."""
+
+    def __init__(self, encode, limit: int):
+        self.encode, self.limit = encode, limit
+        self.keys = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, np.uint32)
+        self.length = np.zeros(0, np.int32)
+        self.met = np.zeros(0, np.int64)  # how often; halved when pieces are forgotten
+
+    def lists(self, pieces: pa.Array) -> pa.Array:
+        """The list of ids of each piece."""
+        found = pieces.dictionary_encode()
+        distinct = found.dictionary
+        slots = pc.index_in(distinct, value_set=self.keys)
+        unseen = distinct.filter(slots.is_null())
+        new = [self.encode(piece) for piece in unseen.to_pylist()]
+        slots = np.array(slots.fill_null(-1))
+        slots[slots < 0] = np.arange(len(self.keys), len(self.keys) + len(unseen))
+        self.length = np.concatenate([self.length, np.fromiter(map(len, new), np.int32, len(new))])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(new), np.uint32)])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+        self.met[slots] += np.bincount(found.indices, minlength=len(distinct))
+        table = self._table()
+        out = table.take(pa.array(slots).take(found.indices))
+        self._keep(pa.concat_arrays([self.keys, unseen]), table)
+        return out
+
+    def _table(self) -> pa.Array:
+        return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(self.length, dtype=np.int64)]), self.ids)
+
+    def _keep(self, keys: pa.Array, table: pa.Array) -> None:
+        kept = np.array(pc.less_equal(pc.binary_length(keys), KEPT_BYTES))
+        if len(keys) > self.limit:
+            kept[np.argpartition(self.met, -(self.limit // 2))[: -(self.limit // 2)]] = False
+            self.met //= 2
+        if not kept.all():
+            keys, table = keys.filter(pa.array(kept)), table.filter(pa.array(kept))
+            self.length, self.met, self.ids = self.length[kept], self.met[kept], table.flatten().to_numpy()
+        self.keys = keys
+
+
 class Encoder:
     """Whole texts to ids, equal to encoding each text by itself without special tokens."""
 
@@ -117,6 +171,8 @@ class Encoder:
         self.tails: dict[str, list[int]] = {}
         self.head = _Table(self._whole, cache_chunks)
         self.tail = _Table(partial(self._chunk, " " if self.keeps_space else ""), cache_chunks)
+        self.pieces = _Pieces(self._piece, KEPT_PIECES)
+        self.cut_by_space = self.keeps_space and self.simple and self._cuts_are_right()
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -165,6 +221,32 @@ class Encoder:
         before = " " if self.keeps_space else ""
         return all(self._chunk(before, c) == self._whole(before + c) for c in ("Straße", "École.", "the", "Ñandú!!", "WORD$$$", "a", "z)."))
 
+    def _piece(self, piece: str) -> list[int]:
+        """Ids of a piece: white space, if any, and what stands behind it."""
+        if piece[:1] == " ":
+            return self._chunk(" ", piece[1:])
+        if piece[:1] == "\n" and _SIMPLE(piece[1:]):
+            return self._tail("\n") + self._chunk("", piece[1:])
+        return self._whole(piece)
+
+    def _cuts_are_right(self) -> bool:
+        """Whether the tokenizer cuts a text before white space, whatever stands around."""
+        texts = ("The end.\nÉcole  is\n\nout,\t 12 x\r\nit's \u00a0 \u2003z\n \n\ny!! ", "a\nb")
+        return all([i for p in _cut(pa.array([t], pa.large_string())).values.to_pylist() for i in self._piece(p)] == self._whole(t) for t in texts)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids (uint32) of all texts, one after the other, and how many each text has; a null is empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        marked = pc.match_substring(texts, _MARK)
+        if not self.cut_by_space or pc.any(marked).as_py():
+            lists = self.encode(texts.to_pylist())
+            return np.concatenate([np.zeros(0, np.uint32), *lists]), np.fromiter(map(len, lists), np.int64, len(lists))
+        pieces = _cut(texts)
+        with _uncollected():
+            lists = self.pieces.lists(pieces.values)
+        ends = lists.offsets.to_numpy()[pieces.offsets.to_numpy()]
+        return lists.values.to_numpy(), np.diff(ends)
+
     def _chunks(self, text: str) -> list[str]:
         """Chunks of a text; if spaces are kept, all but the first had a space before them."""
         if _SEPARATORS.search(text):
@@ -178,14 +260,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids (uint32) per text."""
-        # the many short lists of a step are freed at its end, there is nothing for the collector to find
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
+        with _uncollected():
             return self._in_steps(texts)
-        finally:
-            if collecting:
-                gc.enable()
 
     def trim(self) -> None:
         """Give back half of the memory between tasks: another operator's task may follow in this worker."""
@@ -218,6 +294,27 @@ class Encoder:
         return [np.concatenate(pair) for pair in zip(heads, np.split(ids, ends[:-1]), strict=True)]
 
 
+@contextmanager
+def _uncollected() -> Iterator[None]:
+    """The many short lists of a step are freed at its end, there is nothing for the collector to find."""
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collecting:
+            gc.enable()
+
+
+def _cut(texts: pa.Array) -> pa.Array:
+    """The pieces of each text, in order: cut before each run of white space. No text may have the mark."""
+    cut = pc.replace_substring(pc.replace_substring(texts, " ", f"{_MARK} "), "\n", f"{_MARK}\n")
+    runs = pc.match_substring_regex(texts, rf"[ \n][ \n]|[{_OTHER_WHITE}]")
+    if pc.any(runs).as_py():
+        cut = pc.replace_with_mask(cut, runs, pc.replace_substring_regex(texts.filter(runs), rf"([ \n{_OTHER_WHITE}]+)", rf"{_MARK}\1"))
+    return pc.split_pattern(cut, _MARK)
+
+
 def _gather(table: _Table, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lengths = table.length[slots]
     before = np.cumsum(lengths) - lengths

@@ -14,12 +14,13 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, skyband, ss_packing, sync_runs, toxicity
+from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, skyband, ss_packing, sync_runs, tokens, toxicity
 from pitchflow.llm.components import connected_components
 from pitchflow.llm.tokens import encoder
 
@@ -226,6 +227,38 @@ def test_encoder_equals_the_library(name, documents):
         assert ids.tolist() == plain_ids(theirs, text), repr(text[:100])
 
 
+@pytest.mark.parametrize("name", [queries.BYTE_TOKENIZER, queries.WORD_TOKENIZER])
+def test_encoded_columns_equal_the_library(name, documents, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 400)  # pieces are forgotten and met again
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 12)
+    mine = tokens.Encoder(public_tokenizers.path(name))
+    theirs = Tokenizer.from_file(public_tokenizers.path(name))
+    theirs.encode_special_tokens = True
+    rng = random.Random(6)
+    white = [*map(chr, (*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+    other = ["\x00", "\x1c", "\x1d", "\x1f", "\u180e", "\u200b", "\ufeff", "a", "The", "'s", "é", "End.", "$$", "7", "日本", "<|endoftext|>"]
+    signs = [" ", " ", " ", "\n", "\n", *rng.sample(white, 9), *other]
+    odd = ["".join(rng.choices(rng.choice([white, signs, [" ", *other], [" ", "\n", *other]]), k=rng.randrange(30))) for _ in range(4000)]
+    columns = [odd[at : at + 500] for at in range(0, len(odd), 500)]
+    for column in (*columns, [d[1] for d in documents], [None, *ODD], ["\x1e a", "b\x1e c"], [None], [], *columns):
+        ids, lengths = mine.encode_column(pa.array(column, pa.string()))
+        want = [plain_ids(theirs, t or "") for t in column]
+        assert lengths.tolist() == [*map(len, want)]
+        assert ids.tolist() == [*itertools.chain.from_iterable(want)]
+    assert len(mine.pieces.keys) <= 400
+
+
+def test_encoded_columns_merge_a_word_once():
+    mine, merged = tokens.Encoder(public_tokenizers.path(queries.BYTE_TOKENIZER)), []
+    plain = mine.merge
+    mine.merge = lambda word: merged.append(word) or plain(word)
+    words = [f"{a}{b}ndre" for a in "bcdfghklmn" for b in "aeiou"]
+    texts = ["".join(f"{a}.\n{b} " for b in words) + a for a in words]
+    for _ in range(2):
+        mine.encode_column(pa.array(texts))
+    assert len(merged) <= 5 * len(words)  # first, behind a space, behind a line break, with a stop or without; not per pair
+
+
 def test_packed_blocks_round_trip():
     rng = np.random.default_rng(5)
     for width in (1, 5, 15, 16, 17, 24, 31, 32):
