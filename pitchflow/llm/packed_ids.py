@@ -38,7 +38,7 @@ SEGMENT_IDS = 1 << 20
 #: Characters of text for a file, from which the number of files follows.
 FILE_CHARS = 32_000_000
 #: Bytes of text encoded in one step, unless one text has more.
-ENCODED_BYTES = 24_000_000
+ENCODED_BYTES = 12_000_000
 
 
 def bits_for(vocab_size: int) -> int:

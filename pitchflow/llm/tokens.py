@@ -118,40 +118,29 @@ class _Pieces:
     def __init__(self, encode, limit: int):
         self.encode, self.limit = encode, limit
         self.keys = pa.array([], pa.large_string())
-        self.ids = np.zeros(0, np.uint32)
-        self.length = np.zeros(0, np.int32)
+        self.ids = pa.array([], pa.large_list(pa.uint32()))
         self.met = np.zeros(0, np.int64)  # how often; halved when pieces are forgotten
 
     def lists(self, pieces: pa.Array) -> pa.Array:
         """The list of ids of each piece."""
         found = pieces.dictionary_encode()
-        distinct = found.dictionary
-        slots = pc.index_in(distinct, value_set=self.keys)
-        unseen = distinct.filter(slots.is_null())
-        new = [self.encode(piece) for piece in unseen.to_pylist()]
+        slots = pc.index_in(found.dictionary, value_set=self.keys)
+        unseen = found.dictionary.filter(slots.is_null())
+        keys = pa.concat_arrays([self.keys, unseen])
+        ids = pa.concat_arrays([self.ids, pa.array([self.encode(piece) for piece in unseen.to_pylist()], self.ids.type)])
+        met = np.concatenate([self.met, np.zeros(len(unseen), np.int64)])
         slots = np.array(slots.fill_null(-1))
-        slots[slots < 0] = np.arange(len(self.keys), len(self.keys) + len(unseen))
-        self.length = np.concatenate([self.length, np.fromiter(map(len, new), np.int32, len(new))])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(new), np.uint32)])
-        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
-        self.met[slots] += np.bincount(found.indices, minlength=len(distinct))
-        table = self._table()
-        out = table.take(pa.array(slots).take(found.indices))
-        self._keep(pa.concat_arrays([self.keys, unseen]), table)
-        return out
-
-    def _table(self) -> pa.Array:
-        return pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(self.length, dtype=np.int64)]), self.ids)
-
-    def _keep(self, keys: pa.Array, table: pa.Array) -> None:
+        slots[slots < 0] = np.arange(len(self.keys), len(keys))
+        met[slots] += np.bincount(found.indices, minlength=len(slots))
+        self.keys, self.ids, self.met = self._kept(keys, ids, met)
+        return ids.take(pa.array(slots).take(found.indices))
+
+    def _kept(self, keys: pa.Array, ids: pa.Array, met: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
         kept = np.array(pc.less_equal(pc.binary_length(keys), KEPT_BYTES))
         if len(keys) > self.limit:
-            kept[np.argpartition(self.met, -(self.limit // 2))[: -(self.limit // 2)]] = False
-            self.met //= 2
-        if not kept.all():
-            keys, table = keys.filter(pa.array(kept)), table.filter(pa.array(kept))
-            self.length, self.met, self.ids = self.length[kept], self.met[kept], table.flatten().to_numpy()
-        self.keys = keys
+            kept[np.argpartition(met, -(self.limit // 2))[: -(self.limit // 2)]] = False
+            met = met // 2
+        return (keys, ids, met) if kept.all() else (keys.filter(kept), ids.filter(kept), met[kept])
 
 
 class Encoder:

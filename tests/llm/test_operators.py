@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pitchflow.llm import crf_pii, divergence, ecoc, line_dedup, minhash, mixing, packed_ids, prefix_tokens, pstable, queries, skyband, ss_packing, sync_runs, tokens, toxicity
+from pitchflow.llm.common import gathered
 from pitchflow.llm.components import connected_components
 from pitchflow.llm.tokens import encoder
 
@@ -259,6 +260,14 @@ def test_encoded_columns_merge_a_word_once():
     assert len(merged) <= 5 * len(words)  # first, behind a space, behind a line break, with a stop or without; not per pair
 
 
+def test_gathered_batches_keep_all_rows():
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(["x" * n] * k, pa.string())}) for n, k in ((10, 3), (5, 0), (900, 1), (10, 30), (10, 2))]
+    got = [*gathered(iter(batches), 500)]
+    assert pa.Table.from_batches(got).equals(pa.Table.from_batches(batches).combine_chunks())
+    assert [b.num_rows for b in got] == [3, 1, 32]
+    assert [*gathered(iter(()), 500)] == []
+
+
 def test_packed_blocks_round_trip():
     rng = np.random.default_rng(5)
     for width in (1, 5, 15, 16, 17, 24, 31, 32):
