@@ -13,8 +13,8 @@ from pitchflow.llm.queries import WORD_END, WORD_TOKENIZER, held_out
 
 #: Fixed shingle size and similarity of near duplicates.
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
-#: Chunks in an encoder's table: the workers that pack have run the other stages too, and keep their memory.
-CACHE_CHUNKS = 50_000
+#: Chunks in an encoder's table, and bytes of text in a step: the workers that pack have run the other stages too, and keep their memory.
+CACHE_CHUNKS, PACK_STEP_BYTES = 50_000, 1_000_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 4096 ids."""
-    pieces = ss_packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), WORD_END, cache_chunks=CACHE_CHUNKS)
+    pieces = ss_packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), WORD_END, cache_chunks=CACHE_CHUNKS, step_bytes=PACK_STEP_BYTES)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

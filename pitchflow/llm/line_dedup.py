@@ -279,7 +279,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     cuts = staged(cuts, "cuts")
     out = rows.join(cuts, ["doc_id", "text_hash"], "left")
-    cut = F.pandas_udf(_without, "string")(F.when(F.col("gone").isNotNull(), F.col("text")), F.col("gone"))
+    # called nondeterministic so that a filter on the text is not pushed below it, which would run it twice, in two workers a task
+    without = F.pandas_udf(_without, "string").asNondeterministic()
+    cut = without(F.when(F.col("gone").isNotNull(), F.col("text")), F.col("gone"))
     out = out.withColumn("cut", F.coalesce(cut, F.col("text")))
     return out.select(
         *(F.col("cut").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep),

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchflow.llm.common import small_batches, text_steps, texts_of
+from pitchflow.llm.common import STEP_BYTES, release_memory, small_batches, text_steps, texts_of
 from pitchflow.llm.tokens import encoder
 
 WINDOW = 4096
@@ -28,6 +28,8 @@ MAX_OPEN = 2048
 TASK_SEQUENCES = 1 << 33
 #: Chunks in the encoder's table: packing holds little else, so it can afford more of them than other operators.
 CACHE_CHUNKS = 800_000
+#: Sequences in a batch that a task puts out: at its end all open windows close at once.
+OUT_SEQUENCES = 256
 
 Piece = tuple[int | None, int, np.ndarray, int]  # doc_id, start, ids, ids of the document
 
@@ -140,34 +142,43 @@ class Packer:
         self.levels[:] = 0
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, cache_chunks: int = CACHE_CHUNKS) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int, window: int = WINDOW, cache_chunks: int = CACHE_CHUNKS, step_bytes: int = STEP_BYTES
+) -> DataFrame:
     """Pieces of all documents in sequences of at most `window` ids: doc_id, start (ids of the document
     before the piece), length, doc_tokens, sequence_id, offset (in the sequence), ids (little-endian uint32).
 
     Each document's ids, and `end_id` behind them, lie in exactly one piece each. NULL and empty texts have
     the end alone; a NULL doc_id stays NULL; equal rows are packed as often as they come; an empty table gives
-    no row. Other columns are left out. Sequence ids are unique, not dense. `cache_chunks` trades a worker's memory
-    for time and changes no row.
+    no row. Other columns are left out. Sequence ids are unique, not dense. `cache_chunks` and `step_bytes` (of text
+    encoded at once) trade a worker's memory for time and change no row.
     """
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids, packer = encoder(tokenizer, cache_chunks), Packer(window)
         number = TaskContext.get().partitionId() * TASK_SEQUENCES
-        for batch in text_steps(batches):
+        for batch in text_steps(batches, step_bytes):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), to_ids.encode(texts_of(batch)), strict=True):
                 packer.add(doc_id, np.append(ids, np.uint32(end_id)))
-            if packer.closed:
-                yield _rows(packer.closed, number)
-                number += len(packer.closed)
-                packer.closed = []
+            first, number = number, number + len(packer.closed)
+            yield from _batches(packer.closed, first)
         packer.finish()
         to_ids.trim()
-        if packer.closed:
-            yield _rows(packer.closed, number)
+        yield from _batches(packer.closed, number)
+        release_memory()
 
     return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(of_task, SCHEMA)
 
 
+def _batches(sequences: list[list[Piece]], number: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the sequences, numbered from `number` on, a bounded number of sequences at a time; what is out is let go."""
+    while sequences:
+        some = sequences[:OUT_SEQUENCES]
+        del sequences[:OUT_SEQUENCES]
+        yield _rows(some, number)
+        number += len(some)
+
+
 def _rows(sequences: list[list[Piece]], number: int) -> pa.RecordBatch:
     columns: dict[str, list] = {f.name: [] for f in SCHEMA}
     for sequence_id, sequence in enumerate(sequences, number):

@@ -336,6 +336,29 @@ def test_level_is_the_least_sum_of_squares():
     assert sum(len(p[2]) for p in pieces) == sum({p[0]: p[3] for p in pieces}.values())
 
 
+def test_sequences_go_out_in_bounded_batches():
+    packer = ss_packing.Packer()
+    for k in range(2000):
+        packer.add(k, np.full(2100, k, np.uint32))  # no two fit a window: all stay open
+    assert packer.n_open == 2000
+    packer.finish()
+    pieces = {(p[0], p[1], len(p[2])) for s in packer.closed for p in s}
+    sequences = len(packer.closed)
+    batches = list(ss_packing._batches(packer.closed, 7))
+    assert max(b.nbytes for b in batches) < 2 * ss_packing.OUT_SEQUENCES * 4 * ss_packing.WINDOW
+    rows = [r for b in batches for r in b.to_pylist()]
+    assert {(r["doc_id"], r["start"], r["length"]) for r in rows} == pieces and len(rows) == len(pieces)
+    assert sorted({r["sequence_id"] for r in rows}) == list(range(7, 7 + sequences)) and not packer.closed
+
+
+def test_steps_of_packing_change_no_row(spark):
+    texts = [(k, " ".join(["word", "other", str(k)] * (k % 50))) for k in range(300)] + [(None, None), (7, "again")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    path = public_tokenizers.path(queries.WORD_TOKENIZER)
+    found = [ss_packing.pack(docs, path, 2, step_bytes=n).collect() for n in (1, 4_000_000)]
+    assert found[0] == found[1] and len(found[0]) >= 302
+
+
 # ---- 4 quality rules
 
 
@@ -769,6 +792,16 @@ def test_pipeline_stages_by_force(spark, documents):
     assert corpus_pipeline.run(spark, path).agg(F.sum("length")).first()[0] > 0
 
 
+def test_lines_are_cut_once(spark):
+    long_line = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, f"{long_line}\nfirst"), (2, f"{long_line}\nsecond"), (3, long_line), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.lines(spark, docs, "")
+    # each time it runs in a task is a Python worker that the executor keeps for the stages behind
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(map(tuple, out.collect())) == [(1, f"{long_line}\nfirst"), (2, "second"), (4, None), (5, "")]
+
+
 # ---- 12 prefix token counts
 
 PIECES = ["a", "b", "the", " ", "  ", "\n", "▁", "é", "日", "²", "\x1f", "\x00", "<s>", " t", "ing", "  \n", "0", "..", "𝒳", "ß", "\t", "е", " с"]
